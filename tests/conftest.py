@@ -1,0 +1,36 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from trilayer.session import build_session  # noqa: E402
+from trilayer.workspace import new_dir, release  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session(
+        "tests",
+        "local[4]",
+        {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"},
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    release(session)
+    session.stop()
+
+
+@pytest.fixture
+def folder(spark, request):
+    """A path of its own for each test, in the shared folder."""
+    return new_dir(spark, request.node.name.split("[")[0])
+
+
+def rows(df):
+    """The rows as a sorted list of tuples, nulls first."""
+    found = [tuple(row) for row in df.collect()]
+    return sorted(found, key=lambda row: [(value is not None, str(value)) for value in row])

@@ -1,0 +1,139 @@
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import types as T
+
+from trilayer.operators import cleanse
+from trilayer.operators.cleanse import TRIPS, CleanseSpec
+
+PICKUP = datetime(2023, 1, 5, 12)
+GOOD = {
+    "event_id": 1,
+    "VendorID": 2,
+    "tpep_pickup_datetime": PICKUP,
+    "tpep_dropoff_datetime": PICKUP + timedelta(minutes=20),
+    "passenger_count": 1,
+    "trip_distance": 5.0,
+    "RatecodeID": 1,
+    "store_and_fwd_flag": "N",
+    "PULocationID": 48,
+    "DOLocationID": 50,
+    "payment_type": 1,
+    "fare_amount": 10.0,
+    "extra": 0.5,
+    "mta_tax": 0.5,
+    "tip_amount": 2.0,
+    "tolls_amount": 0.0,
+    "improvement_surcharge": 0.3,
+    "total_amount": 13.3,
+    "congestion_surcharge": 2.5,
+    "airport_fee": 0.0,
+}
+KINDS = {int: T.LongType(), float: T.DoubleType(), str: T.StringType(), datetime: T.TimestampNTZType()}
+SCHEMA = T.StructType([T.StructField(name, KINDS[type(value)]) for name, value in GOOD.items()])
+
+
+def trips(spark, *changes):
+    data = [tuple({**GOOD, "event_id": n, **change}.values()) for n, change in enumerate(changes)]
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def later(**how):
+    return {"tpep_dropoff_datetime": PICKUP + timedelta(**how)}
+
+
+# change to a good row -> rules it breaks
+CASES = [
+    ({}, []),
+    ({"trip_distance": 0.0}, []),
+    ({"trip_distance": -0.1}, ["distance_not_negative"]),
+    ({"trip_distance": None}, ["distance_not_negative"]),
+    ({"fare_amount": -1.0}, ["fare_not_negative"]),
+    ({"fare_amount": None}, ["fare_not_negative"]),
+    ({"total_amount": -1.0}, ["total_not_negative"]),
+    ({"total_amount": None}, ["total_not_negative"]),
+    ({"passenger_count": 0}, ["has_passengers"]),
+    ({"passenger_count": None}, []),  # filled with 1 first
+    (later(seconds=10), ["longer_than_10_seconds"]),
+    (later(seconds=11), []),
+    (later(seconds=86400), ["shorter_than_24_hours"]),
+    (later(seconds=86399), []),
+    (later(seconds=-20), ["pickup_before_dropoff", "longer_than_10_seconds"]),
+    (
+        {"tpep_dropoff_datetime": None},
+        ["pickup_before_dropoff", "longer_than_10_seconds", "shorter_than_24_hours"],
+    ),
+]
+
+
+def test_each_rule_drops_what_it_should(spark):
+    df = trips(spark, *[change for change, _ in CASES])
+    kept = {row["event_id"] for row in cleanse.cleanse(df).collect()}
+    assert kept == {n for n, (_, broken) in enumerate(CASES) if not broken}
+    reasons = {row["event_id"]: row["failed_rules"] for row in cleanse.rejects(df).collect()}
+    assert reasons == {n: broken for n, (_, broken) in enumerate(CASES) if broken}
+
+
+def test_counts_per_rule_and_per_layer(spark):
+    df = trips(spark, *[change for change, _ in CASES])
+    counts = {row["rule"]: row["rejected_rows"] for row in cleanse.reject_counts(df).collect()}
+    assert counts == {
+        name: sum(name in broken for _, broken in CASES) for name in TRIPS.rules
+    }
+    layers = cleanse.layer_counts(df).first()
+    assert layers["bronze_rows"] == len(CASES)
+    assert layers["silver_rows"] == cleanse.cleanse(df).count()
+
+
+def test_fill_happens_before_the_rules_and_types_and_names_are_set(spark):
+    missing = {
+        "passenger_count": None,
+        "tip_amount": None,
+        "RatecodeID": None,
+        "congestion_surcharge": None,
+        "airport_fee": None,
+    }
+    df = cleanse.cleanse(trips(spark, missing))
+    row = df.first()
+    assert (row["passenger_count"], row["tip_amount"], row["rate_code_id"]) == (1, 0.0, 99)
+    assert (row["congestion_surcharge"], row["airport_fee"]) == (0.0, 0.0)
+    kinds = dict(df.dtypes)
+    assert kinds["vendor_id"] == kinds["pickup_location_id"] == "int"
+    assert kinds["tpep_pickup_datetime"] == "timestamp"
+    assert kinds["payment_type"] == "bigint"  # never cast
+    assert "VendorID" not in df.columns and "source_file" not in df.columns
+
+
+def test_enrich(spark):
+    df = trips(spark, later(minutes=20, seconds=10), later(seconds=0))
+    kept = cleanse.conform(df, TRIPS)
+    first, second = cleanse.enrich(kept).orderBy("event_id").collect()
+    assert first["trip_duration_seconds"] == 1210
+    assert first["trip_duration_minutes"] == 20.17
+    assert first["average_speed_mph"] == 14.88
+    assert second["average_speed_mph"] == 0.0
+
+
+def test_text_that_does_not_parse_becomes_null(spark):
+    df = spark.createDataFrame([("7", "x"), ("y", "1.5")], "a string, b string")
+    cast = cleanse.cast_columns(df, {"a": "int", "b": "double"})
+    assert [tuple(row) for row in cast.collect()] == [(7, None), (None, 1.5)]
+
+
+def test_columns_can_be_excluded(spark):
+    spec = CleanseSpec(drop=("store_and_fwd_flag",))
+    assert "store_and_fwd_flag" not in cleanse.cleanse(trips(spark, {}), spec).columns
+
+
+def test_empty_input_and_unknown_column(spark):
+    assert cleanse.silver(trips(spark, {}).limit(0)).count() == 0
+    with pytest.raises(AnalysisException):
+        cleanse.cleanse(spark.range(1)).count()
+
+
+def test_kept_and_rejected_are_the_input(spark):
+    df = trips(spark, *[change for change, _ in CASES])
+    assert cleanse.cleanse(df).count() + cleanse.rejects(df).count() == df.count()

@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from trilayer.operators import joins
+from trilayer.plans.facts import plan_facts
+
+
+def trips(spark):
+    return spark.range(60).select(
+        "id",
+        F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit(datetime(2024, 1, 1))).alias(
+            "tpep_pickup_datetime"
+        ),
+    )
+
+
+def daily(spark):
+    return spark.createDataFrame(
+        [(datetime(2024, 1, 1), 24), (datetime(2024, 1, 2), 25)],
+        "trip_date timestamp, total_trips long",
+    )
+
+
+@pytest.mark.parametrize(
+    ("hint", "node"),
+    [
+        ("broadcast", "BroadcastHashJoin"),
+        ("merge", "SortMergeJoin"),
+        ("shuffle_hash", "ShuffledHashJoin"),
+    ],
+)
+def test_every_strategy_gives_the_same_rows(spark, hint, node):
+    joined = joins.attach_daily_total(trips(spark), daily(spark), "n", hint)
+    assert plan_facts(joined).has(node)
+    assert joined.count() == 48
+    assert rows(joined) == rows(joins.attach_daily_total(trips(spark), daily(spark), "n"))
+    assert rows(joined) == rows(joins.attach_daily_total_sql(trips(spark), daily(spark), "n"))
+
+
+def test_sql_hint_becomes_a_broadcast_join(spark):
+    joined = joins.attach_daily_total_sql(trips(spark), daily(spark))
+    assert plan_facts(joined).has("BroadcastHashJoin")
+
+
+def test_too_large_a_table_is_not_broadcast(spark):
+    assert joins.fits_broadcast(daily(spark))
+    assert not joins.fits_broadcast(daily(spark), max_rows=1)
+    wide = spark.range(3).select(F.repeat(F.lit("x"), F.lit(1000)).alias("text"))
+    assert not joins.fits_broadcast(wide, max_bytes=2000)
+    assert joins.fits_broadcast(spark.range(0))
+    unhinted = joins.broadcast_if_small(daily(spark), max_rows=1)
+    assert unhinted.columns == ["trip_date", "total_trips"]
+
+
+def test_lookup_keeps_rows_without_a_match(spark):
+    zones = spark.createDataFrame([(1, "East"), (2, "West")], "zone int, name string")
+    df = spark.createDataFrame([(1,), (3,), (None,)], "location int")
+    named = joins.lookup_names(df, zones, {"location": "zone"}, {"name": "zone_name"})
+    assert rows(named) == [(None, None), (1, "East"), (3, None)]

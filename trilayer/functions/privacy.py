@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trilayer.operators.joins import broadcast_if_small
+
 # What counts as an e-mail address and a phone number in free text.
 # The length limits keep matching linear on text without spaces.
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,253}\.[A-Za-z]{2,24}"
@@ -60,6 +62,7 @@ def tokenize(
     if vault is None:
         return df.withColumn(output, fresh)
     known = vault.select(F.col("value").alias("_value"), F.col("token").alias("_token"))
+    known = broadcast_if_small(known)
     return df.join(known, F.col(column) == F.col("_value"), "left").select(
         *df.columns, F.coalesce("_token", fresh).alias(output)
     )
@@ -93,7 +96,7 @@ def generalise(value: Column, width: float) -> Column:
 def suppress_rare(df: DataFrame, keys: Sequence[str], column: str, k: int) -> DataFrame:
     """``column`` as null where fewer than ``k`` rows share it and ``keys``.
 
-    Only the rare groups are joined back, each of fewer than k rows.
+    Only the rare groups are joined back, by broadcast if they are measured to be few.
     """
     group = [*keys, column]
     rare = (
@@ -104,6 +107,6 @@ def suppress_rare(df: DataFrame, keys: Sequence[str], column: str, k: int) -> Da
     )
     same = [F.col(name).eqNullSafe(F.col(f"_g_{name}")) for name in group]
     kept = F.when(F.col("_rare").isNull(), F.col(column)).alias(column)
-    return df.join(rare, same, "left").select(
+    return df.join(broadcast_if_small(rare), same, "left").select(
         *[kept if name == column else F.col(name) for name in df.columns]
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,25 +12,31 @@ MAX_ROWS = 1_000_000
 MAX_BYTES = 64 * 1024 * 1024
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Rows and (roughly) bytes of ``df``, by one aggregate over all of it."""
+def row_bytes(schema: T.StructType) -> Column:
+    """About how many bytes a row takes in memory."""
     width = F.lit(0)
-    for item in df.schema:
+    for item in schema:
+        size = F.lit(0)
         if isinstance(item.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(item.name), F.lit(0)) + 16
+            size = F.octet_length(item.name)
         elif isinstance(item.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            width = width + F.coalesce(F.octet_length(F.to_json(item.name)), F.lit(0)) + 16
-        else:
-            width = width + 16
-    rows, size = df.agg(F.count("*"), F.sum(width.cast("long"))).first()
-    return rows, size or 0
+            size = F.octet_length(F.to_json(item.name))
+        width = width + F.coalesce(size, F.lit(0)) + 16
+    return width.cast("long")
+
+
+def within_limits(
+    rows: int, size: int, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
+) -> bool:
+    return rows <= max_rows and size <= max_bytes
 
 
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
 ) -> bool:
-    rows, size = measure(df)
-    return rows <= max_rows and size <= max_bytes
+    """Whether ``df`` is small, by counting all of its rows and bytes."""
+    rows, size = df.agg(F.count("*"), F.sum(row_bytes(df.schema))).first()
+    return within_limits(rows, size or 0, max_rows, max_bytes)
 
 
 def broadcast_if_small(

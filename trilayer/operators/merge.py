@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from trilayer.operators.joins import broadcast_if_small
+from trilayer.operators.joins import row_bytes, within_limits
 from trilayer.sources.writers import write_layer
 
 
@@ -63,25 +63,32 @@ def _acting_rows(source: DataFrame, clauses: Sequence[Clause]) -> DataFrame:
     return aliased.filter(reduce(or_, conditions)).select(*source.columns)
 
 
-def _one_row_per_key(
+class DuplicateKeys(ValueError):
+    """Several acting source rows have the same merge key."""
+
+
+def _latest_per_key(
     source: DataFrame, on: Sequence[str], dedupe_by: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """The source rows with unique keys, and apart from them those with a null key.
+) -> DataFrame:
+    """The latest source row of each key; rows with a null key all stay."""
+    has_key = reduce(and_, [F.col(name).isNotNull() for name in on])
+    latest = F.max_by(F.struct(*source.columns), F.struct(*dedupe_by)).alias("_row")
+    keyed = source.filter(has_key).groupBy(*on).agg(latest).select("_row.*")
+    return keyed.unionByName(source.filter(~has_key))
 
-    Null keys match nothing, so those rows need not be unique.
-    """
+
+def _is_small(source: DataFrame, on: Sequence[str]) -> bool:
+    """Measure the source and look for duplicate keys, in one job over it."""
     has_key = reduce(and_, [F.col(name).isNotNull() for name in on])
-    row = F.struct(*source.columns)
-    latest = F.max_by(row, F.struct(*dedupe_by)) if dedupe_by else F.any_value(row)
-    keyed = source.filter(has_key).groupBy(*on).agg(
-        F.count("*").alias("_n"), latest.alias("_row")
+    per_key = source.groupBy(*on).agg(
+        F.count("*").alias("_n"), F.sum(row_bytes(source.schema)).alias("_bytes")
     )
-    if not dedupe_by:
-        stop = F.raise_error("several source rows have the same merge key")
-        keyed = keyed.filter(
-            F.when(F.col("_n") == 1, True).otherwise(stop.cast("boolean"))
-        )
-    return keyed.select("_row.*"), source.filter(~has_key)
+    rows, size, most = per_key.agg(
+        F.sum("_n"), F.sum("_bytes"), F.max(F.when(has_key, F.col("_n")))
+    ).first()
+    if (most or 0) > 1:
+        raise DuplicateKeys(f"up to {most} source rows have the same merge key {list(on)}")
+    return within_limits(rows or 0, size or 0)
 
 
 def merge_actions(
@@ -94,18 +101,20 @@ def merge_actions(
     """The target's columns plus ``merge_action``: keep, update, delete or insert.
 
     The first clause whose condition is true acts. A matched row without one stays,
-    an unmatched source row without one is ignored. Two acting source rows with the
-    same key raise, unless ``dedupe_by`` says to take the latest.
+    an unmatched source row without one is ignored. Null keys match nothing. Two
+    acting source rows with the same key raise, unless ``dedupe_by`` says to take the
+    latest. The source is read more than once, so it must not change in between.
 
     A source measured to be small is broadcast, and the target is not shuffled. A
     large one is joined by shuffle: the left join can split a key that many target
     rows share, and only distinct target keys go into the anti join.
     """
-    keyed, without_key = _one_row_per_key(
-        _acting_rows(source, clauses), on, dedupe_by
-    )
-    small = broadcast_if_small(keyed)
-    t, s = target.alias("t"), small.withColumn("_hit", F.lit(True)).alias("s")
+    source = _acting_rows(source, clauses)
+    if dedupe_by:
+        source = _latest_per_key(source, on, dedupe_by)
+    hinted = F.broadcast if _is_small(source, on) else lambda side: side
+    t = target.alias("t")
+    s = hinted(source.withColumn("_hit", F.lit(True))).alias("s")
     same_key = reduce(and_, [F.col(f"t.{name}") == F.col(f"s.{name}") for name in on])
 
     matched = [clause for clause in clauses if clause.matched]
@@ -128,11 +137,11 @@ def merge_actions(
     if not inserts:
         return changed
     # Target keys that the source names at all: few when the source is small.
-    keys = target.select(*on)
-    hit = keys.join(small.select(*on), list(on), "left_semi").distinct()
-    fresh = keyed.join(hit, list(on), "left_anti").select(*source.columns)
+    named = hinted(source.select(*on))
+    hit = target.select(*on).join(named, list(on), "left_semi").distinct()
     candidates = (
-        fresh.unionByName(without_key)
+        source.join(hit, list(on), "left_anti")
+        .select(*source.columns)
         .alias("s")
         .withColumn("_clause", _first_true(inserts, F.lit(True)))
         .filter("_clause is not null")

@@ -11,6 +11,7 @@ from trilayer.functions import privacy
 from trilayer.functions.exact import exact_sum, round2
 from trilayer.functions.times import add_time_partitions, without_zone
 from trilayer.operators import cleanse, declared, gold, joins, layout, merge, versions
+from trilayer.operators.quality import Rule, apply_rules, observe_rules
 from trilayer.operators.quality import rule_metrics as metrics_of
 from trilayer.operators.reconcile import reconcile
 from trilayer.plans import examples
@@ -27,11 +28,16 @@ from trilayer.sources.raw import (
     stream_files,
     table,
 )
-from trilayer.sources.trips import raw_trips, shape_trips
-from trilayer.sources.writers import append_evolving, read_evolved, write_layer
+from trilayer.sources.trips import parse_events, raw_trips, shape_trips
+from trilayer.sources.writers import (
+    append_checked,
+    append_evolving,
+    read_evolved,
+    write_layer,
+)
 from trilayer.streaming import trips as streams
 from trilayer.streaming.runner import run_stream
-from trilayer.workspace import new_dir
+from trilayer.workspace import new_dir, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -282,7 +288,7 @@ def merge_upsert(spark, folder):
     orders = table(spark, folder, "orders")
     return merge.merge_upsert(
         orders,
-        examples.order_changes(orders),
+        written(examples.order_changes(orders), "order_changes"),
         ["o_orderkey"],
         [examples.ORDER_UPDATE, examples.ORDER_INSERT],
     )
@@ -292,7 +298,7 @@ def _order_merge(spark, folder):
     orders = table(spark, folder, "orders")
     return merge.merge_actions(
         orders,
-        examples.order_changes(orders),
+        written(examples.order_changes(orders), "order_changes"),
         ["o_orderkey"],
         [examples.ORDER_UPDATE, examples.ORDER_DELETE, examples.ORDER_INSERT],
     )
@@ -315,7 +321,7 @@ def merge_artifacts(spark, folder):
     silver = silver_table(spark, folder)
     merged = merge.merge_upsert(
         silver.withColumn("data_source_quality", F.lit(None).cast("string")),
-        examples.trip_changes(silver),
+        written(examples.trip_changes(silver), "trip_changes"),
         examples.TRIP_KEY,
         [examples.TRIP_UPDATE, examples.TRIP_INSERT],
         dedupe_by=["event_id"],
@@ -383,6 +389,18 @@ def restore_version(spark, folder):
     )
 
 
+@query
+def checked_append(spark, folder):
+    """Orders per status after a second batch of the same schema was appended."""
+    orders = table(spark, folder, "orders")
+    path = new_dir(spark, "appended")
+    write_layer(orders, path)
+    append_checked(orders.filter("o_orderpriority = '2-HIGH'"), path)
+    return gold.rows_per(read_raw(spark, path), "o_orderstatus").withColumnRenamed(
+        "count", "orders"
+    )
+
+
 @query
 def schema_evolution(spark, folder):
     """Rows per quality flag after an append that brought the flag column."""
@@ -463,7 +481,7 @@ def _streamed_bronze(spark, folder):
     schema = infer_or_load_schema(spark, source, f"{run}/schema", glob)
     events = streams.with_stream_metadata(stream_files(spark, source, schema, glob))
     run_stream(
-        streams.bronze_stream(shape_trips(events)),
+        streams.bronze_stream(shape_trips(parse_events(events))),
         checkpoint=f"{run}/bronze_checkpoint",
         path=f"{run}/bronze",
         name="trips_bronze",
@@ -515,6 +533,45 @@ def stream_window_counts_update(spark, folder):
     return streams.flat_windows(streams.read_updates(spark, f"{run}/updates"))
 
 
+@query
+def stream_window_counts_complete(spark, folder):
+    """All windows, rewritten as a whole with every micro-batch."""
+    run = _streamed_bronze(spark, folder)
+    run_stream(
+        _second_stream(spark, run),
+        checkpoint=f"{run}/complete_checkpoint",
+        path=f"{run}/complete",
+        name="trips_windows_complete",
+        mode="complete",
+    )
+    return streams.flat_windows(read_raw(spark, f"{run}/complete"))
+
+
+STREAM_RULES = (
+    Rule("valid_trip_distance", "trip_distance >= 0", "drop"),
+    Rule("valid_fare", "fare_amount >= 0", "warn"),
+    Rule("valid_pickup_time", "tpep_pickup_datetime IS NOT NULL", "fail"),
+)
+
+
+@query
+def stream_rules(spark, folder):
+    """Rows that a stream under row rules lets through."""
+    run = _streamed_bronze(spark, folder)
+    schema = read_raw(spark, f"{run}/bronze").schema
+    checked = apply_rules(
+        observe_rules(stream_files(spark, f"{run}/bronze", schema), STREAM_RULES),
+        STREAM_RULES,
+    )
+    run_stream(
+        checked.select("event_id", "tpep_pickup_datetime", "trip_distance", "fare_amount"),
+        checkpoint=f"{run}/rules_checkpoint",
+        path=f"{run}/silver",
+        name="trips_rules",
+    )
+    return read_raw(spark, f"{run}/silver")
+
+
 @query
 def first_windows(spark, folder):
     """The ten earliest closed windows."""

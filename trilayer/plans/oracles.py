@@ -370,6 +370,9 @@ SELECT CAST(max(version) AS BIGINT) AS latest_version,
        CAST(min(version) FILTER (WHERE operation = 'MERGE') - 1 AS BIGINT)
          AS version_before_merge FROM log""",
     "restore_version": _state(1),
+    "checked_append": """
+SELECT o_orderstatus, count(*) + count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS orders
+FROM orders GROUP BY 1""",
     "schema_evolution": f"""
 WITH grown AS (
   SELECT o_totalprice, CAST(NULL AS VARCHAR) AS data_source_quality FROM orders
@@ -385,6 +388,10 @@ SELECT * EXCLUDE (tpep_dropoff_datetime, PULocationID), PULocationID AS pickup_l
 FROM trips""",
     "stream_window_counts": f"WITH {_WINDOWS} SELECT * FROM closed",
     "stream_window_counts_update": f"WITH {_WINDOWS} SELECT * FROM counts",
+    "stream_window_counts_complete": f"WITH {_WINDOWS} SELECT * FROM counts",
+    "stream_rules": f"""WITH {_TRIPS}
+SELECT event_id, tpep_pickup_datetime, trip_distance, fare_amount
+FROM trips WHERE trip_distance >= 0""",
     "first_windows": f"""WITH {_WINDOWS}
 SELECT * FROM closed ORDER BY window_start, pickup_location_id LIMIT 10""",
     "pii_hash": f"""WITH {_EMAILS}

@@ -9,15 +9,21 @@ from trilayer.operators.sequence import HOT_ROWS, add_next_time
 from trilayer.sources.raw import add_ingest_metadata, table
 
 
+def parse_events(events: DataFrame) -> DataFrame:
+    """Events with the number in ``props`` as ``k``, so that no shuffle carries JSON."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    return events.withColumn("k", k).drop("props")
+
+
 def shape_trips(events: DataFrame) -> DataFrame:
-    """Raw trip columns from event columns; drop-off is ``next_ts`` where present.
+    """Raw trip columns from parsed events; drop-off is ``next_ts`` where present.
 
     Columns that events do not have by themselves, such as metadata, are carried on.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     tip = F.when(F.col("event_type") == "purchase", F.col("value") * 0.25)
     dropoff = [F.col("next_ts").alias("tpep_dropoff_datetime")]
-    own = {"event_id", "ts", "user_id", "event_type", "value", "props", "next_ts"}
+    own = {"event_id", "ts", "user_id", "event_type", "value", "k", "next_ts"}
     return events.select(
         "event_id",
         F.length("event_type").alias("VendorID"),
@@ -54,5 +60,7 @@ def raw_trips(
     if with_metadata:
         events = add_ingest_metadata(events)
     return shape_trips(
-        add_next_time(events, "user_id", "ts", "event_id", "next_ts", hot_rows)
+        add_next_time(
+            parse_events(events), "user_id", "ts", "event_id", "next_ts", hot_rows
+        )
     )

@@ -11,7 +11,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
 
@@ -44,6 +44,13 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/trilayer/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table of its own: computed once, however often it is read."""
+    path = new_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every table, sink and checkpoint this session put into the folder."""
     app = spark.sparkContext.applicationId
