@@ -99,9 +99,7 @@ def add_zvalue(
     ).approxQuantile(
         list(numbers), [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)
     )
-    bounds = [
-        [float("-inf"), *sorted(set(cut)), float("inf")] for cut in cuts
-    ]
+    bounds = [[float("-inf"), *sorted(set(cut)), float("inf")] for cut in cuts]
     df = df.withColumns(numbers)
     bucketed = Bucketizer(
         splitsArray=bounds,
@@ -112,7 +110,8 @@ def add_zvalue(
     z = F.lit(0).cast("long")
     for bit in range(bits + 1):
         for place, name in enumerate(columns):
-            index = F.col(f"_b_{name}").cast("long")
+            unknown = F.lit(len(bounds[place]) - 1)
+            index = F.coalesce(F.col(f"_b_{name}"), unknown).cast("long")
             one = F.shiftright(index, bit).bitwiseAND(F.lit(1).cast("long"))
             z = z.bitwiseOR(F.shiftleft(one, bit * len(columns) + place))
     return bucketed.withColumn(output, z).drop(

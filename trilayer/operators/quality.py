@@ -49,13 +49,17 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``df`` under the rules; works on batches and on streams.
 
     A broken fail rule ends the job that reads the result. Fail rules look at every
-    row, before drop rules remove any. A filter put on the result may be pushed
-    below the check; use check_rules() to have the whole input checked first.
+    row, before drop rules remove any; check_rules() does so before anything is written.
     """
+    checks = F.spark_partition_id() >= 0
     for rule in rules:
         if rule.action == "fail":
-            stop = F.raise_error(f"rule {rule.name} failed: {rule.condition}")
-            df = df.filter(F.when(holds(rule.condition), True).otherwise(stop.cast("boolean")))
+            stop = F.raise_error(f"rule {rule.name} failed: {rule.condition}").cast("boolean")
+            checks = checks & F.when(holds(rule.condition), True).otherwise(stop)
+    if any(rule.action == "fail" for rule in rules):
+        # The partition id makes the filter non-deterministic: the optimizer then
+        # neither merges it with later filters nor moves them below it.
+        df = df.filter(checks)
     for rule in rules:
         if rule.action == "drop":
             df = df.filter(holds(rule.condition))
