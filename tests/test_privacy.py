@@ -79,13 +79,13 @@ def test_whole_texts_are_searched(spark):
     filler = "x" * 50000
     text = f"{filler} one@a.org, two.b+c@mail.example.com. {filler} +1 (123) 555-0000 three@c.net"
     df = spark.createDataFrame([(1, text), (2, None), (3, "none")], "id int, text string")
-    found = privacy.extract_matches(df, ["id"], "text", privacy.EMAIL, "email")
+    found = privacy.extract_matches(df, ["id"], "text", privacy.EMAIL, "@", "email")
     assert [tuple(row) for row in found.orderBy("position").collect()] == [
         (1, 0, "one@a.org"),
         (1, 1, "two.b+c@mail.example.com"),
         (1, 2, "three@c.net"),
     ]
-    phones = privacy.extract_matches(df, ["id"], "text", privacy.PHONE, "phone")
+    phones = privacy.extract_matches(df, ["id"], "text", privacy.PHONE, "+1", "phone")
     assert rows(phones) == [(1, 0, "+1 (123) 555-0000")]
 
 

@@ -15,11 +15,22 @@ EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,253}\.[A-Za-z]{2,24}"
 PHONE = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
 
 
+# Text that every match contains; texts without it need no matching.
+EMAIL_PART = "@"
+PHONE_PART = "+1 ("
+
+
+def matches(text: str, pattern: str, part: str) -> Column:
+    """All matches in the whole text; null if it lacks ``part``."""
+    found = F.regexp_extract_all(text, F.lit(pattern), 0)
+    return F.when(F.contains(F.col(text), F.lit(part)), found)
+
+
 def extract_matches(
-    df: DataFrame, keep: Sequence[str], text: str, pattern: str, output: str
+    df: DataFrame, keep: Sequence[str], text: str, pattern: str, part: str, output: str
 ) -> DataFrame:
     """One row per match in the whole text, numbered from 0 as ``position``."""
-    found = F.regexp_extract_all(text, F.lit(pattern), 0)
+    found = matches(text, pattern, part)
     return df.select(*keep, F.posexplode(found).alias("position", output))
 
 

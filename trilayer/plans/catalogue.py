@@ -585,7 +585,12 @@ def first_windows(spark, folder):
 
 def _emails(spark, folder):
     return privacy.extract_matches(
-        table(spark, folder, "documents"), ["doc_id"], "text", privacy.EMAIL, "email"
+        table(spark, folder, "documents"),
+        ["doc_id"],
+        "text",
+        privacy.EMAIL,
+        privacy.EMAIL_PART,
+        "email",
     )
 
 
@@ -603,22 +608,21 @@ def pii_hash(spark, folder):
 def pii_mask(spark, folder):
     """Masked e-mail addresses and phone numbers, wherever they stand in the texts."""
     documents = table(spark, folder, "documents")
-    email = F.transform(
-        F.regexp_extract_all("text", F.lit(privacy.EMAIL), 0), privacy.mask_email
-    )
-    phone = F.transform(
-        F.regexp_extract_all("text", F.lit(privacy.PHONE), 0), privacy.mask_phone
-    )
+    emails = privacy.matches("text", privacy.EMAIL, privacy.EMAIL_PART)
+    phones = privacy.matches("text", privacy.PHONE, privacy.PHONE_PART)
 
-    def labelled(kind, values):
+    def labelled(kind, values, mask):
         return F.transform(
-            values,
+            F.coalesce(values, F.array().cast("array<string>")),
             lambda value, at: F.struct(
-                F.lit(kind).alias("kind"), at.alias("position"), value.alias("masked")
+                F.lit(kind).alias("kind"), at.alias("position"), mask(value).alias("masked")
             ),
         )
 
-    found = F.concat(labelled("email", email), labelled("phone", phone))
+    found = F.concat(
+        labelled("email", emails, privacy.mask_email),
+        labelled("phone", phones, privacy.mask_phone),
+    )
     return documents.select("doc_id", F.inline(found))
 
 
