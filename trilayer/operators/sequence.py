@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rows of one key that one task sorts without trouble.
-HOT_ROWS = 4_000_000
+HOT_ROWS = 1_000_000
 # Slices cut per HOT_ROWS rows, so that uneven spread over time still leaves
 # slices well under HOT_ROWS.
 OVERSPLIT = 8

@@ -434,22 +434,24 @@ def _line_totals(lines):
     )
 
 
+def _file_bytes(spark, path, files):
+    """A file size that gives a small table this many files; large ones get full files."""
+    return min(layout.FILE_BYTES, max(1, layout.table_bytes(spark, path) // files))
+
+
 @query
 def compact_rows(spark, folder):
     """Totals of a table that was written in many files and then compacted."""
-    fragments = new_dir(spark, "fragments")
-    write_layer(table(spark, folder, "lineitem").repartition(32), fragments)
-    return _line_totals(layout.compact(spark, fragments, new_dir(spark, "compacted")))
+    fragments, compacted = new_dir(spark, "fragments"), new_dir(spark, "compacted")
+    write_layer(table(spark, folder, "lineitem").repartition(64), fragments)
+    size = _file_bytes(spark, fragments, 8)
+    return _line_totals(layout.compact(spark, fragments, compacted, file_bytes=size))
 
 
 def _zordered(spark, folder):
-    source = f"{folder}/lineitem.parquet"
-    files_wanted = 16
-    file_bytes = max(1, layout.table_bytes(spark, source) // files_wanted)
-    path = new_dir(spark, "zordered")
-    layout.zorder_layout(
-        spark, source, path, ["l_partkey", "l_shipdate"], min(file_bytes, layout.FILE_BYTES)
-    )
+    source, path = f"{folder}/lineitem.parquet", new_dir(spark, "zordered")
+    size = _file_bytes(spark, source, 16)
+    layout.zorder_layout(spark, source, path, ["l_partkey", "l_shipdate"], size)
     return path
 
 

@@ -8,6 +8,16 @@ from typing import Literal
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from trilayer.session import conf
+
+# Window counts keep their state off the heap and upload only what changed.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 Mode = Literal["append", "update", "complete"]
 
 
@@ -34,14 +44,18 @@ def start_stream(
         if interval
         else writer.trigger(availableNow=True)
     )
-    if mode != "append":
-        return writer.foreachBatch(write_batch(path, keep_all=mode == "update")).start()
-    writer = writer.format("parquet")
-    if table:
-        if path:
-            writer = writer.option("path", path)
-        return writer.toTable(table)
-    return writer.start(path)
+    spark = df.sparkSession
+    not_chosen = {k: v for k, v in STATE_STORE.items() if spark.conf.get(k, None) is None}
+    with conf(spark, not_chosen):
+        if mode != "append":
+            keep_all = mode == "update"
+            return writer.foreachBatch(write_batch(path, keep_all)).start()
+        writer = writer.format("parquet")
+        if table:
+            if path:
+                writer = writer.option("path", path)
+            return writer.toTable(table)
+        return writer.start(path)
 
 
 def write_batch(path: str, keep_all: bool) -> Callable[[DataFrame, int], None]:
