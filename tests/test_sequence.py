@@ -6,7 +6,7 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from trilayer.operators.sequence import add_next_time, hot_keys
+from trilayer.operators.sequence import add_next_time, hot_groups
 
 START = datetime(2024, 1, 1)
 SCHEMA = "user long, ts timestamp_ntz, id long"
@@ -38,7 +38,7 @@ def test_hot_key_is_cut_into_slices(spark):
     events = [(1, minute // 2) for minute in range(90)] + [(1, 5000), (1, 5000)]
     events += [(user, minute) for user in (2, 3, None) for minute in (7, 3, 3)]
     df, data = frame(spark, events)
-    assert hot_keys(df, "user", "ts", 10).count() == 1
+    assert hot_groups(df, ["user"], "ts", "id", 10).count() == 1
     sliced = add_next_time(df, "user", "ts", "id", "next", hot_rows=10)
     plain = add_next_time(df, "user", "ts", "id", "next")
     assert rows(sliced) == rows(plain) == brute_force(data)
@@ -54,19 +54,36 @@ def test_null_key_can_be_hot_and_null_times_get_null(spark):
 
 def test_slices_bound_the_rows_of_a_task(spark):
     df, _ = frame(spark, [(1, minute) for minute in range(400)])
-    hot = hot_keys(df, "user", "ts", 50).first()
+    hot = hot_groups(df, ["user"], "ts", "id", 50).first()
     width_minutes = hot["_width"] / 60_000_000
     assert width_minutes <= 400 / 8
 
 
+def test_a_burst_is_cut_again(spark):
+    # Nearly all rows of the hot user fall into one of a hundred days.
+    burst = [(1, 60_000 + n // 3) for n in range(120)]
+    events = [(1, day * 1440) for day in range(100)] + burst + [(2, 5), (2, 6)]
+    df, data = frame(spark, events)
+    sliced = add_next_time(df, "user", "ts", "id", "next", hot_rows=15)
+    assert rows(sliced) == brute_force(data)
+
+
+def test_equal_times_are_cut_by_the_tie(spark):
+    events = [(1, 5)] * 60 + [(1, 4)] * 3 + [(1, 9), (2, 5), (1, None), (1, None)]
+    df, data = frame(spark, events)
+    sliced = add_next_time(df, "user", "ts", "id", "next", hot_rows=10)
+    assert rows(sliced) == brute_force(data)
+    assert sliced.filter("user = 1 and next is null").count() == 3
+
+
 @settings(
-    max_examples=8,
+    max_examples=10,
     deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
 @given(
     st.lists(
-        st.tuples(st.sampled_from([1, 2, None]), st.integers(0, 50)), min_size=1, max_size=40
+        st.tuples(st.sampled_from([1, 2, None]), st.one_of(st.none(), st.integers(0, 9), st.integers(0, 500))), min_size=1, max_size=40
     )
 )
 def test_any_split_gives_the_same_rows(spark, events):

@@ -6,6 +6,7 @@ that the caller writes to a new path.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -53,12 +54,12 @@ def _acting_rows(source: DataFrame, clauses: Sequence[Clause]) -> DataFrame:
     aliased = source.alias("s")
     conditions = []
     for clause in clauses:
-        if clause.condition is None:
+        if clause.condition is None or re.search(r"\bt\b", clause.condition):
             return source
         try:
             aliased.filter(clause.condition)
         except AnalysisException:
-            return source  # needs the target as well
+            return source  # a column of the target, without its alias
         conditions.append(F.expr(clause.condition))
     return aliased.filter(reduce(or_, conditions)).select(*source.columns)
 
@@ -112,9 +113,10 @@ def merge_actions(
     source = _acting_rows(source, clauses)
     if dedupe_by:
         source = _latest_per_key(source, on, dedupe_by)
-    hinted = F.broadcast if _is_small(source, on) else lambda side: side
-    t = target.alias("t")
-    s = hinted(source.withColumn("_hit", F.lit(True))).alias("s")
+    is_small = _is_small(source, on)
+    t, s = target.alias("t"), source.withColumn("_hit", F.lit(True)).alias("s")
+    if is_small:
+        s = F.broadcast(s)
     same_key = reduce(and_, [F.col(f"t.{name}") == F.col(f"s.{name}") for name in on])
 
     matched = [clause for clause in clauses if clause.matched]
@@ -136,9 +138,12 @@ def merge_actions(
     inserts = [clause for clause in clauses if not clause.matched]
     if not inserts:
         return changed
-    # Target keys that the source names at all: few when the source is small.
-    named = hinted(source.select(*on))
-    hit = target.select(*on).join(named, list(on), "left_semi").distinct()
+    # Distinct before any shuffle join, so that a key that fills much of the target is
+    # one row per task; a small source first narrows them down to the keys it names.
+    hit = target.select(*on)
+    if is_small:
+        hit = hit.join(F.broadcast(source.select(*on)), list(on), "left_semi")
+    hit = hit.distinct()
     candidates = (
         source.join(hit, list(on), "left_anti")
         .select(*source.columns)
