@@ -42,15 +42,6 @@ def test_flagship_shuffles_by_user_then_by_day(spark):
     assert not any(node.endswith("Python") for node in found.nodes)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_query_leaves_the_jvm_or_multiplies_rows(spark, name):
-    if name.startswith("stream") or name == "first_windows":
-        pytest.skip("its plan only reads the sink")
-    found = facts(spark, name)
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython"):
-        assert not found.has(node)
-
-
 def test_top_k_is_not_a_full_sort(spark):
     assert facts(spark, "earliest_trips").has("TakeOrderedAndProject")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from trilayer.operators.quality import Rule, apply_rules, observe_rules
 from trilayer.sources.raw import read_raw, stream_files, stream_table
 from trilayer.streaming import trips as streams
-from trilayer.streaming.runner import finish, run_stream, start_stream
+from trilayer.streaming.runner import finish, read_complete, run_stream, start_stream
 
 SCHEMA = "tpep_pickup_datetime timestamp, pickup_location_id int"
 START = datetime(2024, 1, 1)
@@ -96,8 +96,9 @@ def test_update_mode_keeps_the_newest_count(spark, landing):
 def test_complete_mode_keeps_the_whole_result(spark, landing):
     landing(1, 2)
     landing(3, 12)
+    landing(13)
     counted(spark, landing, mode="complete")
-    assert minutes(read_raw(spark, landing.out)) == [(0, 3), (10, 1)]
+    assert minutes(read_complete(spark, landing.out)) == [(0, 3), (10, 2)]
 
 
 def test_streaming_equals_batch_for_closed_windows(spark, landing):
@@ -146,6 +147,14 @@ def test_bronze_stream_casts_and_renames(spark):
     }
 
 
+def test_state_store_is_set_for_the_stream_only(spark, landing):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    landing(1)
+    counted(spark, landing)
+    assert spark.conf.get(key, None) == before
+
+
 def test_interval_trigger_runs_until_stopped(spark, landing):
     landing(1)
     schema = read_raw(spark, landing.path).schema

@@ -65,6 +65,13 @@ def test_checked_append_writes_nothing_on_mismatch(spark, folder, change):
     assert rows(read_raw(spark, folder).select("k")) == [(1,), (2,)]
 
 
+def test_checked_append_to_partitions_of_a_given_schema(spark, folder):
+    df = spark.range(4).withColumn("part", F.col("id") % 2)
+    write_layer(df, folder, partition_by=["part"])
+    append_checked(df, folder, ["part"], df.schema)
+    assert read_raw(spark, folder).count() == 8
+
+
 def test_evolving_append(spark, folder):
     write_layer(batch(spark, 1), folder)
     schema = append_evolving(batch(spark, 2).withColumn("quality", F.lit("Good")), folder)
@@ -84,13 +91,13 @@ def test_external_table_lists_its_partitions_and_keeps_its_files(spark, folder):
     write_layer(df, folder, partition_by=["year", "month"])
     use_database(spark, "layers")
     try:
-        register_external(spark, "layers.trips", folder, "trips by month")
+        register_external(spark, "layers.trips", folder, "a month's trips")
         register_external(spark, "layers.trips", folder)  # again: no error
         assert spark.table("layers.trips").count() == 4
         parts = {row[0] for row in spark.sql("SHOW PARTITIONS layers.trips").collect()}
         assert parts == {"year=2024/month=0", "year=2024/month=1"}
         detail = {row[0]: row[1] for row in spark.sql("DESCRIBE EXTENDED layers.trips").collect()}
-        assert detail["Type"] == "EXTERNAL" and detail["Comment"] == "trips by month"
+        assert detail["Type"] == "EXTERNAL" and detail["Comment"] == "a month's trips"
         spark.sql("DROP TABLE IF EXISTS layers.trips")
         assert read_raw(spark, folder).count() == 4
     finally:

@@ -36,7 +36,7 @@ from trilayer.sources.writers import (
     write_layer,
 )
 from trilayer.streaming import trips as streams
-from trilayer.streaming.runner import run_stream
+from trilayer.streaming.runner import read_complete, run_stream
 from trilayer.workspace import new_dir, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -537,7 +537,7 @@ def stream_window_counts_update(spark, folder):
 
 @query
 def stream_window_counts_complete(spark, folder):
-    """All windows, rewritten as a whole with every micro-batch."""
+    """All windows, written as a whole with every micro-batch."""
     run = _streamed_bronze(spark, folder)
     run_stream(
         _second_stream(spark, run),
@@ -546,7 +546,7 @@ def stream_window_counts_complete(spark, folder):
         name="trips_windows_complete",
         mode="complete",
     )
-    return streams.flat_windows(read_raw(spark, f"{run}/complete"))
+    return streams.flat_windows(read_complete(spark, f"{run}/complete"))
 
 
 STREAM_RULES = (

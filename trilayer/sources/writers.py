@@ -66,10 +66,17 @@ def schema_diff(table: T.StructType, incoming: T.StructType) -> SchemaDiff:
 
 
 def append_checked(
-    df: DataFrame, path: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    schema: T.StructType | None = None,
 ) -> None:
-    """Append only if the columns are those of the table; else raise, writing nothing."""
-    diff = schema_diff(read_raw(df.sparkSession, path).schema, df.schema)
+    """Append only if the columns are those of the table; else raise, writing nothing.
+
+    ``schema`` is the table's; without it, it is read from the files, where partition
+    columns have the types that their names look like.
+    """
+    diff = schema_diff(schema or read_raw(df.sparkSession, path).schema, df.schema)
     if diff:
         raise SchemaMismatch(diff)
     write_layer(df, path, "append", partition_by)
@@ -115,7 +122,8 @@ def register_external(
     """Name the files at ``path`` as a table; dropping the table keeps the files."""
     if spark.catalog.tableExists(name):
         return
-    text = f" COMMENT '{comment}'" if comment else ""
+    quoted = (comment or "").replace("\\", "\\\\").replace("'", "\\'")
+    text = f" COMMENT '{quoted}'" if comment else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING PARQUET{text} LOCATION '{path}'")
     is_partitioned = any(column.isPartition for column in spark.catalog.listColumns(name))
     if is_partitioned:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trilayer.session import conf
@@ -61,16 +62,28 @@ def start_stream(
 def write_batch(path: str, keep_all: bool) -> Callable[[DataFrame, int], None]:
     """A sink that replaces a micro-batch's own folder, so a retry changes nothing.
 
-    ``keep_all`` keeps one folder per batch; else only the newest result is kept.
+    ``keep_all`` keeps one folder per batch, for update mode. Otherwise two folders
+    take turns, so that the last whole result stays while the next one is written.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{path}/batch_id={batch_id}" if keep_all else path
+        if keep_all:
+            folder = f"{path}/batch_id={batch_id}"
+        else:
+            folder = f"{path}/slot={batch_id % 2}"
+            batch = batch.withColumn("batch_id", F.lit(batch_id))
         batch.write.mode("overwrite").parquet(folder)
 
     return write
 
 
+def read_complete(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole result of a complete-mode stream."""
+    results = spark.read.parquet(path)
+    newest = results.select(F.max("batch_id")).scalar()
+    return results.filter(F.col("batch_id") == newest).drop("slot", "batch_id")
+
+
 def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
     """Wait for an available-now stream; raises its error, or if time runs out."""
     done = query.awaitTermination(timeout)
