@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trilayer.operators import layout
 from trilayer.operators.reconcile import reconcile
-from trilayer.session import conf
+from trilayer.session import conf, sized_for
 from trilayer.sources.raw import list_files, read_raw
 from trilayer.sources.writers import write_layer
 
@@ -90,6 +90,16 @@ def test_file_profile_counts_rows(spark, fragments):
     assert profile.agg(F.sum("rows"), F.sum("bytes")).first()[0] == 4000
 
 
+def test_sizes_grow_with_the_input_within_bounds():
+    def sizes(input_bytes):
+        return tuple(int(value) for value in sized_for(input_bytes).values())
+
+    assert sizes(1 << 30) == (128 << 20, 200)
+    assert sizes(1 << 40) == (128 << 20, 1024)
+    assert sizes(10 << 40) == (512 << 20, 10240)
+    assert sizes(100 << 40) == (512 << 20, 50_000)
+
+
 def test_settings_are_put_back_after_an_error(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with pytest.raises(RuntimeError), conf(

@@ -150,9 +150,12 @@ def test_bronze_stream_casts_and_renames(spark):
 def test_state_store_is_set_for_the_stream_only(spark, landing):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key, None)
-    landing(1)
-    counted(spark, landing)
+    landing(1, 50)
+    query = counted(spark, landing, state_partitions=2)
+    state = query.recentProgress[0]["stateOperators"][0]
+    assert state["numShufflePartitions"] == 2
     assert spark.conf.get(key, None) == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
 def test_interval_trigger_runs_until_stopped(spark, landing):

@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 
 from trilayer.session import conf
 from trilayer.sources.raw import list_files, read_raw
-from trilayer.sources.writers import write_layer
-
-FILE_BYTES = 1 << 30
+from trilayer.sources.writers import FILE_BYTES, write_layer
 
 
 def table_bytes(spark: SparkSession, path: str) -> int:
@@ -56,18 +54,18 @@ def compact(
     rows = read_raw(spark, source)
     if where:
         rows = rows.filter(where)
-    settings = {
+    if partition_by:
+        write_layer(
+            rows, destination, partition_by=partition_by, rebalance=True, file_bytes=file_bytes
+        )
+        return read_raw(spark, destination)
+    scan = {
         "spark.sql.files.maxPartitionBytes": str(file_bytes),
         "spark.sql.files.openCostInBytes": "0",
         "spark.sql.files.minPartitionNum": "1",
     }
-    if partition_by:
-        # Shuffled rows take about three times the room of Parquet.
-        settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(3 * file_bytes)}
-    with conf(spark, settings):
-        write_layer(
-            rows, destination, partition_by=partition_by, rebalance=bool(partition_by)
-        )
+    with conf(spark, scan):
+        write_layer(rows, destination)
     return read_raw(spark, destination)
 
 

@@ -15,13 +15,36 @@ SETTINGS = {
 }
 
 
+GIB = 1 << 30
+
+
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Scan and shuffle sizes for a job over this much input.
+
+    About half a gigabyte per scan task and a gigabyte per shuffle partition for large
+    input, so that 100 TB make some 200,000 scan tasks and no more shuffle partitions
+    than a driver can track. Adaptive execution merges those that turn out small.
+    """
+    scan = min(max(input_bytes // 10_000, 128 << 20), 512 << 20)
+    partitions = min(max(-(-input_bytes // GIB), 200), 50_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
+
+
 def build_session(
-    app: str, master: str | None = None, extra: Mapping[str, str] | None = None
+    app: str,
+    master: str | None = None,
+    extra: Mapping[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
+    """A session with the library's settings, sized for the input if that is given."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(extra or {})}.items():
+    sizes = sized_for(input_bytes) if input_bytes else {}
+    for key, value in {**SETTINGS, **sizes, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

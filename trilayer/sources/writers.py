@@ -8,9 +8,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from trilayer.session import conf
 from trilayer.sources.raw import read_raw
 
 
+FILE_BYTES = 512 << 20
+# Shuffled rows take about this many times the room of Parquet.
+SHUFFLE_FACTOR = 3
+
+
 def write_layer(
     df: DataFrame,
     path: str,
@@ -18,21 +24,27 @@ def write_layer(
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
     replace_only_written_partitions: bool = False,
+    file_bytes: int = FILE_BYTES,
 ) -> None:
     """Write one layer as Parquet.
 
     ``rebalance`` adds one shuffle on the partition columns so that each directory
-    gets few files; Spark splits a directory that holds much of the data over
-    several tasks. Without it every task writes its own file into each directory.
+    gets files of about ``file_bytes``; Spark splits a directory that holds much of
+    the data over several tasks. Without it every task writes its own file into each
+    directory.
     """
+    settings = {}
     if rebalance:
         df = df.hint("rebalance", *partition_by)
+        size = str(SHUFFLE_FACTOR * file_bytes)
+        settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": size}
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if replace_only_written_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    with conf(df.sparkSession, settings):
+        writer.parquet(path)
 
 
 @dataclass(frozen=True)

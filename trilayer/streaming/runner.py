@@ -30,12 +30,15 @@ def start_stream(
     name: str | None = None,
     mode: Mode = "append",
     interval: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a stream into Parquet files at ``path``, registered as ``table`` if named.
 
     By default it reads what is there and stops; with ``interval`` (such as
     "1 minute") it goes on. In update and complete mode each micro-batch is written
-    by write_batch() below, as files cannot take changed rows.
+    by write_batch() below, as files cannot take changed rows. ``state_partitions``
+    is fixed at the first start of a checkpoint; without it the session's number of
+    shuffle partitions is used.
     """
     writer = df.writeStream.option("checkpointLocation", checkpoint).outputMode(mode)
     if name:
@@ -46,8 +49,10 @@ def start_stream(
         else writer.trigger(availableNow=True)
     )
     spark = df.sparkSession
-    not_chosen = {k: v for k, v in STATE_STORE.items() if spark.conf.get(k, None) is None}
-    with conf(spark, not_chosen):
+    settings = {k: v for k, v in STATE_STORE.items() if spark.conf.get(k, None) is None}
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with conf(spark, settings):
         if mode != "append":
             keep_all = mode == "update"
             return writer.foreachBatch(write_batch(path, keep_all)).start()
