@@ -22,7 +22,8 @@ ORDER_INSERT = when_not_matched_insert(condition="s.merge_operation = 'INSERT'")
 
 def _exploded(df: DataFrame, choices: list[Column], output: str) -> DataFrame:
     """Each row once per choice that is not null, from a single scan."""
-    return df.withColumn(output, F.explode(F.array_compact(F.array(*choices))))
+    each = df.withColumn(output, F.explode(F.array(*choices)))
+    return each.filter(F.col(output).isNotNull())
 
 
 def order_changes(orders: DataFrame) -> DataFrame:

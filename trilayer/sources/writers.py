@@ -12,7 +12,8 @@ from trilayer.session import conf
 from trilayer.sources.raw import read_raw
 
 
-FILE_BYTES = 512 << 20
+# A layer is written in files of this size; compaction aims higher.
+FILE_BYTES = 128 << 20
 # Shuffled rows take about this many times the room of Parquet.
 SHUFFLE_FACTOR = 3
 
