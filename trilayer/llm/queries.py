@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trilayer.llm import mixing
+from trilayer.llm import mixing, near_dup
 from trilayer.sources.raw import table
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {
+    "op7_near_duplicates": op7_near_duplicates,
     "op10_mixing": op10_mixing,
 }
