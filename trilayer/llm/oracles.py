@@ -47,4 +47,44 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM sums
 """
 
-ORACLES = {"op10_mixing": OP10}
+OP6 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), item_starts AS (
+  SELECT item_id, w, least(len(w), 10) AS n,
+         unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+  FROM items WHERE len(w) > 0
+), item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS win FROM item_starts
+), doc_starts AS (
+  SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i
+  FROM docs, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n
+), doc_windows AS (
+  SELECT row, n, i, array_to_string(w[i : i + n - 1], ' ') AS win FROM doc_starts
+), found AS (
+  SELECT row, i, n, item_id FROM doc_windows JOIN item_windows USING (n, win)
+), hit AS (
+  SELECT row, count(DISTINCT p) AS n_hit
+  FROM (SELECT row, unnest(range(i, i + n)) AS p FROM found) GROUP BY row
+), named AS (
+  SELECT row, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT row, item_id FROM found) GROUP BY row
+)
+SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words,
+       coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
+"""
+
+ORACLES = {
+    "op6_decontaminate": OP6,
+    "op10_mixing": OP10,
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trilayer.llm import mixing, near_dup
+from trilayer.llm import decontaminate, mixing, near_dup
 from trilayer.sources.raw import table
 
 
@@ -17,7 +17,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.decontaminate(docs, items)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )
+
+
 QUERIES = {
+    "op6_decontaminate": op6_decontaminate,
     "op7_near_duplicates": op7_near_duplicates,
     "op10_mixing": op10_mixing,
 }
