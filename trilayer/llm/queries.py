@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trilayer.llm import decontaminate, mixing, near_dup
+from trilayer.llm import decontaminate, language, mixing, near_dup
 from trilayer.sources.raw import table
 
 
@@ -25,7 +26,16 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    models = language.learn(docs.filter(~held_out))
+    found = language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), models)
+    return found.drop("text")
+
+
 QUERIES = {
+    "op8_language": op8_language,
     "op6_decontaminate": op6_decontaminate,
     "op7_near_duplicates": op7_near_duplicates,
     "op10_mixing": op10_mixing,
