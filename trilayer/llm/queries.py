@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilayer.llm import decontaminate, language, mixing, near_dup
+from trilayer.llm import decontaminate, language, mixing, near_dup, quality_fm
 from trilayer.sources.raw import table
 
 
@@ -34,7 +34,17 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    machine = quality_fm.learn(docs.filter(~held_out), labels.filter(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return quality_fm.classify(rows, machine).drop("text")
+
+
 QUERIES = {
+    "op4_quality": op4_quality,
     "op8_language": op8_language,
     "op6_decontaminate": op6_decontaminate,
     "op7_near_duplicates": op7_near_duplicates,
