@@ -14,12 +14,18 @@ has a bound; each block sees every document. Documents are never shuffled.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from trilayer.llm.words import ALNUM_WORD, Words, mix, runs, slices, words
 from trilayer.workspace import written
@@ -173,8 +179,11 @@ def _rarity(docs: DataFrame, shared) -> dict[int, int]:
 
 def _pass(docs: DataFrame, shared, last: bool) -> DataFrame:
     """Adds the block's finds to hits (word positions) and items."""
-    kind = docs.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n_words long, hits binary, items array<string>"
+    schema = StructType([
+        docs.schema["id"], StructField("n_words", LongType()), StructField("hits", BinaryType()),
+        StructField("items", ArrayType(StringType())),
+        *([] if last else [docs.schema["text"]]),
+    ])
 
     def run(batches):
         for batch in slices(batches, "text"):
@@ -205,7 +214,7 @@ def _pass(docs: DataFrame, shared, last: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     found = docs.select("id", "text", "hits", "items")
-    return found.mapInArrow(run, schema + ("" if last else ", text string"))
+    return found.mapInArrow(run, schema)
 
 
 def _digest(found: DataFrame, id_column: str) -> DataFrame:
