@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilayer.llm import decontaminate, language, mixing, near_dup, quality_fm
+from trilayer.llm import decision_list, decontaminate, language, mixing, near_dup, quality_fm
 from trilayer.sources.raw import table
+from trilayer.workspace import written
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +44,19 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.classify(rows, machine).drop("text")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    measured = decision_list.statistics(docs).drop("text")
+    measured = written(measured, "rules-statistics")
+    rows = decision_list.labelled_rows(measured, table(spark, sf_dir, "labels"))
+    found = decision_list.apply(measured, decision_list.learn(rows))
+    return found.select(
+        "doc_id", *decision_list.COUNTS, "base_failed", "kept", "rule", *decision_list.FEATURES[1:]
+    )
+
+
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
     "op4_quality": op4_quality,
     "op8_language": op8_language,
     "op6_decontaminate": op6_decontaminate,
