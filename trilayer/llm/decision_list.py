@@ -36,7 +36,7 @@ MAX_RULES = 12
 MAX_CONDITIONS = 4
 #: Least rows a rule covers in growing, and least precision it keeps in pruning.
 LEAST_COVER = 3
-PRECISION = 0.9
+PRECISION = 0.95
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = (

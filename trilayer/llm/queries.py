@@ -48,7 +48,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     measured = decision_list.statistics(docs).drop("text")
     measured = written(measured, "rules-statistics")
-    rows = decision_list.labelled_rows(measured, table(spark, sf_dir, "labels"))
+    open_rows = measured.filter(~F.col("base_failed"))
+    rows = decision_list.labelled_rows(open_rows, table(spark, sf_dir, "labels"))
     found = decision_list.apply(measured, decision_list.learn(rows))
     return found.select(
         "doc_id", *decision_list.COUNTS, "base_failed", "kept", "rule", *decision_list.FEATURES[1:]
