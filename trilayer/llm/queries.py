@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilayer.llm import decision_list, decontaminate, language, mixing, near_dup, quality_fm
+from trilayer.llm import decision_list, decontaminate, katz, language, mixing, near_dup, quality_fm
 from trilayer.sources.raw import table
 from trilayer.workspace import written
 
@@ -56,7 +56,18 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    found, _ = katz.score(docs.withColumn("train", ~held_out))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score",
+    )
+
+
 QUERIES = {
+    "op1_katz": op1_katz,
     "op2_quality_rules": op2_quality_rules,
     "op4_quality": op4_quality,
     "op8_language": op8_language,
