@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+import duckdb
+import pytest
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from trilayer.llm import warc
+from trilayer.llm.oracles import OP5
+from trilayer.llm.queries import op5_warc
+from trilayer.session import conf
+
+DATA = "/root/testdata/sf0.001"
+PAGES = StructType([StructField("page_id", LongType()), StructField("url", StringType()),
+                    StructField("html", StringType()), StructField("offset", LongType())])
+LONG = "<p>" + "word " * 40 + "</p>"
+FAKE = (warc.MAGIC + "WARC-Type: response\r\nWARC-Record-ID: <urn:x-page:999>\r\n"
+        "Content-Length: 5\r\n\r\nhello\r\n\r\n")
+CASES = [
+    (5, "http://a.example/é", LONG), (3, "http://b.example/", LONG), (9, None, LONG),
+    (1, "u", "short"), (2, "u", "short"), (4, "u", None), (6, "u", ""), (None, "u", LONG),
+    (7, "line\r\nWARC-Type: evil", "x" * 99), (8, "u", "x" * 99), (10, "u", "ü" * 50),
+    (11, "u", "ü" * 50), (12, "u", FAKE), (13, "u", "lead " + FAKE * 3 + "tail" + LONG),
+    (14, "u", warc.MAGIC), (15, "u", "ends in " + warc.MAGIC), (16, "u", FAKE[:-4]),
+    (17, "u", warc.MAGIC + "Content-Length: 99999\r\n\r\n" + LONG), (18, "u", "\r\n\r\n"),
+    (19, "u", warc.MAGIC * 5), (20, "u", FAKE), (21, "u", LONG + "\r\n\r\n"),
+]
+
+
+def expected(rows):
+    out = []
+    for page, _, html in rows:
+        body = (html or "").encode()
+        same = [p for p, _, h in rows if (h or "").encode() == body and p is not None]
+        first = min(same) if len(body) >= 100 and same else page
+        revisit = first != page
+        out.append((page, len(body), hashlib.sha256(body).hexdigest(),
+                    "revisit" if revisit else "response", first if revisit else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("split", ["128m", "300b", "64b"])
+def test_round_trip_with_magic_inside_payloads(spark, split):
+    pages = spark.createDataFrame([(*r, 0) for r in CASES], PAGES).repartition(2)
+    with conf(spark, {"spark.sql.files.maxPartitionBytes": split,
+                      "spark.sql.files.openCostInBytes": "0"}):
+        found = warc.archive_and_read(pages)
+        rows = found.collect()
+    assert all(r["digest_ok"] for r in rows)
+    assert sorted((tuple(r)[0:1] + tuple(r)[2:6] for r in rows), key=str) == expected(CASES)
+    assert {r["page_id"]: r["url"] for r in rows}[7] == "line WARC-Type: evil"
+
+
+def test_files_are_plain_warc(spark, folder):
+    pages = spark.createDataFrame([(*r, 0) for r in CASES], PAGES).coalesce(1)
+    warc.write(pages, folder)
+    lines = spark.read.format("binaryFile").load(folder + "/*.txt").collect()
+    data, count = bytes(max(lines, key=lambda r: len(r["content"]))["content"]), 0
+    while data:
+        head, _, rest = data.partition(b"\r\n\r\n")
+        assert head.startswith(b"WARC/1.1\r\n")
+        size = int(re.search(rb"\r\nContent-Length: (\d+)", head)[1])
+        assert rest[size : size + 4] == b"\r\n\r\n"
+        data, count = rest[size + 4 :], count + 1
+    assert count == len(CASES)
+
+
+def test_pointer_jumping_keeps_the_chain_only(spark):
+    links = [(1, 0, 10), (1, 10, 30), (1, 20, 30), (1, 30, 40), (1, 35, 40), (1, 40, None),
+             (2, 0, 7), (2, 5, 9), (2, 9, 11), (3, 4, 8), (3, 8, 12)]
+    found = spark.createDataFrame(links, "file long, offset long, successor long")
+    rows = sorted(tuple(r) for r in warc.reachable(found).collect())
+    assert rows == [(1, 0), (1, 10), (1, 30), (1, 40), (2, 0)]
+
+
+def test_whole_table_equals_sql(spark):
+    engine = duckdb.connect()
+    engine.execute(f"CREATE VIEW pages AS SELECT * FROM '{DATA}/pages.parquet'")
+    cursor = engine.execute(OP5)
+    names = [d[0] for d in cursor.description]
+    found = sorted(map(tuple, op5_warc(spark, DATA).select(names).collect()), key=str)
+    assert found == sorted(cursor.fetchall(), key=str)
+
+
+def test_no_pages(spark):
+    pages = spark.createDataFrame([], PAGES)
+    assert warc.archive_and_read(pages).count() == 0

@@ -84,7 +84,24 @@ SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words,
 FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
 """
 
+OP5 = """
+WITH rows AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha256(coalesce(html, '')) AS digest
+  FROM pages
+), marked AS (
+  SELECT *, CASE WHEN bytes >= 100
+                 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS original
+  FROM rows
+)
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM original THEN 'response' ELSE 'revisit' END
+         AS record_type,
+       CASE WHEN page_id IS NOT DISTINCT FROM original THEN NULL ELSE original END AS refers_to
+FROM marked
+"""
+
 ORACLES = {
+    "op5_warc": OP5,
     "op6_decontaminate": OP6,
     "op10_mixing": OP10,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilayer.llm import decision_list, decontaminate, katz, language, mixing, near_dup, quality_fm
+from trilayer.llm import decision_list, decontaminate, katz, language, mixing, near_dup, quality_fm, warc
 from trilayer.sources.raw import table
 from trilayer.workspace import written
 
@@ -66,7 +66,14 @@ def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
+    "op5_warc": op5_warc,
     "op1_katz": op1_katz,
     "op2_quality_rules": op2_quality_rules,
     "op4_quality": op4_quality,
