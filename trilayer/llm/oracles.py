@@ -100,7 +100,54 @@ SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
 FROM marked
 """
 
+OP3 = r"""
+WITH captures AS (
+  SELECT page_id, url, 1704067200 + (page_id * 7919) % 31622400 AS fetched_at,
+    lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+    list_filter(string_split(
+      regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'),
+      lambda s: s <> '') AS steps
+  FROM pages
+), hosts AS (
+  SELECT DISTINCT host, strlen(host) AS n,
+         list_extract(string_split(host, '.'), -2) || '.' || list_extract(string_split(host, '.'), -1)
+           AS domain
+  FROM captures WHERE host <> ''
+), entries AS (
+  SELECT 'hosts' AS list, 'host:' || host AS pattern, 'add' AS action,
+         1704067200 + (n * 11 % 200) * 86400 AS moment FROM hosts WHERE n % 2 = 0
+  UNION ALL SELECT 'hosts', 'host:' || host, 'remove', 1704067200 + (n * 11 % 200 + 60) * 86400
+  FROM hosts WHERE n % 2 = 0
+  UNION ALL SELECT 'hosts', 'host:' || host, 'add', 1704067200 + (n * 11 % 200 + 120) * 86400
+  FROM hosts WHERE n % 4 = 0
+  UNION ALL SELECT DISTINCT 'domains', 'domain:' || domain, 'add',
+         1704067200 + (strlen(domain) * 17 % 150) * 86400 FROM hosts
+  UNION ALL SELECT DISTINCT 'domains', 'domain:' || domain, 'remove',
+         1704067200 + (strlen(domain) * 17 % 150 + 45) * 86400 FROM hosts
+  UNION ALL SELECT 'paths', 'prefix:' || host || '/en', 'add',
+         1704067200 + (n * 29 % 300) * 86400 FROM hosts WHERE n % 3 = 0
+), states AS (
+  SELECT DISTINCT list, pattern, moment, action = 'add' AS active FROM entries
+), spans AS (
+  SELECT list, pattern, moment AS since, active,
+         lead(moment, 1, 9000000000) OVER (PARTITION BY list, pattern ORDER BY moment) AS until
+  FROM (SELECT list, pattern, moment, bool_or(active) AS active FROM states GROUP BY ALL)
+), matched AS (
+  SELECT page_id, list || ' ' || pattern AS entry
+  FROM captures JOIN spans ON active AND since <= fetched_at AND fetched_at < until AND (
+    pattern = 'host:' || host
+    OR (starts_with(pattern, 'domain:')
+        AND (substr(pattern, 8) = host OR ends_with(host, '.' || substr(pattern, 8))))
+    OR (starts_with(pattern, 'prefix:') AND len(steps) > 0
+        AND pattern = 'prefix:' || host || '/' || steps[1]))
+)
+SELECT page_id, fetched_at, count(entry) > 0 AS blocked, count(entry) AS n_active,
+       coalesce(string_agg(entry, ', ' ORDER BY entry), '') AS active
+FROM captures LEFT JOIN matched USING (page_id) GROUP BY page_id, fetched_at
+"""
+
 ORACLES = {
+    "op3_url_lists": OP3,
     "op5_warc": OP5,
     "op6_decontaminate": OP6,
     "op10_mixing": OP10,

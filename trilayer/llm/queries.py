@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilayer.llm import decision_list, decontaminate, katz, language, mixing, near_dup, quality_fm, warc
+from trilayer.llm import decision_list, decontaminate, katz, language, mixing, near_dup, quality_fm, url_lists, warc
 from trilayer.sources.raw import table
 from trilayer.workspace import written
 
@@ -72,7 +72,48 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def list_entries(captures: DataFrame) -> DataFrame:
+    """Dated entries of three lists, derived from the hosts of the captures."""
+    day, start = 86_400, 1_704_067_200
+    hosts = captures.select(url_lists.host(F.col("url")).alias("host")).filter("host != \"\"")
+    hosts = hosts.distinct().withColumn("n", F.octet_length("host"))
+    domains = hosts.select(F.substring_index("host", ".", -2).alias("host")).distinct()
+    domains = domains.withColumn("n", F.octet_length("host"))
+
+    def entries(rows, name, action, kind, days, tail=""):
+        return rows.select(
+            F.lit(name).alias("list"),
+            F.concat(F.lit(kind + ":"), "host", F.lit(tail)).alias("pattern"),
+            F.lit(action).alias("action"), (start + days * day).cast("long").alias("at"),
+        )
+
+    n = F.col("n")
+    every = [
+        entries(hosts.filter(n % 2 == 0), "hosts", "add", "host", n * 11 % 200),
+        entries(hosts.filter(n % 2 == 0), "hosts", "remove", "host", n * 11 % 200 + 60),
+        entries(hosts.filter(n % 4 == 0), "hosts", "add", "host", n * 11 % 200 + 120),
+        entries(domains, "domains", "add", "domain", n * 17 % 150),
+        entries(domains, "domains", "remove", "domain", n * 17 % 150 + 45),
+        entries(hosts.filter(n % 3 == 0), "paths", "add", "prefix", n * 29 % 300, "/en"),
+    ]
+    found = every[0]
+    for more in every[1:]:
+        found = found.unionByName(more)
+    return found
+
+
+def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = F.lit(1_704_067_200) + F.col("page_id") * 7919 % 31_622_400
+    captures = pages.withColumn("fetched_at", fetched)
+    found = url_lists.evaluate(captures, list_entries(captures))
+    return found.select(
+        "page_id", "fetched_at", "blocked", "n_active", F.array_join("active", ", ").alias("active")
+    )
+
+
 QUERIES = {
+    "op3_url_lists": op3_url_lists,
     "op5_warc": op5_warc,
     "op1_katz": op1_katz,
     "op2_quality_rules": op2_quality_rules,
