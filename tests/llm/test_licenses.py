@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+
+import pytest
+
+from trilayer.llm import licenses
+from trilayer.llm.licenses import LICENSE_NAMES, TEMPLATES, THRESHOLD, scan
+
+FILES = "doc_id long, path string, text string, license string"
+MIT, GPL = "Released under the MIT License.", TEMPLATES[5][1]
+CASES = [
+    (1, "r/LICENSE", GPL), (2, "r/a/x.txt", "words of the work"), (3, "r/a/LICENSE.md", MIT + "\n" + MIT),
+    (4, "r/a/b/c/y.txt", None), (5, "r/z.txt", "intro\n  " + MIT.upper() + " \nmore text here"),
+    (6, "q/z.txt", "the the the of of version"), (7, None, MIT), (8, None, "nothing"),
+    (None, "r/n.txt", ""), (9, "top.txt", "Licensed under CC BY-SA 4.0."),
+    (10, "r/a/b/COPYING", "unlike any licence"), (11, "r/a/b/k.txt", "plain"),
+    (12, "r/s/copying.txt", "Released under the\nMIT License."), (13, "r/s/t.txt", "x " * 3000),
+    (3, "r/a/LICENSE.md", MIT + "\n" + MIT), (14, "r/w.txt", "Licensed under the Apache License"),
+    (15, "r/a/license", GPL), (16, "v.txt", "MIT " * 50 + "\n" + " ".join(["mit license"] * 9)),
+]
+
+
+def terms(text):
+    return re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", (text or "").lower())
+
+
+def brute_force(rows, templates=TEMPLATES):
+    df, n = Counter(), len(rows)
+    for _, _, text in rows:
+        df.update(set(terms(text)))
+
+    def vector(text):
+        return {w: c * (math.log((1 + n) / (1 + df[w])) + 1) for w, c in Counter(terms(text)).items()}
+
+    models = [(name, vector(body)) for name, body in templates]
+
+    def norm(v):
+        return math.sqrt(sum(x * x for x in v.values()))
+
+    own = {}
+    for doc, path, text in rows:
+        units = [(line, False) for line in (text or "").split("\n")]
+        if path and re.search(LICENSE_NAMES, path):
+            units.append((text or "", True))
+        for unit, whole in units:
+            v = vector(unit)
+            for name, m in models:
+                dot = sum(x * m[w] for w, x in v.items() if w in m)
+                if dot and dot / norm(v) / norm(m) >= THRESHOLD:
+                    found = (-round(dot / norm(v) / norm(m), 9), name, whole)
+                    own[doc, path] = min(own.get((doc, path), found), found)
+    dirs = {}
+    for (_, path), (low, name, _) in own.items():
+        if path and re.search(LICENSE_NAMES, path):
+            at = path.rpartition("/")[0]
+            dirs[at] = min(dirs.get(at, (low, name)), (low, name))
+    out = []
+    for doc, path in {r[:2] for r in rows}:
+        if (doc, path) in own:
+            low, name, whole = own[doc, path]
+            out.append((doc, path, name, -low, "file" if whole else "header", None))
+            continue
+        steps = (path or "").split("/")[:-1]
+        above = ["/".join(steps[:k]) for k in range(len(steps), -1, -1)] if path else []
+        near = next((d for d in above if d in dirs), None)
+        if near is None:
+            out.append((doc, path, None, None, "none", None))
+        else:
+            out.append((doc, path, dirs[near][1], -dirs[near][0], "inherited", near))
+    return sorted(out, key=str)
+
+
+def run(spark, rows, **settings):
+    files = spark.createDataFrame([(*r, "x") for r in rows], FILES)
+    found = scan(files, "doc_id", "path", "text", **settings).collect()
+    return sorted((tuple(r)[:3] + (None if r[3] is None else round(r[3], 9),) + tuple(r)[4:]
+                   for r in found), key=str)
+
+
+@pytest.mark.parametrize("copies", [1, 30])
+def test_equals_brute_force(spark, copies):
+    rows = CASES + [(100 + i, f"more/{i}.txt", "the work is under no version of a license of its own")
+                    for i in range(copies)]
+    assert run(spark, rows) == brute_force(rows)
+
+
+def test_few_and_no_templates_and_no_files(spark):
+    some = TEMPLATES[7:8]
+    assert run(spark, CASES, templates=some) == brute_force(CASES, some)
+    assert {r[4] for r in run(spark, CASES, templates=())} == {"none"}
+    assert run(spark, []) == []
+    assert licenses.THRESHOLD < 1

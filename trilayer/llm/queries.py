@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilayer.llm import decision_list, decontaminate, katz, language, mixing, near_dup, quality_fm, url_lists, warc
+from trilayer.llm import decision_list, decontaminate, katz, language, licenses, mixing, near_dup, quality_fm, url_lists, warc
 from trilayer.sources.raw import table
 from trilayer.workspace import written
 
@@ -112,7 +112,25 @@ def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of their source: up to two directories deep by id, each tenth
+    being a licence file."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    number = F.coalesce("doc_id", F.lit(0))
+    name = F.when(number % 10 == 0, "LICENSE").otherwise(
+        F.concat(number.cast("string"), F.lit(".txt")))
+    first = F.concat(F.lit("/a"), F.floor(number / 30) % 5)
+    second = F.concat(F.lit("/b"), F.floor(number / 150) % 8)
+    path = F.concat(
+        F.coalesce("source", F.lit("unknown")),
+        F.when(F.floor(number / 10) % 3 > 0, first).otherwise(""),
+        F.when(F.floor(number / 10) % 3 > 1, second).otherwise(""), F.lit("/"), name,
+    )
+    return licenses.scan(docs.withColumn("path", path), "doc_id", "path", "text")
+
+
 QUERIES = {
+    "op9_licenses": op9_licenses,
     "op3_url_lists": op3_url_lists,
     "op5_warc": op5_warc,
     "op1_katz": op1_katz,
