@@ -38,7 +38,7 @@ CALIBRATE = 4
 #: Standard deviations that a text may lie above its language's mean.
 DEVIATIONS = 8.0
 #: Characters scored at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 UNKNOWN = "und"
 
 _PAD = "\n" * (ORDER - 1)

@@ -141,7 +141,7 @@ def words(texts: pa.Array, is_word: np.ndarray = SPACE_WORD, fold: bool = True)
     )
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20):
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20):
     """Row slices of the batches with about ``limit`` bytes of text each, one row at least."""
     for batch in batches:
         _, at = utf8(batch.column(column))
