@@ -45,7 +45,18 @@ def test_compaction_of_partitions(spark, folder, fragments):
     files = layout.table_detail(spark, f"{folder}/parts").first()["files"]
     done = layout.compact(spark, f"{folder}/parts", f"{folder}/few", ["part"], where="part < 2")
     assert layout.table_detail(spark, f"{folder}/few").first()["files"] < files
-    assert same_rows(done, read_raw(spark, f"{folder}/parts").filter("part < 2"))
+    assert same_rows(done, read_raw(spark, f"{folder}/parts"))
+    with pytest.raises(ValueError, match="partitioned"):
+        layout.compact(spark, fragments, f"{folder}/no", where="part < 2")
+
+
+def test_swapped_nulls_and_other_types_are_differences(spark):
+    left = spark.createDataFrame([(None, 5), (1, None)], "a int, b int")
+    right = spark.createDataFrame([(5, None), (None, 1)], "a int, b int")
+    assert same_rows(left, left) and not same_rows(left, right)
+    assert not same_rows(left, left.union(left))
+    with pytest.raises(ValueError):
+        reconcile(left, left.withColumn("a", F.col("a").cast("long")))
 
 
 def test_a_large_partition_is_written_by_several_tasks(spark, folder):

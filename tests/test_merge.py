@@ -103,6 +103,51 @@ def test_duplicate_source_keys(spark, join_way):
     assert merge_upsert(target, source.filter("a = 2"), KEY, [UPDATE]).count() == 1
 
 
+def test_repeated_keys_without_conflict(spark, join_way):
+    target, source = frames(
+        spark,
+        [(1, 1, 1.0, "x"), (1, 1, 1.0, "x"), (2, 2, 2.0, "x")],
+        [
+            (1, 1, 10.0, "UPDATE"),
+            (1, 1, 20.0, "INSERT"),  # matched, so not inserted
+            (5, 5, 50.0, "INSERT"),
+            (5, 5, 60.0, "INSERT"),  # both are new rows
+            (7, 7, 70.0, "UPDATE"),
+            (7, 7, 71.0, "UPDATE"),  # match nothing
+            (None, 1, 0.0, "UPDATE"),
+            (None, 1, 0.0, "UPDATE"),
+        ],
+    )
+    merged = merge_upsert(target, source, KEY, [UPDATE, INSERT])
+    assert rows(merged) == rows(spark.createDataFrame(
+        [(1, 1, 10.0, "changed"), (1, 1, 10.0, "changed"), (2, 2, 2.0, "x"),
+         (5, 5, 50.0, None), (5, 5, 60.0, None)], TARGET))
+
+
+def test_conditions_on_the_target_decide_between_repeated_keys(spark, join_way):
+    target, source = frames(
+        spark,
+        [(1, 1, 1.0, "x"), (1, 1, 9.0, "x")],
+        [(1, 1, 2.0, "UPDATE"), (1, 1, 8.0, "UPDATE")],
+    )
+    near = when_matched_update({"v": "s.v"}, "abs(s.v - t.v) < 2")
+    assert rows(merge_upsert(target, source, KEY, [near])) == [(1, 1, 2.0, "x"), (1, 1, 8.0, "x")]
+    wide = when_matched_update({"v": "s.v"}, "abs(s.v - t.v) < 100")
+    with pytest.raises(DuplicateKeys):
+        merge_upsert(target, source, KEY, [wide])
+
+
+def test_the_latest_of_each_side_is_taken(spark, join_way):
+    target, source = frames(
+        spark,
+        [(1, 1, 1.0, "x")],
+        [(1, 1, 2.0, "UPDATE"), (1, 1, 3.0, "UPDATE"), (1, 1, 9.0, "INSERT"),
+         (2, 2, 1.0, "INSERT"), (2, 2, 5.0, "INSERT"), (2, 2, 7.0, "UPDATE")],
+    )
+    merged = merge_upsert(target, source, KEY, [UPDATE, INSERT], dedupe_by=["v"])
+    assert rows(merged) == [(1, 1, 3.0, "changed"), (2, 2, 5.0, None)]
+
+
 def test_lineitem_key_is_not_unique(spark):
     lines = table(spark, "/root/testdata/sf0.001", "lineitem")
     with pytest.raises(DuplicateKeys):

@@ -85,10 +85,62 @@ def test_whole_texts_are_searched(spark):
         (1, 1, "two.b+c@mail.example.com"),
         (1, 2, "three@c.net"),
     ]
-    phones = privacy.extract_matches(df, ["id"], "text", privacy.PHONE, "+1", "phone")
+    phones = privacy.extract_matches(df, ["id"], "text", privacy.PHONE, None, "phone")
     assert rows(phones) == [(1, 0, "+1 (123) 555-0000")]
 
 
+def found(spark, text, pattern):
+    df = spark.createDataFrame([(text,)], "text string")
+    return df.select(privacy.matches("text", pattern)).first()[0]
+
+
+@pytest.mark.parametrize(
+    ("text", "emails"),
+    [
+        ("to " + "l" * 80 + "@a.org.", ["l" * 80 + "@a.org"]),
+        ("bob@ex." + "x" * 40 + " ", ["bob@ex." + "x" * 40]),
+        ("bob@" + "d." * 200 + "org", ["bob@" + "d." * 200 + "org"]),
+        ("jürgen@example.com", ["jürgen@example.com"]),
+        ("a@b.co.m-x@y.com", ["a@b.co", ".m-x@y.com"]),
+        ("no@dot and @x.org", []),
+        ("a@" * 2000, []),
+    ],
+)
+def test_addresses_of_any_length_and_script(spark, text, emails):
+    assert found(spark, text, privacy.EMAIL) == emails
+
+
+@pytest.mark.parametrize(
+    ("text", "phones"),
+    [
+        ("555-1234, 555-5678", ["555-1234", "555-5678"]),
+        ("call (212) 555-1234!", ["(212) 555-1234"]),
+        ("+44 20 7946 0958.", ["+44 20 7946 0958"]),
+        ("+1 (743) 555-3824 or 212-555-1234", ["+1 (743) 555-3824", "212-555-1234"]),
+        ("2024-01-15 152.143.123.131 4785380592391135 a555-1234 555-12345 1555-1234", []),
+    ],
+)
+def test_phone_formats(spark, text, phones):
+    assert found(spark, text, privacy.PHONE) == phones
+
+
+def test_a_vault_with_repeated_rows(spark):
+    df = spark.createDataFrame([("Alice",)], "name string")
+    vault = spark.createDataFrame([("Alice", "tok_1"), ("Alice", "tok_1")], "value string, token string")
+    assert rows(privacy.tokenize(df, "name", "k", vault)) == [("Alice", "tok_1")]
+    torn = vault.union(spark.createDataFrame([("Alice", "tok_2")], vault.schema))
+    with pytest.raises(Exception, match="two tokens"):
+        privacy.tokenize(df, "name", "k", torn).collect()
+
+
+def test_vault_and_rare_groups_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(privacy, "broadcast_if_small", lambda df: df)
+    df = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", 1.0)], "g string, v double")
+    assert rows(privacy.suppress_rare(df, ["g"], "v", 2)) == [("a", 1.0), ("a", 1.0), ("b", None)]
+    vault = spark.createDataFrame([("a", "tok_a")], "value string, token string")
+    assert privacy.tokenize(df, "g", "k", vault).filter("token = 'tok_a'").count() == 2
+
+
 def test_tokens_are_stable_and_kept_in_the_vault(spark):
     df = spark.createDataFrame([("Alice",), ("Bob",), ("Alice",), (None,)], "name string")
     tokens = {row["name"]: row["token"] for row in privacy.tokenize(df, "name", "k1").collect()}

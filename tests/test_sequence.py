@@ -76,6 +76,22 @@ def test_equal_times_are_cut_by_the_tie(spark):
     assert sliced.filter("user = 1 and next is null").count() == 3
 
 
+def test_plan_does_not_grow_with_the_number_of_cuts(spark, folder):
+    burst = [(1, 600_000 + n // 9) for n in range(200)]
+    events = burst + [(1, day * 14_400) for day in range(120)] + [(2, 5), (2, 6)]
+    df, data = frame(spark, events)
+    df.write.parquet(folder)
+    df = spark.read.parquet(folder)
+    scans = {}
+    for hot_rows in (1000, 100, 20, 8):
+        found = add_next_time(df, "user", "ts", "id", "next", hot_rows=hot_rows)
+        assert rows(found) == brute_force(data)
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        scans[hot_rows] = plan.count("FileScan")
+    assert scans[1000] == 1
+    assert max(scans.values()) <= 2
+
+
 @settings(
     max_examples=10,
     deadline=None,

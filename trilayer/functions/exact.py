@@ -2,6 +2,8 @@
 
 A sum of doubles changes with the order in which partial sums meet, so a retried
 stage can change a published figure. These add in decimal and go back to double.
+Amounts may have ten decimals and be below 1e18 in absolute value; a larger or infinite
+one ends the job. A NaN among the values makes the result NaN, as a plain sum would.
 """
 
 from __future__ import annotations
@@ -9,18 +11,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-AMOUNT = "decimal(18,4)"
+AMOUNT = "decimal(28,10)"
 
 
 def round2(value: Column) -> Column:
-    """Two decimals, half up, decided on the decimal value."""
-    return F.round(value.cast("decimal(28,10)"), 2).cast("double")
+    """Two decimals, half up, decided on the decimal value; NaN stays."""
+    number = value.cast("double")
+    rounded = F.round(value.cast(AMOUNT), 2).cast("double")
+    return F.when(F.isnan(number), number).otherwise(rounded)
+
+
+def _is_nan(name: str) -> Column:
+    return F.isnan(F.col(name).cast("double"))
+
+
+def _nan_or(name: str, result: Column) -> Column:
+    return F.when(F.max(_is_nan(name)), F.lit(float("nan"))).otherwise(result)
+
+
+def _decimal_sum(name: str, amount_type: str) -> Column:
+    return F.sum(F.when(~_is_nan(name), F.col(name)).cast(amount_type))
 
 
 def exact_sum(name: str, amount_type: str = AMOUNT) -> Column:
-    return F.sum(F.col(name).cast(amount_type))
+    """Sum of the non-null values; null if there are none."""
+    return _nan_or(name, _decimal_sum(name, amount_type).cast("double"))
+
+
+def rounded_sum(name: str, amount_type: str = AMOUNT) -> Column:
+    """The sum to two decimals, rounded before it goes back to double."""
+    return _nan_or(name, round2(_decimal_sum(name, amount_type)))
 
 
 def exact_avg(name: str, amount_type: str = AMOUNT) -> Column:
     """Average over the non-null values; null if there are none."""
-    return F.try_divide(exact_sum(name, amount_type).cast("double"), F.count(name))
+    total = _decimal_sum(name, amount_type).cast("double")
+    return _nan_or(name, F.try_divide(total, F.count(name)))

@@ -10,24 +10,32 @@ from pyspark.sql import functions as F
 from trilayer.operators.joins import broadcast_if_small
 
 # What counts as an e-mail address and a phone number in free text.
-# The length limits keep matching linear on text without spaces.
-EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,253}\.[A-Za-z]{2,24}"
-PHONE = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
+# An address begins where a run of its characters does, or the last match ended, and such
+# a run is never tried again from its middle; so matching stays linear without limits.
+_LOCAL = r"[\p{L}\p{M}\p{N}._%+-]"
+EMAIL = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[\p{{L}}\p{{M}}\p{{N}}.-]+\.\p{{L}}{{2,}}"
+# With a country (+44 20 7946 0958, +1 (212) 555-1234), with an area ((212) 555-1234,
+# 212-555-1234), or short (555-1234); not inside a longer number or word.
+PHONE = (
+    r"(?<![\p{L}\p{N}.+-])(?:"
+    r"\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,4}"
+    r"|(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[.-])?[0-9]{3}-[0-9]{4}"
+    r")(?![\p{L}\p{N}]|[.-][0-9])"
+)
 
 
 # Text that every match contains; texts without it need no matching.
 EMAIL_PART = "@"
-PHONE_PART = "+1 ("
 
 
-def matches(text: str, pattern: str, part: str) -> Column:
+def matches(text: str, pattern: str, part: str | None = None) -> Column:
     """All matches in the whole text; null if it lacks ``part``."""
     found = F.regexp_extract_all(text, F.lit(pattern), 0)
-    return F.when(F.contains(F.col(text), F.lit(part)), found)
+    return F.when(F.contains(F.col(text), F.lit(part)), found) if part else found
 
 
 def extract_matches(
-    df: DataFrame, keep: Sequence[str], text: str, pattern: str, part: str, output: str
+    df: DataFrame, keep: Sequence[str], text: str, pattern: str, part: str | None, output: str
 ) -> DataFrame:
     """One row per match in the whole text, numbered from 0 as ``position``."""
     found = matches(text, pattern, part)
@@ -67,12 +75,16 @@ def tokenize(
 ) -> DataFrame:
     """``column`` as a token; values the vault knows keep the vault's token.
 
-    ``vault`` has the columns value and token. Without one, nothing is joined.
+    ``vault`` has the columns value and token; rows may repeat, but a value with two tokens
+    ends the job. Without one, nothing is joined.
     """
     fresh = token(F.col(column), secret)
     if vault is None:
         return df.withColumn(output, fresh)
-    known = vault.select(F.col("value").alias("_value"), F.col("token").alias("_token"))
+    stop = F.raise_error("a value has two tokens in the vault").cast("string")
+    known = vault.groupBy(F.col("value").alias("_value")).agg(
+        F.when(F.min("token") == F.max("token"), F.min("token")).otherwise(stop).alias("_token")
+    )
     known = broadcast_if_small(known)
     return df.join(known, F.col(column) == F.col("_value"), "left").select(
         *df.columns, F.coalesce("_token", fresh).alias(output)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trilayer.functions.exact import exact_avg, exact_sum, round2
+from trilayer.functions.exact import exact_avg, round2, rounded_sum
 from trilayer.functions.times import partition_columns
 
 
@@ -19,8 +19,8 @@ def daily_summary(silver: DataFrame, time: str = "tpep_pickup_datetime") -> Data
     return silver.groupBy(day(time).alias("trip_date")).agg(
         F.count("*").alias("total_trips"),
         round2(exact_avg("trip_distance")).alias("average_trip_distance_miles"),
-        round2(exact_sum("fare_amount")).alias("total_fare_amount"),
-        round2(exact_sum("tip_amount")).alias("total_tip_amount"),
+        rounded_sum("fare_amount").alias("total_fare_amount"),
+        rounded_sum("tip_amount").alias("total_tip_amount"),
         round2(exact_avg("trip_duration_minutes")).alias("average_trip_duration_minutes"),
     )
 
@@ -47,7 +47,7 @@ def revenue_summary(silver: DataFrame, time: str = "tpep_pickup_datetime") -> Da
     return silver.groupBy(day(time).alias("trip_date")).agg(
         F.count("*").alias("total_trips"),
         round2(exact_avg("trip_distance")).alias("average_trip_distance"),
-        round2(exact_sum("total_amount")).alias("total_revenue"),
+        rounded_sum("total_amount").alias("total_revenue"),
     )
 
 

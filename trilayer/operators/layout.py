@@ -47,19 +47,26 @@ def compact(
     where: str | None = None,
     file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
-    """Rewrite a table into files of about ``file_bytes``; ``where`` picks partitions.
+    """Rewrite a table into files of about ``file_bytes``.
+
+    ``where``, a condition on partition columns, picks the partitions to rewrite; the
+    others are carried over in as many files as their tasks write.
 
     An unpartitioned table needs no shuffle: each task reads small files up to
     ``file_bytes`` and writes one. A partitioned one is rebalanced by its partition
     columns, with a large partition spread over several tasks.
     """
     rows = read_raw(spark, source)
-    if where:
-        rows = rows.filter(where)
+    if where and not partition_by:
+        raise ValueError("only a partitioned table can be compacted in part")
     if partition_by:
+        chosen = rows.filter(where) if where else rows
         write_layer(
-            rows, destination, partition_by=partition_by, rebalance=True, file_bytes=file_bytes
+            chosen, destination, partition_by=partition_by, rebalance=True, file_bytes=file_bytes
         )
+        if where:
+            others = rows.filter(~F.coalesce(F.expr(where), F.lit(False)))
+            write_layer(others, destination, "append", partition_by=partition_by)
         return read_raw(spark, destination)
     scan = {
         "spark.sql.files.maxPartitionBytes": str(file_bytes),

@@ -13,7 +13,7 @@ from functools import reduce
 from operator import and_, or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from trilayer.operators.joins import row_bytes, within_limits
@@ -65,7 +65,7 @@ def _acting_rows(source: DataFrame, clauses: Sequence[Clause]) -> DataFrame:
 
 
 class DuplicateKeys(ValueError):
-    """Several acting source rows have the same merge key."""
+    """Several source rows would change the same target row."""
 
 
 def _latest_per_key(
@@ -78,8 +78,8 @@ def _latest_per_key(
     return keyed.unionByName(source.filter(~has_key))
 
 
-def _is_small(source: DataFrame, on: Sequence[str]) -> bool:
-    """Measure the source and look for duplicate keys, in one job over it."""
+def _measure(source: DataFrame, on: Sequence[str]) -> tuple[bool, bool]:
+    """Whether the source is small, and whether keys repeat in it, in one job over it."""
     has_key = reduce(and_, [F.col(name).isNotNull() for name in on])
     per_key = source.groupBy(*on).agg(
         F.count("*").alias("_n"), F.sum(row_bytes(source.schema)).alias("_bytes")
@@ -87,9 +87,16 @@ def _is_small(source: DataFrame, on: Sequence[str]) -> bool:
     rows, size, most = per_key.agg(
         F.sum("_n"), F.sum("_bytes"), F.max(F.when(has_key, F.col("_n")))
     ).first()
-    if (most or 0) > 1:
-        raise DuplicateKeys(f"up to {most} source rows have the same merge key {list(on)}")
-    return within_limits(rows or 0, size or 0)
+    return within_limits(rows or 0, size or 0), (most or 0) > 1
+
+
+def _one_match_each(labelled: DataFrame, on: Sequence[str]) -> DataFrame:
+    """One row per target row (_target), with the clause that acts on it if any does."""
+    acting = labelled.groupBy("_target").agg(F.count("_clause").alias("_n"))
+    if not acting.filter("_n > 1").isEmpty():
+        raise DuplicateKeys(f"several source rows change one target row, by {list(on)}")
+    order = Window.partitionBy("_target").orderBy(F.col("_clause").asc_nulls_last())
+    return labelled.withColumn("_place", F.row_number().over(order)).filter("_place = 1")
 
 
 def merge_actions(
@@ -102,27 +109,37 @@ def merge_actions(
     """The target's columns plus ``merge_action``: keep, update, delete or insert.
 
     The first clause whose condition is true acts. A matched row without one stays,
-    an unmatched source row without one is ignored. Null keys match nothing. Two
-    acting source rows with the same key raise, unless ``dedupe_by`` says to take the
-    latest. The source is read more than once, so it must not change in between.
+    an unmatched source row without one is ignored. Null keys match nothing. Source keys
+    may repeat, but two source rows that change the same target row raise; all unmatched
+    rows are inserted. ``dedupe_by`` takes the latest source row of a key, among those for
+    matched clauses and among those for insertions. Both sides are read more than once,
+    so they must not change in between.
 
     A source measured to be small is broadcast, and the target is not shuffled. A
     large one is joined by shuffle: the left join can split a key that many target
     rows share, and only distinct target keys go into the anti join.
     """
-    source = _acting_rows(source, clauses)
-    if dedupe_by:
-        source = _latest_per_key(source, on, dedupe_by)
-    is_small = _is_small(source, on)
-    t, s = target.alias("t"), source.withColumn("_hit", F.lit(True)).alias("s")
+    matched = [clause for clause in clauses if clause.matched]
+    inserts = [clause for clause in clauses if not clause.matched]
+
+    def side(chosen: Sequence[Clause]) -> DataFrame:
+        rows = _acting_rows(source, chosen) if chosen else source.limit(0)
+        return _latest_per_key(rows, on, dedupe_by) if dedupe_by else rows
+
+    changing, inserted = side(matched), side(inserts)
+    is_small, repeats = _measure(changing, on)
+    t, s = target.alias("t"), changing.withColumn("_hit", F.lit(True)).alias("s")
+    if repeats:
+        t = target.withColumn("_target", F.monotonically_increasing_id()).alias("t")
     if is_small:
         s = F.broadcast(s)
     same_key = reduce(and_, [F.col(f"t.{name}") == F.col(f"s.{name}") for name in on])
 
-    matched = [clause for clause in clauses if clause.matched]
     labelled = t.join(s, same_key, "left").withColumn(
         "_clause", _first_true(matched, F.col("s._hit"))
     )
+    if repeats:
+        labelled = _one_match_each(labelled, on)
     action, columns = F.lit("keep"), []
     for number, clause in enumerate(matched):
         action = F.when(F.col("_clause") == number, F.lit(clause.action)).otherwise(action)
@@ -135,17 +152,16 @@ def merge_actions(
         columns.append(value.alias(item.name))
     changed = labelled.select(*columns, action.alias("merge_action"))
 
-    inserts = [clause for clause in clauses if not clause.matched]
     if not inserts:
         return changed
     # Distinct before any shuffle join, so that a key that fills much of the target is
     # one row per task; a small source first narrows them down to the keys it names.
     hit = target.select(*on)
-    if is_small:
-        hit = hit.join(F.broadcast(source.select(*on)), list(on), "left_semi")
+    if _measure(inserted, on)[0]:
+        hit = hit.join(F.broadcast(inserted.select(*on)), list(on), "left_semi")
     hit = hit.distinct()
     candidates = (
-        source.join(hit, list(on), "left_anti")
+        inserted.join(hit, list(on), "left_anti")
         .select(*source.columns)
         .alias("s")
         .withColumn("_clause", _first_true(inserts, F.lit(True)))

@@ -13,13 +13,16 @@ def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: row counts of both sides, and whether counts and contents agree.
 
     Contents are compared by two sums of 64-bit row hashes, which do not depend on
-    the order of rows and count duplicates.
+    the order of rows and count duplicates. A hash leaves nulls out, so each column goes
+    in with whether it is null. Columns that differ in name or type raise.
     """
-    if sorted(left.columns) != sorted(right.columns):
+    if sorted(left.dtypes) != sorted(right.dtypes):
         raise ValueError("the two sides have different columns")
 
     def hashed(df: DataFrame, side: str) -> DataFrame:
-        columns = [F.col(name) for name in sorted(df.columns)]
+        columns = [
+            part for name in sorted(df.columns) for part in (F.isnull(name), F.col(name))
+        ]
         return df.select(
             F.lit(side).alias("side"),
             F.xxhash64(*columns).cast("decimal(38,0)").alias("h1"),

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trilayer.operators.joins import broadcast_if_small
+from trilayer.workspace import written
+
 # Rows of one group that one task sorts without trouble.
 HOT_ROWS = 1_000_000
 # Slices cut per HOT_ROWS rows, so that uneven spread over time mostly leaves slices
@@ -32,11 +35,15 @@ def add_next_time(
     rows, its timeline is cut into slices, each sorted by a task of its own. A marker
     row at the end of each slice carries the first time of the following slice, so
     the last row of a slice finds its successor in the same window. A slice that is
-    still too large, as after a burst, is cut again by its own bounds.
+    still too large, as after a burst, is cut again by its own bounds. Each cut is
+    written, so neither the plan nor what it reads grows with the number of cuts.
     """
     has_time = F.col(time).isNotNull()
     groups, parts = [key], df
-    while not (hot := hot_groups(parts, groups, time, tie, hot_rows)).isEmpty():
+    while True:
+        hot = written(hot_groups(parts, groups, time, tie, hot_rows), "hot-groups")
+        if hot.isEmpty():
+            break
         parts = _cut(parts, hot, groups, time, tie)
         groups = [*groups, f"_slice{len(groups)}"]
     order = [time, tie] if parts is df else [time, "_marker", tie]
@@ -97,12 +104,12 @@ def _cut(
     same = [F.col(name).eqNullSafe(F.col(f"_hot{name}")) for name in groups]
     place = F.when(F.col("_by_tie"), F.col(tie)).otherwise(_micros(time))
     place = F.when(F.col("_marker"), F.col("_high")).otherwise(place)
-    # Safe to broadcast: hot_groups() gives at most one row per hot_rows rows.
-    sliced = (
-        df.join(F.broadcast(hot), same, "left")
+    sliced = written(
+        df.join(broadcast_if_small(hot), same, "left")
         .withColumn("_place", place)
         .withColumn(output, F.expr("(_place - _low) div _width"))
-        .select(*df.columns, output)
+        .select(*df.columns, output),
+        "sliced",
     )
     # At most OVERSPLIT * (rows of the group / hot_rows + 1) rows per group from here on.
     timeline = Window.partitionBy(*groups).orderBy(output)

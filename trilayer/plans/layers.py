@@ -14,9 +14,7 @@ from trilayer.operators.gold import daily_summary
 from trilayer.sources.raw import list_files, read_raw
 from trilayer.sources.trips import raw_trips
 from trilayer.sources.writers import write_layer
-from trilayer.workspace import new_dir
-
-_written: dict[tuple, str] = {}
+from trilayer.workspace import layer_paths, new_dir
 
 
 def _input(spark: SparkSession, folder: str) -> tuple:
@@ -32,8 +30,8 @@ def build_bronze(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _layer(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    source = _input(spark, folder)
-    if (source, name) not in _written:
+    key = (*_input(spark, folder), name)
+    if key not in layer_paths:
         if name == "bronze":
             rows = build_bronze(spark, folder)
         elif name == "silver":
@@ -43,8 +41,8 @@ def _layer(spark: SparkSession, folder: str, name: str) -> DataFrame:
         parts = [] if name == "gold_daily" else ["pickup_year", "pickup_month"]
         path = new_dir(spark, name)
         write_layer(rows, path, partition_by=parts, rebalance=bool(parts))
-        _written[source, name] = path
-    return read_raw(spark, _written[source, name])
+        layer_paths[key] = path
+    return read_raw(spark, layer_paths[key])
 
 
 def bronze_table(spark: SparkSession, folder: str) -> DataFrame:

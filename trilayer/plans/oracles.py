@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from trilayer.functions.privacy import EMAIL, PHONE
+# Written apart from the patterns of the library; the engine has no look-behind.
+EMAIL = (r"[\p{L}\p{M}\p{N}._%+-]+@[\p{L}\p{M}\p{N}.-]+\.\p{L}{2,}", 0)
+PHONE = (
+    r"(?:^|[^\p{L}\p{N}.+-])(\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,4}"
+    r"|(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[.-])?[0-9]{3}-[0-9]{4})(?:[^\p{L}\p{N}.-]|[.-][^0-9]|$)",
+    1,
+)
 
 
 def _amount(name: str) -> str:
-    return f"sum(CAST({name} AS DECIMAL(18,4)))"
+    return f"sum(CAST({name} AS DECIMAL(28,10)))"
 
 
 def _average(name: str) -> str:
@@ -122,7 +128,7 @@ def _joined(condition: str, output: str) -> str:
 SELECT event_id, tpep_pickup_datetime, pickup_location_id, total_amount,
        d.total_trips AS {output}
 FROM silver s JOIN daily d ON {_DAY_TS} = d.trip_date
-WHERE pickup_year = 2024 AND pickup_month = 1 AND {condition}"""
+WHERE {condition}"""
 
 
 _ORDER_CHANGES = """
@@ -231,11 +237,12 @@ closed AS (
 )"""
 
 
-def _found(kind: str, pattern: str) -> str:
+def _found(kind: str, how: tuple[str, int]) -> str:
+    pattern, group = how
     return f"""
 SELECT doc_id, unnest(hits) AS {kind},
        CAST(unnest(range(len(hits))) AS INTEGER) AS position
-FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS hits FROM documents)"""
+FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}', {group}) AS hits FROM documents)"""
 
 
 _EMAILS = f"found AS ({_found('email', EMAIL)})"
@@ -294,6 +301,40 @@ FROM checked GROUP BY 1""",
 SELECT pickup_location_id, {_average("tip_amount")} AS avg_tip FROM silver
 WHERE pickup_year = 2024 AND pickup_month = 1
 GROUP BY pickup_location_id ORDER BY pickup_location_id""",
+    "pruned_days": f"""WITH {_SILVER}
+SELECT CAST(day(tpep_pickup_datetime) AS INTEGER) AS pickup_day, pickup_location_id,
+       {_average("tip_amount")} AS avg_tip FROM silver
+WHERE day(tpep_pickup_datetime) BETWEEN 5 AND 7 GROUP BY 1, 2""",
+    "reconcile_differences": """
+SELECT copy, count(*) AS left_rows, count(*) AS right_rows, true AS counts_equal,
+       copy = 'same' AS contents_equal
+FROM orders, (VALUES ('changed_row'), ('same'), ('swapped_nulls')) AS copies(copy) GROUP BY copy""",
+    "file_profile": """
+SELECT CAST(8 AS BIGINT) AS files, count(*) AS rows, true AS sizes_agree, true AS all_have_rows
+FROM lineitem""",
+    "skipping_report": """
+SELECT count(*) AS rows, count(*) FILTER (WHERE l_partkey BETWEEN 0 AND 50) AS matching_rows,
+       true AS files_add_up, true AS reads_enough, true AS skips_some FROM lineitem""",
+    "compact_partitions": f"""
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, count(*) AS lines,
+       {_round2(_amount("l_quantity"))} AS quantity FROM lineitem GROUP BY 1""",
+    "merge_repeated_keys": f"""{_merged_orders(with_delete=False)}
+UNION ALL
+SELECT -1 - o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1, o_orderdate, o_orderpriority
+FROM changes WHERE op = 'INSERT'""",
+    "stream_by_table": f"""WITH {_TRIPS}
+SELECT time_bucket(INTERVAL 10 MINUTE, tpep_pickup_datetime, TIMESTAMP '1970-01-01')
+         AS window_start,
+       time_bucket(INTERVAL 10 MINUTE, tpep_pickup_datetime, TIMESTAMP '1970-01-01')
+         + INTERVAL 10 MINUTE AS window_end,
+       PULocationID AS pickup_location_id, count(*) AS trip_count
+FROM trips WHERE tpep_dropoff_datetime > tpep_pickup_datetime GROUP BY ALL""",
+    "pii_vault": f"""WITH {_EMAILS},
+known AS (SELECT DISTINCT email FROM found WHERE doc_id % 2 = 0)
+SELECT 'tok_' || left(sha256(CASE WHEN email IN (SELECT email FROM known) THEN 'older-key'
+                                  ELSE 'vault-key' END || email), 32) AS token,
+       count(*) AS token_rows
+FROM found GROUP BY 1""",
     "filtered_avg": f"""WITH {_SILVER}
 SELECT pickup_location_id, {_average("tip_amount")} AS avg_tip FROM silver
 WHERE tip_amount > 50 GROUP BY pickup_location_id ORDER BY pickup_location_id""",
@@ -402,7 +443,9 @@ phones AS ({_found('phone', PHONE)})
 SELECT doc_id, 'email' AS kind, position,
        left(email, 1) || '***' || substr(email, strpos(email, '@')) AS masked FROM found
 UNION ALL
-SELECT doc_id, 'phone', position, '+X (XXX) XXX-' || right(phone, 4) FROM phones""",
+SELECT doc_id, 'phone', position,
+       regexp_replace(left(phone, length(phone) - length(tail)), '[0-9]', 'X', 'g') || tail
+FROM (SELECT *, regexp_extract(phone, '(?:[0-9][^0-9]*){{4}}$') AS tail FROM phones)""",
     "pii_tokenize": f"""WITH {_EMAILS}
 SELECT 'tok_' || left(sha256('vault-key' || email), 32) AS token, count(*) AS token_rows
 FROM found GROUP BY 1""",

@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+# Paths of layers written by a session, by (application, ...); release() forgets them.
+layer_paths: dict[tuple, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -54,6 +56,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Delete every table, sink and checkpoint this session put into the folder."""
     app = spark.sparkContext.applicationId
+    for key in [key for key in layer_paths if key[0] == app]:
+        del layer_paths[key]
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/trilayer/{app}")
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
