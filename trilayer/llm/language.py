@@ -12,8 +12,8 @@ Rejection is calibrated on sampled documents that the models have not seen: per
 the mean cross-entropy, its spread between documents and within them set how far a text
 of its length may lie above the mean.
 
-The models are learned from a sample of at most ``PER_LANGUAGE`` rows per language, so
-that they stay small enough to hand to each task. Scoring reads all rows and whole texts.
+The models are learned from a sample of at most ``PER_LANGUAGE`` rows of each of at most
+``LANGUAGES`` languages, so that they stay small enough to hand to each task. Scoring reads all rows and whole texts.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ ORDER = 4
 BITS = 6
 SYMBOLS = 1 << BITS
 PER_LANGUAGE = 400
+#: Languages learned at most, the most frequent ones.
+LANGUAGES = 200
 #: One in so many sampled rows calibrates instead of training.
 CALIBRATE = 4
 #: Standard deviations that a text may lie above its language's mean.
@@ -206,7 +208,8 @@ class Models:
             logs = [self.models[n].log_probability(new.astype(np.int64), ORDER)
                     for n in self.names]
             self._table[new] = np.arange(len(new), dtype=np.int32) + len(self._rows)
-            self._rows = np.concatenate([self._rows, np.array(logs, np.float32).T])
+            logs = np.array(logs, np.float32).reshape(len(self.names), len(new))
+            self._rows = np.concatenate([self._rows, logs.T])
             index = self._table[codes]
         return index
 
@@ -256,6 +259,7 @@ def sample_rows(docs: DataFrame, per_language: int) -> DataFrame:
     """At most so many rows per language, those of the smallest hash of the text."""
     docs = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
     counts = docs.groupBy("lang").agg(F.count("*").alias("rows"))
+    counts = counts.orderBy(F.desc("rows"), "lang").limit(LANGUAGES)
     place = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 40)) / (1 << 40)
     few = docs.withColumn("place", place).join(F.broadcast(counts), "lang").filter(
         F.col("place") * F.col("rows") < 2 * per_language + 20

@@ -112,8 +112,8 @@ def scan(files: DataFrame, id_column: str, path: str, text: str,
     df = written(model_df.unionByName(_df(worded, written(more, "license-terms"))), "license-all-df")
     vectors = _weighted(counts, df, total, ["unit"])
     both = vectors.join(
-        F.broadcast(model.select("template", "term", F.col("weight").alias("model_weight"),
-                                 F.col("norm").alias("model_norm"))), "term")
+        broadcast_if_small(model.select("template", "term", F.col("weight").alias("model_weight"),
+                                        F.col("norm").alias("model_norm"))), "term")
     scores = both.groupBy("unit", "template").agg(
         (F.sum(F.col("weight") * F.col("model_weight"))
          / F.first("norm") / F.first("model_norm")).alias("score")
