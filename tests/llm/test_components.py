@@ -1,0 +1,46 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from trilayer.llm.components import components
+
+
+def brute_force(edges):
+    nearby = {}
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            nearby.setdefault(a, set()).add(b)
+            nearby.setdefault(b, set()).add(a)
+    out = {}
+    for start in sorted(nearby):
+        stack = [start] if start not in out else []
+        while stack:
+            node = stack.pop()
+            if node not in out:
+                out[node] = start
+                stack += nearby[node]
+    return sorted(out.items())
+
+
+@pytest.mark.parametrize(
+    "edges",
+    [
+        [],
+        [(1, 1), (None, 2), (3, None)],
+        [(i, i + 1) for i in range(40)],
+        [(-5, i) for i in range(30)] + [(100, 101), (101, 100), (100, 101)],
+        [(i, (i * 7919) % 60 - 20) for i in range(60)],
+    ],
+)
+def test_equals_brute_force(spark, edges):
+    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted(map(tuple, found)) == brute_force(edges)
+
+
+def test_random_graphs(spark):
+    draw = random.Random(1)
+    edges = [(draw.randrange(400), draw.randrange(400)) for _ in range(190)]
+    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted(map(tuple, found)) == brute_force(edges)

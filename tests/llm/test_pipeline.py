@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from trilayer.llm.oracles import ORACLES
+from trilayer.llm.queries import QUERIES
+
+DATA = "/root/testdata/sf0.01"
+TABLES = ("documents", "pages", "benchmark", "labels")
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages_of_the_whole_table(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    assert docs.columns == COLUMNS
+    sizes = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {r[0] for r in docs.select("doc_id").collect()}
+        docs = stage(spark, docs, DATA)
+        assert docs.columns == COLUMNS
+        path = f"{corpus_pipeline.written(docs, 'test-' + name).inputFiles()[0]}"
+        docs = spark.read.parquet(path.rpartition("/")[0])
+        kept = {r[0] for r in docs.select("doc_id").collect()}
+        assert kept <= before
+        sizes.append(len(kept))
+    assert sizes[0] - sizes[1] < 5  # languages are known
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
+    assert sum(labels.get(d) == 0 for d in kept) <= 2
+    assert sizes == sorted(sizes, reverse=True)
+    mixed = corpus_pipeline.mixed(spark, docs, DATA).collect()
+    assert mixed and all(0 < r["taken"] <= 2 * r["size"] for r in mixed)
+    by_source = {}
+    for r in mixed:
+        by_source.setdefault(r["source"], [r["target"], 0])[1] += r["taken"]
+    assert all(0 <= target - taken < 1 for target, taken in by_source.values())
+
+
+def test_near_duplicates_by_row_where_ids_are_not_unique(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, text, "en", "s", 0), (1, text, "en", "s", 0), (None, text + " more", "en", "s", 0),
+            (None, "quite another text of its own here", "en", None, None), (2, None, None, None, 1),
+            (1, "the same id but nothing in common at all", "en", "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.one_of_each(spark, docs, DATA)
+    assert kept.columns == docs.columns
+    texts = sorted(str(r["text"]) for r in kept.collect())
+    assert len(texts) == 4 and sum(t.startswith("word0") for t in texts) == 1
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_empty_tables(spark, number):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
+    name, stage = corpus_pipeline.STAGES[number]
+    found = stage(spark, docs, DATA)
+    assert found.columns[:5] == COLUMNS and found.count() == 0
+
+
+def test_extra_columns_pass_through(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(60)
+    clashing = ("score", "row", "size", "kept", "id", "label", "predicted", "hits", "items")
+    for name in clashing:
+        docs = docs.withColumn(name, docs["doc_id"] * 0 + 7)
+    docs = corpus_pipeline.written(docs, "extra")
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, DATA)
+        rows = found.collect()
+        assert rows and found.columns[:5] == COLUMNS
+        kept = [c for c in clashing if c != "size" or name != "mixing"]
+        assert all(r[c] == 7 for r in rows for c in kept)
+
+
+def test_run(spark):
+    found = contract.queries()["pipeline"](spark, "/root/testdata/sf0.001")
+    assert found.count() > 0 and "pipeline" not in contract.oracle_sql()
+
+
+def test_every_operator_is_registered_once():
+    names = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
+    assert names == list(range(1, 11))
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    engine = duckdb.connect()
+    for t in TABLES:
+        engine.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    cursor = engine.execute(ORACLES[name])
+    columns = [d[0] for d in cursor.description]
+    found = QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert sorted(found.columns) == sorted(columns)
+    assert sorted(map(str, map(tuple, found.select(columns).collect()))) == sorted(
+        map(str, cursor.fetchall()))
