@@ -12,6 +12,8 @@ Input columns named like those the mix adds are replaced.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,18 +23,24 @@ from trilayer.sources.raw import table
 from trilayer.workspace import written
 
 
+def _kept(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], condition: str) -> DataFrame:
+    """Rows of ``docs`` that meet a condition on what ``judge`` adds; columns of ``docs``
+    have other names meanwhile, so that none is replaced."""
+    aside = {name: f"pipeline_{name}" for name in docs.columns if name != "text"}
+    found = judge(docs.withColumnsRenamed(aside)).filter(condition)
+    return found.select(*[F.col(aside.get(name, name)).alias(name) for name in docs.columns])
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the models recognise."""
-    columns = docs.columns
-    found = language.identify(docs, language.learn(docs))
-    return found.filter(~F.col("rejected")).select(columns)
+    models = language.learn(docs)
+    return _kept(docs, lambda rows: language.identify(rows, models), "NOT rejected")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine predicts to be good."""
-    columns = docs.columns
     machine = quality_fm.learn(docs, table(spark, sf_dir, "labels"))
-    return quality_fm.classify(docs, machine).filter("predicted = 1").select(columns)
+    return _kept(docs, lambda rows: quality_fm.classify(rows, machine), "predicted = 1")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
