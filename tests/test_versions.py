@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -82,6 +83,16 @@ def test_revert(spark):
     assert rows(state_as_of(grown, ["k"], ["v"], 3)) == rows(state_as_of(df, ["k"], ["v"]))
 
 
+def test_revert_to_a_time(spark):
+    changes = [(1, 1.0, 0, "INSERT", "WRITE"), (1, 2.0, 1, "UPDATE", "WRITE"), (2, 5.0, 2, "INSERT", "WRITE")]
+    df = log(spark, changes)
+    times = [row[0] for row in df.orderBy("version").select("commit_ts").collect()]
+    undo = revert_changes(df, ["k"], ["v"], timestamp=str(times[1]))
+    assert rows(state_as_of(df.unionByName(undo), ["k"], ["v"])) == [(1, 2.0)]
+    with pytest.raises(ValueError):
+        revert_changes(df, ["k"], ["v"])
+
+
 def test_a_key_with_very_many_changes(spark):
     changes = [(1, float(n), n, "UPDATE" if n else "INSERT", "WRITE") for n in range(300)]
     df = log(spark, changes + [(2, 0.0, 0, "INSERT", "WRITE")]).repartition(4)

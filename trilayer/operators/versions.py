@@ -67,18 +67,28 @@ def revert_changes(
     log: DataFrame,
     keys: Sequence[str],
     values: Sequence[str],
-    version: int,
-    commit_ts: Column,
+    version: int | None = None,
+    commit_ts: Column | None = None,
     order_by: Sequence[str] = ("version",),
+    timestamp: str | None = None,
 ) -> DataFrame:
-    """The changes that make the state at ``version`` current again, as a new version.
+    """The changes that make the state at ``version``, or at ``timestamp``, current again,
+    as a new version committed at ``commit_ts`` (now, if not given).
 
     Both states come from one grouping of the log. Appending the result to the log
     restores the old state and keeps all history.
     """
+    if (version is None) == (timestamp is None):
+        raise ValueError("give a version or a timestamp")
+    if commit_ts is None:
+        commit_ts = F.current_timestamp().cast("timestamp_ntz")
     order = F.struct(*order_by)
     change = F.struct("op", *values)
-    old_order = F.when(F.col("version") <= version, order)
+    if version is not None:
+        is_old = F.col("version") <= version
+    else:
+        is_old = F.col("commit_ts") <= F.lit(timestamp).cast("timestamp_ntz")
+    old_order = F.when(is_old, order)
     pairs = log.groupBy(*keys).agg(
         F.max_by(change, order).alias("now"), F.max_by(change, old_order).alias("old")
     )

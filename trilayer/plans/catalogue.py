@@ -442,6 +442,17 @@ def restore_version(spark, folder):
     )
 
 
+@query
+def restore_timestamp(spark, folder):
+    """State after a return to how the table stood at a time between two commits."""
+    log = written(_log(spark, folder), "order_log")
+    undo = versions.revert_changes(
+        log, ["o_orderkey"], examples.ORDER_VALUES, timestamp="2024-01-01 01:30:00",
+        commit_ts=F.lit("2024-01-01 03:00:00").cast("timestamp_ntz"),
+    )
+    return versions.state_as_of(log.unionByName(undo), ["o_orderkey"], examples.ORDER_VALUES)
+
+
 @query
 def checked_append(spark, folder):
     """Orders per status after a second batch of the same schema was appended."""
@@ -463,7 +474,7 @@ def schema_evolution(spark, folder):
     flagged = orders.filter("o_orderpriority = '1-URGENT'").withColumn(
         "data_source_quality", F.lit("Good")
     )
-    schema = append_evolving(flagged, path)
+    schema = append_evolving(flagged, path, schema=orders.schema)
     return (
         read_evolved(spark, path, schema)
         .groupBy("data_source_quality")

@@ -411,6 +411,7 @@ SELECT CAST(max(version) AS BIGINT) AS latest_version,
        CAST(min(version) FILTER (WHERE operation = 'MERGE') - 1 AS BIGINT)
          AS version_before_merge FROM log""",
     "restore_version": _state(1),
+    "restore_timestamp": _state(1),
     "checked_append": """
 SELECT o_orderstatus, count(*) + count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS orders
 FROM orders GROUP BY 1""",

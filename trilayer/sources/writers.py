@@ -96,14 +96,18 @@ def append_checked(
 
 
 def append_evolving(
-    df: DataFrame, path: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    schema: T.StructType | None = None,
 ) -> T.StructType:
     """Append rows that may bring new columns; returns the widened schema.
 
     Rows from before read as null in the new columns. A changed type still raises.
+    ``schema`` is the table's, as the last append returned it; without it the footers of
+    all files are merged.
     """
-    spark = df.sparkSession
-    table = read_evolved(spark, path).schema
+    table = schema or read_evolved(df.sparkSession, path).schema
     diff = schema_diff(table, df.schema)
     if diff.retyped:
         raise SchemaMismatch(diff)
