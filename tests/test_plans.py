@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from trilayer.operators import cleanse, gold
 from trilayer.plans import layers
-from trilayer.plans.catalogue import QUERIES
+from trilayer.plans.catalogue import QUERIES, silver_by_day
 from trilayer.plans.facts import cached, plan_facts
 from trilayer.sources.trips import raw_trips
 
@@ -22,6 +22,15 @@ def test_partition_filter_prunes(spark):
     assert "tip_amount" in found.read_schemas[0] and "fare_amount" not in found.read_schemas[0]
 
 
+def test_days_that_are_not_asked_for_are_not_read(spark):
+    days = silver_by_day(spark, DATA)
+    some = days.filter("pickup_day BETWEEN 5 AND 7")
+    assert 0 < some.count() < days.count()
+    assert "pickup_day" in plan_facts(some).partition_filters[0]
+    read = some.select("_metadata.file_path").distinct().count()
+    assert 0 < read < days.select("_metadata.file_path").distinct().count()
+
+
 def test_data_filters_and_columns_reach_the_scan(spark):
     found = facts(spark, "filtered_avg")
     assert "GreaterThan(tip_amount,50.0)" in found.pushed_filters[0]

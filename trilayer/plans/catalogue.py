@@ -705,6 +705,25 @@ def stream_by_table(spark, folder):
     return streams.flat_windows(streams.read_updates(spark, f"{run}/windows"))
 
 
+@query
+def declared_stream(spark, folder):
+    """The declared datasets as a chain of streams: silver under its rules, then gold as a
+    whole with every micro-batch; files are taken one at a time."""
+    run, landed = new_dir(spark, "declared"), _landed_trips(spark, folder)
+    bronze = stream_files(spark, landed, read_raw(spark, landed).schema, max_files_per_trigger=1)
+    run_stream(
+        declared.declared_silver(bronze), checkpoint=f"{run}/silver_checkpoint",
+        path=f"{run}/silver", name="declared_silver",
+    )
+    schema = read_raw(spark, f"{run}/silver").schema
+    silver = stream_files(spark, f"{run}/silver", schema, max_files_per_trigger=1)
+    run_stream(
+        declared.declared_gold(silver), checkpoint=f"{run}/gold_checkpoint",
+        path=f"{run}/gold", name="declared_gold", mode="complete",
+    )
+    return read_complete(spark, f"{run}/gold")
+
+
 @query
 def first_windows(spark, folder):
     """The ten earliest closed windows."""

@@ -287,6 +287,11 @@ ORDER BY pickup_year, pickup_month, total_trips DESC, pickup_location_id""",
 SELECT {_DAY_TS} AS trip_date, count(*) AS total_trips,
        {_round2(_average("trip_distance"))} AS average_trip_distance,
        {_round2(_amount("total_amount"))} AS total_revenue
+FROM checked GROUP BY 1""",
+    "declared_stream": f"""WITH {_DECLARED}
+SELECT {_DAY_TS} AS trip_date, count(*) AS total_trips,
+       {_round2(_average("trip_distance"))} AS average_trip_distance,
+       {_round2(_amount("total_amount"))} AS total_revenue
 FROM checked GROUP BY 1""",
     "rule_metrics": f"WITH {_DECLARED} "
     + " UNION ALL ".join(
