@@ -40,7 +40,7 @@ BLOCK_WEIGHT = 1_000_000
 SET_WEIGHT = 5_000
 #: Bytes of keys that a task gathers, and of sets.
 KEY_BYTES = 16 << 20
-PACK_BYTES = 4 << 20
+PACK_BYTES = 512 << 10
 
 _random = np.random.Generator(np.random.PCG64(85))
 _HASHES = _random.integers(1, 1 << 63, 2 * HALVES * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
