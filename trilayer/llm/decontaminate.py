@@ -32,7 +32,7 @@ from trilayer.workspace import written
 
 WINDOW = 10
 SHINGLE = 3
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 200_000
 #: Windows of one item that stay together; longer items are dealt in pieces.
 PIECE = 50_000
 _BITS = 20

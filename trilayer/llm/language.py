@@ -34,7 +34,7 @@ BITS = 6
 SYMBOLS = 1 << BITS
 PER_LANGUAGE = 400
 #: Languages learned at most, the most frequent ones.
-LANGUAGES = 200
+LANGUAGES = 50
 #: One in so many sampled rows calibrates instead of training.
 CALIBRATE = 4
 #: Standard deviations that a text may lie above its language's mean.
