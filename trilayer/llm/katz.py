@@ -53,7 +53,7 @@ from trilayer.workspace import new_dir
 ORDER = 2
 K = 5
 LEAST = 1e-3
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 #: N-grams of a range, about.
 RANGE_KEYS = 1 << 20
 
