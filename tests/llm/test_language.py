@@ -126,6 +126,52 @@ def test_padding_and_runs_of_boundaries_do_not_count(models):
     assert isinstance(models, Models)
 
 
+#: Letters of scripts; the first two alone have more than 62.
+SCRIPTS = {"latin": "abcdefghijklmnopqrstuvwxyzàâäçéèêëîïôöùûüñß", "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя",
+           "greek": "αβγδεζηθικλμνξοπρστυφχψω", "hebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+           "thai": "กขคงจชซญดตถทธนบปผพฟมยรลวสหอ", "hangul": "가나다라마바사아자차카타파하거너더러머버",
+           "georgian": "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ"}
+
+
+def script_texts(name, n, seed):
+    """Words of the same lengths in every script; of the first two scripts many more."""
+    draw = np.random.Generator(np.random.PCG64(seed))
+    return [" ".join("".join(draw.choice(list(SCRIPTS[name]), k)) for k in draw.integers(3, 8, 40))
+            for _ in range(n)]
+
+
+def test_scripts_of_rarer_letters_differ(spark):
+    learned = [name for name in SCRIPTS if name != "georgian"]
+    rows = [(i, t, name, "") for k, name in enumerate(learned)
+            for i, t in enumerate(script_texts(name, 90 if k < 2 else 24, 1))]
+    found = learn(spark.createDataFrame(rows, DOCS))
+    asked = [(i, t, name, "") for name in SCRIPTS for i, t in enumerate(script_texts(name, 8, 2))]
+    for r in identify(spark.createDataFrame(asked, DOCS), found).collect():
+        if r["lang"] == "georgian":
+            assert r["rejected"]
+        else:
+            assert (r["lang_pred"], r["rejected"]) == (r["lang"], False)
+
+
+def test_wide_symbols_equal_narrow_ones():
+    draw = np.random.Generator(np.random.PCG64(6))
+    symbols = draw.integers(0, 5, 400)
+
+    def codes(of, bits):
+        return sum(of[k : 397 + k].astype(np.int64) << bits * (3 - k) for k in range(4))
+
+    models = []
+    for of, bits in ((symbols, 6), (symbols * 16000, 16)):
+        kinds, counts = np.unique(codes(of, bits), return_counts=True)
+        models.append((KneserNey(kinds, counts, bits), codes(of, bits)))
+    assert models[1][1].min() < 0
+    (narrow, a), (wide, b) = models
+    assert len(narrow.grams[3][0]) == len(wide.grams[3][0])
+    for low, high in zip(narrow.contexts, wide.contexts):
+        assert np.allclose(np.sort(low[1]), np.sort(high[1]))
+    assert np.allclose(narrow.log_probability(a, 4), wide.log_probability(b, 4), atol=0.2)
+
+
 def test_whole_table(spark):
     rows = op8_language(spark, DATA).collect()
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{DATA}/documents.parquet")

@@ -1,7 +1,8 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-Characters become symbols: the most frequent letters of the sample one each (upper and
-lower case alike), other letters one together, everything else a boundary. Per language
+Characters become symbols: the letters of the sample one each (upper and lower case
+alike), letters it lacks one together, everything else a boundary. A symbol has ``BITS``
+bits if these hold the letters of all languages, or else ``WIDE_BITS``. Per language
 an order-``ORDER`` model with modified counts is learned: the highest order from counts,
 lower orders from the numbers of distinct left neighbours, each with its own absolute
 discount, interpolated down to the uniform distribution. A model is stored as sorted
@@ -32,6 +33,10 @@ from trilayer.workspace import written
 ORDER = 4
 BITS = 6
 SYMBOLS = 1 << BITS
+#: Bits of a symbol where the sample has more letters; four of them fill 64 bits.
+WIDE_BITS = 16
+#: Log probabilities kept of codes already looked up.
+KEPT = 1 << 24
 PER_LANGUAGE = 400
 #: Languages learned at most, the most frequent ones.
 LANGUAGES = 50
@@ -77,14 +82,14 @@ def pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[str]]]:
         yield np.array(rows), parts
 
 
-def grams(parts: list[str], symbol_of: np.ndarray):
+def grams(parts: list[str], symbol_of: np.ndarray, bits: int = BITS):
     """Codes of the ORDER symbols ending at each position, and which part and whether
     the position counts: padding and all but the first of a run of boundaries do not."""
     symbols = np.take(symbol_of, points("".join(parts)))
-    code = symbols.astype(np.int32)
+    code = symbols.astype(np.int64)
     whole = code.copy()
     for k in range(1, ORDER):
-        whole[k:] |= code[:-k] << (BITS * k)
+        whole[k:] |= code[:-k] << (bits * k)
     sizes = np.array([len(p) for p in parts])
     first = np.cumsum(sizes) - sizes
     counts = symbols != 0
@@ -121,33 +126,38 @@ def _lookup(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def gram_hash(codes: np.ndarray, order: int) -> np.ndarray:
-    return mix(codes.astype(np.uint64) | np.uint64(order << 56))
+    return mix(codes.astype(np.uint64) ^ np.uint64(order << 56))
 
 
 class KneserNey:
     """One language: per order sorted hashes with log probabilities, and contexts with
     log backoff weights."""
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray):
-        levels, mask = [(codes, counts.astype(float))], (1 << BITS * ORDER) - 1
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, bits: int = BITS):
+        self.bits, symbols = bits, 1 << bits
+        levels = [(codes, counts.astype(float))]
         for order in range(ORDER - 1, 0, -1):
-            mask >>= BITS
-            kinds, numbers = np.unique(levels[-1][0] & mask, return_counts=True)
+            kinds, numbers = np.unique(self._last(levels[-1][0], order), return_counts=True)
             levels.append((kinds, numbers.astype(float)))
         self.grams, self.contexts = [], []
-        lower = np.full(SYMBOLS, -np.log(SYMBOLS))
+        lower = np.full(symbols, -np.log(symbols))
         for order, (kinds, numbers) in enumerate(reversed(levels), start=1):
             ones, twos = (numbers == 1).sum(), (numbers == 2).sum()
             discount = ones / (ones + 2 * twos) if ones and twos else 0.5
-            at = runs(kinds >> BITS)
+            before = self._last(kinds >> bits, order - 1)
+            at = runs(before)
             totals = np.add.reduceat(numbers, at[:-1])
             spare = discount * np.diff(at) / totals
             which = np.repeat(np.arange(len(totals)), np.diff(at))
             below = lower[kinds] if order == 1 else self.log_probability(
-                kinds & ((1 << BITS * (order - 1)) - 1), order - 1)
+                self._last(kinds, order - 1), order - 1)
             logs = np.log((numbers - discount) / totals[which] + spare[which] * np.exp(below))
             self._store(self.grams, gram_hash(kinds, order), logs)
-            self._store(self.contexts, gram_hash(kinds[at[:-1]] >> BITS, order), np.log(spare))
+            self._store(self.contexts, gram_hash(before[at[:-1]], order), np.log(spare))
+
+    def _last(self, codes: np.ndarray, order: int) -> np.ndarray:
+        """Their last symbols; a shifted negative code (four wide symbols) has ones before."""
+        return codes & ((1 << self.bits * order) - 1)
 
     @staticmethod
     def _store(into: list, keys: np.ndarray, values: np.ndarray) -> None:
@@ -157,16 +167,16 @@ class KneserNey:
     def log_probability(self, codes: np.ndarray, order: int) -> np.ndarray:
         """Of the last symbol given those before it."""
         if order == 0:
-            return np.full(len(codes), -np.log(SYMBOLS))
+            return np.full(len(codes), -self.bits * np.log(2))
         keys, values = self.grams[order - 1]
         index, known = _lookup(keys, gram_hash(codes, order))
         result = np.zeros(len(codes))
         result[known] = values[index[known]]
         rest = codes[~known]
         if len(rest):
-            below = self.log_probability(rest & ((1 << BITS * (order - 1)) - 1), order - 1)
+            below = self.log_probability(self._last(rest, order - 1), order - 1)
             keys, weights = self.contexts[order - 1]
-            index, seen = _lookup(keys, gram_hash(rest >> BITS, order))
+            index, seen = _lookup(keys, gram_hash(self._last(rest >> self.bits, order - 1), order))
             below[seen] += weights[index[seen]]
             result[~known] = below
         return result
@@ -175,53 +185,55 @@ class KneserNey:
 class Models:
     """The languages' models, their symbols, and the limits of rejection."""
 
-    def __init__(self, symbols: np.ndarray, models: dict[str, KneserNey]):
-        self.symbols, self.models = symbols, models
+    def __init__(self, symbols: np.ndarray, models: dict[str, KneserNey], bits: int = BITS):
+        self.symbols, self.models, self.bits = symbols, models, bits
         self.names = sorted(models)
         self.limits: dict[str, tuple[float, float, float]] = {}
-        self._table = self._rows = None
+        self._keys = self._rows = self._of = None
 
     def __getstate__(self):
-        return {**self.__dict__, "_table": None, "_rows": None, "_of": None}
+        return {**self.__dict__, "_keys": None, "_rows": None, "_of": None}
 
     def symbol_of(self) -> np.ndarray:
         """Symbol of each code point; the last symbol is for letters not in the alphabet."""
-        table = np.where(letters(), SYMBOLS - 1, 0).astype(np.uint8)
+        if self._of is not None:
+            return self._of
+        table = np.where(letters(), (1 << self.bits) - 1, 0).astype(np.uint16)
         for symbol, point in enumerate(self.symbols.tolist(), start=1):
             table[point] = symbol
             for other in (chr(point).upper(), chr(point).title()):
                 if len(other) == 1:
                     table[ord(other)] = symbol
+        self._of = table
         return table
 
-    def _log_rows(self, codes: np.ndarray) -> np.ndarray:
-        """Row of ``_rows`` with each code's log probabilities; new codes are looked up
-        once and kept."""
-        if self._table is None or len(self._rows) > 4_000_000:
-            self._table = np.full(1 << BITS * ORDER, -1, np.int32)
-            self._rows = np.zeros((0, len(self.names)), np.float32)
-        index = self._table[codes]
-        new = codes[index < 0]
-        if len(new):
-            new = np.sort(new)
-            new = new[runs(new)[:-1]]
-            logs = [self.models[n].log_probability(new.astype(np.int64), ORDER)
-                    for n in self.names]
-            self._table[new] = np.arange(len(new), dtype=np.int32) + len(self._rows)
-            logs = np.array(logs, np.float32).reshape(len(self.names), len(new))
-            self._rows = np.concatenate([self._rows, logs.T])
-            index = self._table[codes]
-        return index
+    def _rows_of(self, codes: np.ndarray) -> np.ndarray:
+        """Each code's log probabilities. Codes looked up are kept at the place of their
+        hash, until another one takes it."""
+        if self._keys is None:
+            places = max(1 << 10, min(1 << 21, 1 << (KEPT // max(len(self.names), 1)).bit_length() - 1))
+            self._keys = np.zeros(places, np.int64)
+            self._keys[gram_hash(self._keys[:1], ORDER) & np.uint64(places - 1)] = -1
+            self._rows = np.zeros((places, len(self.names)), np.float32)
+        places = (gram_hash(codes, ORDER) & np.uint64(len(self._keys) - 1)).astype(np.int64)
+        found = np.take(self._rows, places, axis=0)
+        missing = np.flatnonzero(self._keys[places] != codes)
+        if len(missing):
+            new, first, which = np.unique(codes[missing], return_index=True, return_inverse=True)
+            logs = [self.models[n].log_probability(new, ORDER) for n in self.names]
+            logs = np.array(logs, np.float32).reshape(len(self.names), len(new)).T
+            found[missing] = logs[which]
+            into, one = np.unique(places[missing[first]], return_index=True)
+            self._keys[into], self._rows[into] = new[one], logs[one]
+        return found
 
     def entropies(self, texts: list[str | None]):
         """Per text: cross-entropy in nats per symbol under each language, the number of
         symbols scored, and the number of letters."""
-        if getattr(self, "_of", None) is None:
-            self._of = self.symbol_of()
         sums = np.zeros((len(texts), len(self.names)))
         sizes, found = np.zeros(len(texts)), np.zeros(len(texts))
         for rows, parts in pieces(texts):
-            codes, first, counts = grams(parts, self._of)
+            codes, first, counts = grams(parts, self.symbol_of(), self.bits)
             logs = self._rows_of(codes[counts])
             upto = np.concatenate(([0], np.cumsum(counts)))
             ends = np.append(first[1:], len(codes))
@@ -230,15 +242,11 @@ class Models:
             if some.any():
                 np.add.at(sums, rows[some], np.add.reduceat(logs, lows[some], axis=0))
             np.add.at(sizes, rows, highs - lows)
-            is_letter = np.concatenate(([0], np.cumsum(codes & (SYMBOLS - 1) > 0)))
+            is_letter = np.concatenate(([0], np.cumsum(codes & ((1 << self.bits) - 1) > 0)))
             lead = np.minimum(first + ORDER - 1, ends)
             np.add.at(found, rows, is_letter[ends] - is_letter[lead])
         return -sums / np.maximum(sizes, 1)[:, None], sizes, found
 
-    def _rows_of(self, codes: np.ndarray) -> np.ndarray:
-        index = self._log_rows(codes)
-        return np.take(self._rows, index, axis=0)
-
     def calibrate(self, samples: dict[str, tuple[np.ndarray, np.ndarray]]) -> None:
         """``samples``: per language cross-entropies and symbols of unseen documents."""
         for name in self.names:
@@ -282,18 +290,19 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang",
 
     seen = _counted(train, characters, "lang string, value long, n long", ["value"]).collect()
     known = sorted(((-r["n"], r["value"]) for r in seen if chr(r["value"]).isalpha()))
-    symbols = np.array([value for _, value in known[: SYMBOLS - 2]], np.int64)
-    models = Models(symbols, {})
+    bits = BITS if len(known) <= SYMBOLS - 2 else WIDE_BITS
+    symbols = np.array([value for _, value in known[: (1 << bits) - 2]], np.int64)
+    models = Models(symbols, {}, bits)
 
     def codes(parts):
-        whole, _, counts = grams(parts, models.symbol_of())
+        whole, _, counts = grams(parts, models.symbol_of(), bits)
         return np.unique(whole[counts], return_counts=True)
 
     counted = _counted(train, codes, "lang string, value long, n long", ["lang", "value"])
     frame = counted.orderBy("lang", "value").toPandas()
     for name, part in frame.groupby("lang"):
         models.models[str(name)] = KneserNey(part["value"].to_numpy(np.int64),
-                                             part["n"].to_numpy())
+                                             part["n"].to_numpy(), bits)
     models.names = sorted(models.models)
     held = sample.filter(F.col("number") % CALIBRATE == 0)
     values = _entropy_of_own(held, models).toPandas()
