@@ -153,6 +153,24 @@ def test_scripts_of_rarer_letters_differ(spark):
             assert (r["lang_pred"], r["rejected"]) == (r["lang"], False)
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    names = ["cyrillic", "georgian", "greek", "hebrew", "latin"]
+    rows = [(i, t, name, "") for k, name in enumerate(names)
+            for i, t in enumerate(script_texts(name, 10 + 5 * k, 1))]
+    docs = spark.createDataFrame(rows + [(0, None, None, ""), (1, "12", None, "")], DOCS)
+    whole = {(r["lang"], r["text"]): r for r in identify(docs, learn(docs)).collect()}
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    blocks = learn(docs)
+    assert [block.value.names for block in blocks.more] == [names[2:4], names[4:]]
+    found = identify(docs, blocks)
+    assert found.columns == ["doc_id", "text", "lang", *language.ADDED]
+    for r in found.collect():
+        other = whole[r["lang"], r["text"]]
+        assert r["lang_pred"] == (r["lang"] or "und")
+        assert (r["entropy"], r["rejected"]) == (other["entropy"], other["rejected"])
+        assert r["score"] == pytest.approx(other["score"], rel=1e-9)
+
+
 def test_wide_symbols_equal_narrow_ones():
     draw = np.random.Generator(np.random.PCG64(6))
     symbols = draw.integers(0, 5, 400)

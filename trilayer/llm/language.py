@@ -13,8 +13,10 @@ Rejection is calibrated on sampled documents that the models have not seen: per
 the mean cross-entropy, its spread between documents and within them set how far a text
 of its length may lie above the mean.
 
-The models are learned from a sample of at most ``PER_LANGUAGE`` rows of each of at most
-``LANGUAGES`` languages, so that they stay small enough to hand to each task. Scoring reads all rows and whole texts.
+Every language named is learned, from a sample of at most ``PER_LANGUAGE`` of its rows.
+Models are handed to tasks in blocks of ``LANGUAGES`` languages; each block is one pass
+over the texts, which keeps the better of its own best language and that of the blocks
+before. Scoring reads all rows and whole texts.
 """
 
 from __future__ import annotations
@@ -23,11 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from trilayer.llm.words import mix, runs, slices
+from trilayer.operators.joins import broadcast_if_small
 from trilayer.workspace import written
 
 ORDER = 4
@@ -38,7 +42,7 @@ WIDE_BITS = 16
 #: Log probabilities kept of codes already looked up.
 KEPT = 1 << 24
 PER_LANGUAGE = 400
-#: Languages learned at most, the most frequent ones.
+#: Languages of which a task holds the models at once.
 LANGUAGES = 50
 #: One in so many sampled rows calibrates instead of training.
 CALIBRATE = 4
@@ -47,6 +51,8 @@ DEVIATIONS = 8.0
 #: Characters scored at once.
 PIECE = 1 << 18
 UNKNOWN = "und"
+#: Columns of a result.
+ADDED = ("lang_pred", "score", "entropy", "rejected")
 
 _PAD = "\n" * (ORDER - 1)
 _letters: list[np.ndarray] = []
@@ -183,16 +189,18 @@ class KneserNey:
 
 
 class Models:
-    """The languages' models, their symbols, and the limits of rejection."""
+    """A block of languages' models, their symbols, and the limits of rejection; ``more``
+    has the blocks of the languages that sort after them, as broadcasts."""
 
     def __init__(self, symbols: np.ndarray, models: dict[str, KneserNey], bits: int = BITS):
         self.symbols, self.models, self.bits = symbols, models, bits
         self.names = sorted(models)
         self.limits: dict[str, tuple[float, float, float]] = {}
+        self.more: list[Broadcast] = []
         self._keys = self._rows = self._of = None
 
     def __getstate__(self):
-        return {**self.__dict__, "_keys": None, "_rows": None, "_of": None}
+        return {**self.__dict__, "more": [], "_keys": None, "_rows": None, "_of": None}
 
     def symbol_of(self) -> np.ndarray:
         """Symbol of each code point; the last symbol is for letters not in the alphabet."""
@@ -267,9 +275,9 @@ def sample_rows(docs: DataFrame, per_language: int) -> DataFrame:
     """At most so many rows per language, those of the smallest hash of the text."""
     docs = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
     counts = docs.groupBy("lang").agg(F.count("*").alias("rows"))
-    counts = counts.orderBy(F.desc("rows"), "lang").limit(LANGUAGES)
     place = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 40)) / (1 << 40)
-    few = docs.withColumn("place", place).join(F.broadcast(counts), "lang").filter(
+    counts = broadcast_if_small(written(counts, "language-rows"))
+    few = docs.withColumn("place", place).join(counts, "lang").filter(
         F.col("place") * F.col("rows") < 2 * per_language + 20
     )
     order = Window.partitionBy("lang").orderBy("place", "text")
@@ -292,19 +300,29 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang",
     known = sorted(((-r["n"], r["value"]) for r in seen if chr(r["value"]).isalpha()))
     bits = BITS if len(known) <= SYMBOLS - 2 else WIDE_BITS
     symbols = np.array([value for _, value in known[: (1 << bits) - 2]], np.int64)
-    models = Models(symbols, {}, bits)
+    names = sorted(r["lang"] for r in train.select("lang").distinct().collect())
+    first = _block(sample, names[:LANGUAGES], symbols, bits)
+    for low in range(LANGUAGES, len(names), LANGUAGES):
+        block = _block(sample, names[low : low + LANGUAGES], symbols, bits)
+        first.more.append(docs.sparkSession.sparkContext.broadcast(block))
+    return first
+
+
+def _block(sample: DataFrame, names: list[str], symbols: np.ndarray, bits: int) -> Models:
+    models, own = Models(symbols, {}, bits), sample.filter(F.col("lang").isin(names))
 
     def codes(parts):
         whole, _, counts = grams(parts, models.symbol_of(), bits)
         return np.unique(whole[counts], return_counts=True)
 
+    train = own.filter(F.col("number") % CALIBRATE != 0)
     counted = _counted(train, codes, "lang string, value long, n long", ["lang", "value"])
     frame = counted.orderBy("lang", "value").toPandas()
     for name, part in frame.groupby("lang"):
         models.models[str(name)] = KneserNey(part["value"].to_numpy(np.int64),
                                              part["n"].to_numpy(), bits)
     models.names = sorted(models.models)
-    held = sample.filter(F.col("number") % CALIBRATE == 0)
+    held = own.filter(F.col("number") % CALIBRATE == 0)
     values = _entropy_of_own(held, models).toPandas()
     models.calibrate({
         str(name): (part["entropy"].to_numpy(), part["size"].to_numpy())
@@ -336,32 +354,52 @@ def identify(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
 
     The score is the posterior of the language at one symbol's evidence per letter, at
     most 40. Null texts and texts without a letter are ``und`` with score 0, and rejected.
-    Ties go to the language that sorts first.
+    Ties go to the language that sorts first. Between blocks the rows are written.
     """
-    docs = docs.drop("lang_pred", "score", "entropy", "rejected")
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    schema = StructType(list(docs.schema.fields)).add("lang_pred", "string").add(
-        "score", "double").add("entropy", "double").add("rejected", "boolean")
+    docs = docs.drop(*ADDED)
+    found = _scored(docs, docs.sparkSession.sparkContext.broadcast(models), text)
+    for block in models.more:
+        found = _scored(written(found, "language-block"), block, text)
+    return found
+
+
+def _scored(docs: DataFrame, shared: Broadcast, text: str) -> DataFrame:
+    """Of a block of languages, and of those whose result is already there."""
+    schema = StructType([f for f in docs.schema.fields if f.name not in ADDED])
+    kept = list(schema.names)
+    schema = schema.add("lang_pred", "string").add("score", "double").add(
+        "entropy", "double").add("rejected", "boolean")
+    again = "lang_pred" in docs.columns
 
     def run(batches):
         for batch in slices(batches, text):
             model = shared.value
             values, sizes, found = model.entropies(batch.column(text).to_pylist())
             names, scores, best, bad = [], [], [], []
-            for own, size, count in zip(values, sizes, found):
+            before = [batch.column(c).to_pylist() for c in ADDED] if again else None
+            for row, (own, size, count) in enumerate(zip(values, sizes, found)):
                 if not count or not model.names:
                     names.append(UNKNOWN)
                     scores.append(0.0)
                     best.append(None)
                     bad.append(True)
                     continue
-                k = int(own.argmin())
-                names.append(model.names[k])
-                scores.append(float(1 / np.exp(-(own - own[k]) * min(count, 40.0)).sum()))
-                best.append(float(own[k]))
-                bad.append(bool(model.rejects(model.names[k], own[k], size)))
+                k, sharp = int(own.argmin()), min(count, 40.0)
+                result = [model.names[k], 0.0, float(own[k]),
+                          bool(model.rejects(model.names[k], own[k], size))]
+                total = float(np.exp(-(own - own[k]) * sharp).sum())
+                if again:
+                    other = [column[row] for column in before]
+                    gap = (other[2] - result[2]) * sharp
+                    if gap <= 0:
+                        total, result = 1 / other[1] + total * np.exp(gap), other
+                    else:
+                        total += np.exp(-gap) / other[1]
+                for column, value in zip((names, best, bad), (result[0], *result[2:])):
+                    column.append(value)
+                scores.append(float(1 / total))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()),
+                [*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
                  pa.array(best, pa.float64()), pa.array(bad, pa.bool_())],
                 names=schema.names)
 
