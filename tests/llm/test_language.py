@@ -171,6 +171,17 @@ def test_every_language_is_learned(spark, monkeypatch):
         assert r["score"] == pytest.approx(other["score"], rel=1e-9)
 
 
+def test_copies_count_once_in_the_sample(spark):
+    texts = rows_of("x", 100, 7)
+    docs = spark.createDataFrame([(0, t, "x", "") for t in texts], DOCS)
+    want = {r["text"] for r in language.sample_rows(docs, 40).collect()}
+    first = language.sample_rows(docs, 1).first()["text"]
+    more = docs.unionByName(spark.createDataFrame([(0, first, "x", "")] * 300, DOCS))
+    found = language.sample_rows(more, 40).collect()
+    assert len(found) == len(want) == 40 and {r["text"] for r in found} == want
+    assert sorted(r["number"] for r in found) == list(range(1, 41))
+
+
 def test_wide_symbols_equal_narrow_ones():
     draw = np.random.Generator(np.random.PCG64(6))
     symbols = draw.integers(0, 5, 400)

@@ -13,7 +13,8 @@ Rejection is calibrated on sampled documents that the models have not seen: per
 the mean cross-entropy, its spread between documents and within them set how far a text
 of its length may lie above the mean.
 
-Every language named is learned, from a sample of at most ``PER_LANGUAGE`` of its rows.
+Every language named is learned, from a sample of at most ``PER_LANGUAGE`` of its
+distinct texts.
 Models are handed to tasks in blocks of ``LANGUAGES`` languages; each block is one pass
 over the texts, which keeps the better of its own best language and that of the blocks
 before. Scoring reads all rows and whole texts.
@@ -272,14 +273,16 @@ class Models:
 
 
 def sample_rows(docs: DataFrame, per_language: int) -> DataFrame:
-    """At most so many rows per language, those of the smallest hash of the text."""
-    docs = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = docs.groupBy("lang").agg(F.count("*").alias("rows"))
-    place = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 40)) / (1 << 40)
-    counts = broadcast_if_small(written(counts, "language-rows"))
+    """At most so many distinct texts per language, those of the smallest hash."""
+    docs = docs.filter("lang IS NOT NULL AND text IS NOT NULL").withColumn(
+        "hash", F.xxhash64("text", F.lit("sample")))
+    counts = docs.select("lang", "hash").distinct().groupBy("lang").agg(
+        F.count("*").alias("texts"))
+    counts = broadcast_if_small(written(counts, "language-texts"))
+    place = F.pmod("hash", F.lit(1 << 40)) / (1 << 40)
     few = docs.withColumn("place", place).join(counts, "lang").filter(
-        F.col("place") * F.col("rows") < 2 * per_language + 20
-    )
+        F.col("place") * F.col("texts") < 2 * per_language + 20
+    ).groupBy("lang", "hash").agg(F.first("place").alias("place"), F.first("text").alias("text"))
     order = Window.partitionBy("lang").orderBy("place", "text")
     few = few.withColumn("number", F.row_number().over(order))
     return few.filter(F.col("number") <= per_language).select("lang", "text", "number")
