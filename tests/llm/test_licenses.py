@@ -93,3 +93,14 @@ def test_few_and_no_templates_and_no_files(spark):
     assert {r[4] for r in run(spark, CASES, templates=())} == {"none"}
     assert run(spark, []) == []
     assert licenses.THRESHOLD < 1
+
+
+@pytest.mark.parametrize("name", ["MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Apache-2.0", "GPL-3.0"])
+def test_full_text_in_a_licence_file(spark, name):
+    text = "Copyright (c) 2024, The authors\n\n" + dict(licenses.full_texts())[name]
+    rows = [(1, "p/LICENSE", text), (2, "p/src/main.c", "int main"), (3, "q/LICENSE", "of the and to " * 40),
+            (4, "q/x.c", "int x")] + [(10 + i, f"r/{i}.txt", f"of the and to {i}") for i in range(20)]
+    found = {r[0]: r[2:] for r in run(spark, rows)}
+    assert found[1][0] == found[2][0] == name
+    assert found[1][1] > 0.9 and found[2][2:] == ("inherited", "p")
+    assert found[3][2] == found[4][2] == "none"

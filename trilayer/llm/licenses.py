@@ -1,11 +1,13 @@
 """Licences of files by sparse TF-IDF cosine, and from the directories above.
 
 Units are the lines of a file (its headers) and, for licence files, the text as a whole.
-A unit's vector holds its words by count times idf, with idf = ln((1 + N) / (1 + df)) + 1
+Templates are notices and, compared with licence files as a whole only, the full texts in
+``license_texts``. A unit's vector holds its words by count times idf, with idf = ln((1 + N) / (1 + df)) + 1
 over all N files. A unit is compared with licence templates; only words in common add to
 the product, so the comparison is a join on words. By Cauchy's inequality a unit without
-any of a template's heaviest words, taken until the rest of its norm falls below the
-threshold, cannot reach it; only units with one of these words are vectors at all.
+any of some words of a template (a notice's heaviest, a full text's rarest ones), taken
+until the rest of its norm falls below the threshold, cannot reach it; only units with one
+of these words are vectors at all.
 
 A file has the licence of its best unit. Other files inherit that of the licence file in
 the nearest directory above them (join on every directory of their path). Native DataFrame
@@ -15,6 +17,7 @@ functions only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,11 +38,19 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MPL-2.0", "Subject to the terms of the Mozilla Public License, version 2.0."),
 )
+#: Templates of more words are full texts.
+NOTICE_WORDS = 100
 THRESHOLD = 0.7
 WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 LICENSE_NAMES = r"(?i)(?:^|/)(?:licen[cs]e|copying|notice)(?:\.[a-z]+)?$"
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """Licences by the names of their files."""
+    folder = Path(__file__).with_name("license_texts")
+    return [(path.stem, path.read_text("utf-8")) for path in sorted(folder.glob("*.txt"))]
+
+
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
@@ -66,7 +77,7 @@ def _weighted(counts: DataFrame, df: DataFrame, total: int, keys: Sequence[str])
 
 
 def scan(files: DataFrame, id_column: str, path: str, text: str,
-         templates: Sequence[tuple[str, str]] = TEMPLATES,
+         templates: Sequence[tuple[str, str]] | None = None,
          threshold: float = THRESHOLD) -> DataFrame:
     """Per distinct (id, path) of ``files``: license, score, via (`header`, `file`,
     `inherited` or `none`) and from_dir (the directory inherited from).
@@ -75,46 +86,62 @@ def scan(files: DataFrame, id_column: str, path: str, text: str,
     null and empty texts have no words. Rows that repeat an id and a path are one file
     whose units are those of all. Of equal scores the template that sorts first wins; of
     licence files in one directory that of the highest score, then of the first name.
-    Without files the result is empty, without templates nothing has a licence.
+    A licence may have several templates; without any given they are ``TEMPLATES`` and the
+    full texts. Without files the result is empty, without templates nothing has a licence.
     """
+    if templates is None:
+        templates = [*TEMPLATES, *full_texts()]
     spark = files.sparkSession
     rows = files.select(F.col(id_column).alias("file_id"), F.col(path).alias("path"),
                         F.coalesce(F.col(text), F.lit("")).alias("text"))
     keys = ["file_id", "path"]
     total = rows.count()
     worded = rows.select(*keys, "text", terms(F.col("text")).alias("words"))
-    models = spark.createDataFrame(list(templates), "template string, body string").select(
-        "template", terms(F.col("body")).alias("words"))
-    model_counts = written(_counts(models, ["template"]), "license-templates")
+    bodies = [(number, *template) for number, template in enumerate(templates)]
+    models = spark.createDataFrame(bodies, "body int, template string, text string").select(
+        "body", "template", terms(F.col("text")).alias("words"))
+    is_long = (F.size("words") > NOTICE_WORDS).alias("long")
+    names = models.select("body", "template", is_long)
+    model_counts = written(_counts(models, ["body"]), "license-templates")
     model_df = written(_df(worded, model_counts.select("term").distinct()), "license-df")
-    model = written(_weighted(model_counts, model_df, total, ["template"]), "license-model")
+    model = written(_weighted(model_counts, model_df, total, ["body"]).join(
+        broadcast_if_small(names), "body"), "license-model")
 
-    heaviest = Window.partitionBy("template").orderBy(F.desc("weight"), "term")
-    taken = F.sum(F.col("weight") ** 2).over(heaviest.rowsBetween(Window.unboundedPreceding, -1))
+    first = Window.partitionBy("body").orderBy(
+        F.when(F.col("long"), F.col("df")), F.desc("weight"), "term")
+    taken = F.sum(F.col("weight") ** 2).over(first.rowsBetween(Window.unboundedPreceding, -1))
     left = 1 - F.coalesce(taken, F.lit(0.0)) / F.col("norm") ** 2
-    needed = written(model.withColumn("left", left).filter(
-        F.col("left") >= threshold**2 * (1 - 1e-9)).select("term").distinct(), "license-needed")
-    heads = [r["term"] for r in needed.collect()]  # of the templates, so a few
+    needed = model.withColumn("left", left).filter(
+        F.col("left") >= threshold**2 * (1 - 1e-9)).select("long", "term").distinct()
+    heads = {False: [], True: []}
+    for row in needed.collect():  # of the templates, so a few
+        heads[row["long"]].append(row["term"])
+
+    def some(found):
+        return F.arrays_overlap("words", F.split(F.lit(" ".join(found)), " "))
 
     lines = worded.select(*keys, F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    lines = lines.select(*keys, "line", terms(F.col("text")).alias("words"))
     whole = worded.filter(F.col("path").rlike(LICENSE_NAMES)).select(
-        *keys, F.lit(-1).alias("line"), "text")
-    units = lines.unionByName(whole).select(*keys, "line", terms(F.col("text")).alias("words"))
-    some = F.arrays_overlap("words", F.array(*[F.lit(h) for h in heads]).cast("array<string>"))
+        *keys, F.lit(-1).alias("line"), "words")
+    units = lines.filter(some(heads[False])).unionByName(
+        whole.filter(some(heads[False] + heads[True])))
     unit_keys = [*keys, "line", "unit"]
     units = written(
-        units.filter(some).withColumn("unit", F.xxhash64("words")).select(*unit_keys, "words"),
+        units.withColumn("unit", F.xxhash64("words")).select(*unit_keys, "words"),
         "license-units")
     # equal units have equal vectors: one of each is compared
-    kinds = units.groupBy("unit").agg(F.first("words").alias("words"))
-    counts = written(_counts(kinds, ["unit"]), "license-counts")
+    kinds = units.groupBy("unit").agg(
+        F.first("words").alias("words"), F.max(F.col("line") < 0).alias("whole"))
+    counts = written(_counts(kinds, ["unit", "whole"]), "license-counts")
     more = counts.select("term").distinct().join(model_df, "term", "left_anti")
     df = written(model_df.unionByName(_df(worded, written(more, "license-terms"))), "license-all-df")
-    vectors = _weighted(counts, df, total, ["unit"])
-    both = vectors.join(
-        broadcast_if_small(model.select("template", "term", F.col("weight").alias("model_weight"),
-                                        F.col("norm").alias("model_norm"))), "term")
-    scores = both.groupBy("unit", "template").agg(
+    vectors = _weighted(counts, df, total, ["unit", "whole"])
+    other = model.select("body", "template", F.col("term").alias("model_term"), "long",
+                         F.col("weight").alias("model_weight"), F.col("norm").alias("model_norm"))
+    both = vectors.join(broadcast_if_small(other), (F.col("term") == F.col("model_term"))
+                        & (F.col("whole") | ~F.col("long")))
+    scores = both.groupBy("unit", "body", "template").agg(
         (F.sum(F.col("weight") * F.col("model_weight"))
          / F.first("norm") / F.first("model_norm")).alias("score")
     ).filter(F.col("score") >= threshold)
