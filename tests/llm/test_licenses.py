@@ -104,3 +104,24 @@ def test_full_text_in_a_licence_file(spark, name):
     assert found[1][0] == found[2][0] == name
     assert found[1][1] > 0.9 and found[2][2:] == ("inherited", "p")
     assert found[3][2] == found[4][2] == "none"
+
+
+WRAPPED = {
+    "MPL-2.0": "/* This Source Code Form is subject to the terms of the Mozilla Public\n"
+               " * License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+               " * file, You can obtain one at https://mozilla.org/MPL/2.0/. */",
+    "GPL-3.0": "# This program is free software: you can redistribute it and/or modify\n"
+               "# it under the terms of the GNU General Public License as published by\n"
+               "# the Free Software Foundation, either version 3 of the License, or\n"
+               "# (at your option) any later version.",
+    "Apache-2.0": "// Licensed\n// under the\n//\n// Apache License,\n// Version\n// 2.0.",
+}
+
+
+def test_headers_wrapped_over_lines(spark):
+    rows = [(i, f"p/{i}.c", "/* main.c */\n" + text + "\n#include <stdio.h>\nint main(void);\n")
+            for i, text in enumerate(WRAPPED.values())]
+    rows += [(10 + i, f"p/x{i}.c", f"int x{i}\nof the terms\nand more") for i in range(20)]
+    found = {r[0]: (r[2], r[4]) for r in run(spark, rows)}
+    assert [found[i] for i in range(3)] == [(name, "header") for name in WRAPPED]
+    assert {found[10 + i] for i in range(20)} == {(None, "none")}

@@ -1,6 +1,8 @@
 """Licences of files by sparse TF-IDF cosine, and from the directories above.
 
-Units are the lines of a file (its headers) and, for licence files, the text as a whole.
+Units are the lines of a file (its headers), windows of up to ``WINDOW`` lines as long as
+the longest notice, which begin and end in lines with a notice's word that is no function
+word (lines without words are passed over), and, for licence files, the text as a whole.
 Templates are notices and, compared with licence files as a whole only, the full texts in
 ``license_texts``. A unit's vector holds its words by count times idf, with idf = ln((1 + N) / (1 + df)) + 1
 over all N files. A unit is compared with licence templates; only words in common add to
@@ -38,9 +40,45 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MPL-2.0", "Subject to the terms of the Mozilla Public License, version 2.0."),
 )
+#: Standard headers of source files, and of full texts what stands for them there.
+HEADERS = (
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may"
+     " not use this file except in compliance with the License. You may obtain a copy of the"
+     " License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under"
+     " the terms of the GNU General Public License as published by the Free Software"
+     " Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under"
+     " the terms of the GNU General Public License as published by the Free Software"
+     " Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under"
+     " the terms of the GNU Lesser General Public License as published by the Free Software"
+     " Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of"
+     " this software and associated documentation files (the \"Software\"), to deal in the"
+     " Software without restriction, including without limitation the rights to use, copy,"
+     " modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and"
+     " to permit persons to whom the Software is furnished to do so"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose"
+     " with or without fee is hereby granted, provided that the above copyright notice and"
+     " this permission notice appear in all copies."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its"
+     " contributors may be used to endorse or promote products derived from this software"
+     " without specific prior written permission."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License,"
+     " v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"
+     " https://mozilla.org/MPL/2.0/."),
+)
+#: Words of notices that do not begin or end a window by themselves.
+FUNCTION_WORDS = ("a", "and", "any", "as", "at", "by", "for", "if", "in", "is", "it", "may", "not",
+                  "of", "on", "or", "that", "the", "this", "to", "under", "was", "with", "you")
+#: Lines of a window at most.
+WINDOW = 12
 #: Templates of more words are full texts.
 NOTICE_WORDS = 100
 THRESHOLD = 0.7
+#: Kinds of units; of equal scores the first counts.
+LINE, WHOLE, BLOCK = range(3)
 WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 LICENSE_NAMES = r"(?i)(?:^|/)(?:licen[cs]e|copying|notice)(?:\.[a-z]+)?$"
 
@@ -86,11 +124,11 @@ def scan(files: DataFrame, id_column: str, path: str, text: str,
     null and empty texts have no words. Rows that repeat an id and a path are one file
     whose units are those of all. Of equal scores the template that sorts first wins; of
     licence files in one directory that of the highest score, then of the first name.
-    A licence may have several templates; without any given they are ``TEMPLATES`` and the
-    full texts. Without files the result is empty, without templates nothing has a licence.
+    A licence may have several templates; without any given they are ``TEMPLATES``,
+    ``HEADERS`` and the full texts. Without files the result is empty, without templates nothing has a licence.
     """
     if templates is None:
-        templates = [*TEMPLATES, *full_texts()]
+        templates = [*TEMPLATES, *HEADERS, *full_texts()]
     spark = files.sparkSession
     rows = files.select(F.col(id_column).alias("file_id"), F.col(path).alias("path"),
                         F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -102,6 +140,8 @@ def scan(files: DataFrame, id_column: str, path: str, text: str,
         "body", "template", terms(F.col("text")).alias("words"))
     is_long = (F.size("words") > NOTICE_WORDS).alias("long")
     names = models.select("body", "template", is_long)
+    longest = models.filter(F.size("words") <= NOTICE_WORDS).agg(
+        F.coalesce(F.max(F.size("words")), F.lit(0))).first()[0]
     model_counts = written(_counts(models, ["body"]), "license-templates")
     model_df = written(_df(worded, model_counts.select("term").distinct()), "license-df")
     model = written(_weighted(model_counts, model_df, total, ["body"]).join(
@@ -117,22 +157,24 @@ def scan(files: DataFrame, id_column: str, path: str, text: str,
     for row in needed.collect():  # of the templates, so a few
         heads[row["long"]].append(row["term"])
 
-    def some(found):
-        return F.arrays_overlap("words", F.split(F.lit(" ".join(found)), " "))
+    def some(words, found):
+        return F.arrays_overlap(words, F.split(F.lit(" ".join(found)), " "))
 
-    lines = worded.select(*keys, F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    lines = lines.select(*keys, "line", terms(F.col("text")).alias("words"))
+    notices = model.filter(~F.col("long")).select("term").distinct().collect()
+    edges = sorted({r["term"] for r in notices} - set(FUNCTION_WORDS) | set(heads[False]))
+    asked = worded.filter(some("words", heads[False])).select(*keys, "text")
+    lines = _windows(written(asked, "license-files"), keys, longest,
+                     lambda words: some(words, heads[False]), lambda words: some(words, edges))
     whole = worded.filter(F.col("path").rlike(LICENSE_NAMES)).select(
-        *keys, F.lit(-1).alias("line"), "words")
-    units = lines.filter(some(heads[False])).unionByName(
-        whole.filter(some(heads[False] + heads[True])))
-    unit_keys = [*keys, "line", "unit"]
+        *keys, F.lit(WHOLE).alias("kind"), "words")
+    units = lines.unionByName(whole.filter(some("words", heads[False] + heads[True])))
+    unit_keys = [*keys, "kind", "unit"]
     units = written(
         units.withColumn("unit", F.xxhash64("words")).select(*unit_keys, "words"),
         "license-units")
     # equal units have equal vectors: one of each is compared
     kinds = units.groupBy("unit").agg(
-        F.first("words").alias("words"), F.max(F.col("line") < 0).alias("whole"))
+        F.first("words").alias("words"), F.max(F.col("kind") == WHOLE).alias("whole"))
     counts = written(_counts(kinds, ["unit", "whole"]), "license-counts")
     more = counts.select("term").distinct().join(model_df, "term", "left_anti")
     df = written(model_df.unionByName(_df(worded, written(more, "license-terms"))), "license-all-df")
@@ -149,15 +191,34 @@ def scan(files: DataFrame, id_column: str, path: str, text: str,
         F.min(F.struct((-F.col("score")).alias("low"), "template")).alias("best"))
     named = units.join(broadcast_if_small(written(best, "license-scores")), "unit").select(
         *keys, F.col("best.template").alias("own"), F.col("best.low").alias("low"),
-        (F.col("line") < 0).alias("is_whole"))
+        "kind")
     own = written(named.groupBy(*keys).agg(
-        F.min(F.struct("low", "own", "is_whole")).alias("first")).select(
+        F.min(F.struct("low", "own", "kind")).alias("first")).select(
         *keys, F.col("first.own").alias("own"), (-F.col("first.low")).alias("own_score"),
-        F.col("first.is_whole").alias("is_whole")), "license-own")
+        (F.col("first.kind") == WHOLE).alias("is_whole")), "license-own")
     return _inherited(rows.select(*keys).distinct(), own, keys).withColumnRenamed(
         "file_id", id_column)
 
 
+def _windows(files: DataFrame, keys: list[str], longest: int, asked, edge) -> DataFrame:
+    """Lines, and windows of lines that are shorter than ``longest`` words without their
+    last line, with a word that is ``asked`` for; both ends of a window are an ``edge``."""
+    every = F.filter(F.transform(F.split("text", "\n"), terms), lambda words: F.size(words) > 0)
+    split = files.select(*keys, every.alias("lines"))
+    near = F.filter(
+        F.transform("lines", lambda _, at: F.slice("lines", at + 1, F.lit(WINDOW))),
+        lambda rows: edge(rows[0]) & F.exists(rows, asked))
+    starts = split.select(*keys, F.explode(near).alias("near"))
+    spans = F.transform(F.sequence(F.lit(1), F.size("near")), lambda n: F.struct(
+        F.when(n == 1, LINE).otherwise(BLOCK).alias("kind"),
+        F.size(F.flatten(F.slice("near", F.lit(1), n - 1))).alias("before"),
+        edge(F.element_at("near", n)).alias("ends"),
+        F.flatten(F.slice("near", F.lit(1), n)).alias("words")))
+    found = starts.select(*keys, F.inline(spans))
+    fits = (F.col("kind") == LINE) | (F.col("before") < longest) & F.col("ends")
+    return found.filter(fits & asked(F.col("words"))).select(*keys, "kind", "words")
+
+
 def _directories(path: Column) -> Column:
     """Every directory above a file, the root (an empty name) included."""
     steps = F.slice(F.split(path, "/"), F.lit(1), F.size(F.split(path, "/")) - 1)
