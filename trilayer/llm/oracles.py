@@ -146,7 +146,83 @@ SELECT page_id, fetched_at, count(entry) > 0 AS blocked, count(entry) AS n_activ
 FROM captures LEFT JOIN matched USING (page_id) GROUP BY page_id, fetched_at
 """
 
+OP11 = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(coalesce(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])), 0)
+              AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND len(q.v) = len(c.v)
+    AND c.vec_id IS DISTINCT FROM q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (
+         PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+OP12 = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), split AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs
+), flagged AS (
+  SELECT doc_id, part,
+         CASE WHEN len(w) < 50 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM split
+), marks AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good,
+         bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels GROUP BY doc_id
+), counts AS (
+  SELECT part, mask, count(*) AS n, count_if(coalesce(good, false)) AS good,
+         count_if(coalesce(toxic, false)) AS toxic
+  FROM flagged LEFT JOIN marks USING (doc_id) GROUP BY part, mask
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+         [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a JOIN letters b ON b.bit <> a.bit
+  JOIN letters c ON c.bit NOT IN (a.bit, b.bit)
+  JOIN letters d ON d.bit NOT IN (a.bit, b.bit, c.bit)
+  JOIN letters e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[: step - 1]), 0) AS before
+  FROM (SELECT *, unnest(range(1, 6)) AS step FROM orders)
+), told AS (
+  SELECT part, filter_order, step, bit,
+         sum(n) FILTER (mask & bit = 0 AND mask & before = 0) AS kept,
+         sum(n) FILTER (mask & bit <> 0 AND mask & before = 0) AS removed,
+         sum(n) FILTER (mask & bit <> 0 AND mask & before <> 0) AS redundant,
+         sum(n) FILTER (mask = bit) AS unique_fails,
+         sum(good) FILTER (mask & bit <> 0 AND mask & before = 0) AS good_lost,
+         sum(toxic) FILTER (mask & bit <> 0 AND mask & before = 0) AS toxic_lost
+  FROM counts CROSS JOIN (SELECT filter_order, step, CAST(bit AS BIGINT) AS bit,
+                                 CAST(before AS BIGINT) AS before FROM steps)
+  GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+       CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, bit), 0) AS BIGINT) AS shapley
+FROM told
+"""
+
 ORACLES = {
+    "op11_top_k": OP11,
+    "op12_filter_audit": OP12,
     "op3_url_lists": OP3,
     "op5_warc": OP5,
     "op6_decontaminate": OP6,

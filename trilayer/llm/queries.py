@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trilayer.llm import decision_list, decontaminate, katz, language, licenses, mixing, near_dup, quality_fm, url_lists, warc
+from trilayer.llm import (
+    decision_list, decontaminate, filter_audit, katz, language, licenses, mixing, near_dup,
+    periodic_runs, quality_fm, top_k, url_lists, warc,
+)
 from trilayer.sources.raw import table
 from trilayer.workspace import written
 
@@ -129,7 +132,65 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs.withColumn("path", path), "doc_id", "path", "text")
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every vector whose id is divisible by 50."""
+    found = top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, per source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents (doc_id, text) of which each tenth, by a hash of the id, goes on from one
+    of its words with copies of what follows there; a null id has no hash."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(F.when(chosen, F.col("text")), F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    rows = docs.select("doc_id", "text", g.alias("g"), words.alias("w"))
+    rows = rows.withColumn("n", F.size("w")).withColumn(
+        "a", F.when(F.col("n") > 0, F.pmod("g", "n")).cast("int")
+    )
+    length = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    rows = rows.withColumn("p", length)
+    rest = F.col("n") - F.col("a")
+    block = F.slice("w", F.col("a") + 1, F.col("p"))
+    copies = F.flatten(F.array_repeat(block, F.ceil(rest / F.col("p")).cast("int")))
+    rewritten = F.concat_ws(" ", F.slice("w", F.lit(1), F.col("a")), F.slice(copies, F.lit(1), rest))
+    return rows.select(
+        "doc_id", F.when(F.col("n") > 0, rewritten).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document: how many, the one of greatest exponent, and digests
+    of all of them and of the text without what they repeat."""
+    found = periodic_runs.find_runs(with_periods(table(spark, sf_dir, "documents")))
+    ranked = F.transform("runs", lambda r: F.struct(
+        (r["length"] / r["period"]).alias("exponent"), (-r["start"]).alias("earlier"),
+        (-r["period"]).alias("shorter"), r["length"].alias("length")))
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    digest = F.sha2(F.array_join(lines, ""), 256)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.array_max(ranked).alias("best"),
+        digest.alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", (-F.col("best.earlier")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.shorter")).alias("period"),
+        F.expr("1000 * best.length div -best.shorter").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256",
+    )
+
+
 QUERIES = {
+    "op11_top_k": op11_top_k,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_periodic_runs": op13_periodic_runs,
     "op9_licenses": op9_licenses,
     "op3_url_lists": op3_url_lists,
     "op5_warc": op5_warc,
