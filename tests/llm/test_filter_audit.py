@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import re
+from itertools import permutations
+
+import numpy as np
+import pytest
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+
+from trilayer.llm import filter_audit
+
+DOCS = StructType([StructField("doc_id", LongType()), StructField("text", StringType()),
+                   StructField("source", StringType()), StructField("mask", StringType())])
+LABELS = StructType([StructField("doc_id", LongType()), StructField("quality", IntegerType()),
+                     StructField("toxic", IntegerType())])
+
+
+def brute_masks(rows):
+    first = {}
+    for doc_id, text, _ in rows:
+        if doc_id is not None:
+            first[text or ""] = min(doc_id, first.get(text or "", doc_id))
+    masks = []
+    for doc_id, text, source in rows:
+        t = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        fails = [
+            len(words) < 50, 100 * len(set(words)) < 65 * len(words),
+            100 * len(re.findall("[A-Z]", t)) > 5 * len(t), bool(re.search("[#$%&*|]", t)),
+            doc_id is not None and doc_id > first[t],
+        ]
+        masks.append((doc_id, source or "", sum(f << i for i, f in enumerate(fails))))
+    return masks
+
+
+def brute_audit(rows, labels):
+    masks = brute_masks(rows)
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    found = []
+    for part in {m[1] for m in masks}:
+        mine = [(i, m) for i, p, m in masks if p == part]
+        steps, shares = [], dict.fromkeys("ABCDE", 0)
+        for order in permutations("ABCDE"):
+            before = 0
+            for step, letter in enumerate(order, 1):
+                bit = 1 << "ABCDE".index(letter)
+                gone = [i for i, m in mine if m & bit and not m & before]
+                shares[letter] += len(gone)
+                steps.append((
+                    part, "".join(order), step, sum(not m & (bit | before) for _, m in mine), len(gone),
+                    sum(bool(m & bit and m & before) for _, m in mine), sum(m == bit for _, m in mine),
+                    sum(i in good for i in gone), sum(i in toxic for i in gone), letter))
+                before |= bit
+        found += [(*s[:-1], shares[s[-1]]) for s in steps]
+    return sorted(found)
+
+
+PROSE = " ".join(f"word{i}" for i in range(60))
+ROWS = [
+    (1, None, "a"), (2, "", "a"), (3, "", None), (4, PROSE, "a"), (5, PROSE, "b"), (6, PROSE, ""),
+    (6, PROSE, ""), (None, PROSE, "b"), (None, "short # text", "b"), (7, "UPPER CASE", "a"),
+    (8, "the same words again " * 20, "a"), (8, "other text of the same id", "a"),
+    (9, "other text of the same id", "b"), (10, "É" * 30 + " Ab", "c"), (11, "Éa|b", "c"),
+    (12, PROSE + " " + "X" * 40, "a"), (13, PROSE.replace(" ", "\n\x0b"), "a"),
+    (14, "long " + " ".join(str(i) for i in range(200_000)), "c"),
+]
+MARKS = [(4, 1, 0), (5, 0, 1), (5, 1, None), (7, None, 1), (None, 1, 1), (12, 1, 1), (99, 1, 1)]
+
+
+@pytest.mark.parametrize("limit", [filter_audit.MAX_COUNTERS, 64])
+def test_equals_brute_force(spark, monkeypatch, limit):
+    """Also with a filter so small that it clears next to nothing."""
+    monkeypatch.setattr(filter_audit, "MIN_COUNTERS", 64)
+    monkeypatch.setattr(filter_audit, "SEGMENT", 16)
+    docs = spark.createDataFrame([(*r, "?") for r in ROWS], DOCS).repartition(3)
+    labels = spark.createDataFrame(MARKS, LABELS)
+    flagged = filter_audit.masks(docs, max_counters=limit)
+    assert flagged.columns == ["doc_id", "part", "mask"]
+    assert sorted(map(tuple, flagged.collect()), key=str) == sorted(brute_masks(ROWS), key=str)
+    found = filter_audit.audit(docs, labels)
+    assert sorted(map(tuple, found.collect())) == brute_audit(ROWS, MARKS)
+
+
+def test_no_documents_and_no_labels(spark):
+    docs = spark.createDataFrame([(*r, "?") for r in ROWS], DOCS)
+    labels = spark.createDataFrame([], LABELS)
+    assert filter_audit.audit(docs.limit(0), labels).count() == 0
+    found = filter_audit.audit(docs, labels)
+    assert found.filter("good_lost + toxic_lost > 0").count() == 0
+    assert found.count() == 600 * 4
+
+
+def test_sketch_clears_unique_texts_only(spark):
+    numbers = spark.range(20_000).selectExpr("xxhash64(id) AS hash")
+    twice = spark.range(500).selectExpr("xxhash64(id) AS hash")
+    counters = filter_audit.counters_for(20_500)
+    bits = filter_audit.merged_counters(numbers.unionAll(twice), counters)
+    hashes = np.array([r[0] for r in numbers.collect()], np.int64).view(np.uint64)
+    maybe = filter_audit.may_repeat(hashes, bits)
+    assert maybe[:500].all()
+    assert maybe[500:].mean() < 0.1
+
+
+def test_counters_follow_the_rows():
+    assert filter_audit.counters_for(0) == filter_audit.MIN_COUNTERS
+    assert filter_audit.counters_for(10**6) == 1 << 23
+    assert filter_audit.counters_for(10**12) == filter_audit.MAX_COUNTERS
