@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from trilayer.operators.asof import asof_join
+from trilayer.operators.ranged import RANGE_ROWS
+
+START = datetime(2024, 1, 1)
+LEFT = "id int, k string, at timestamp_ntz"
+RIGHT = "k string, since timestamp_ntz, price double, tag string"
+
+
+def sides(seed=7, n=300):
+    """Nine tenths of both sides belong to one key; many times are equal."""
+    random.seed(seed)
+
+    def place(i):
+        key = "hot" if random.random() < 0.9 else random.choice(["a", "b", None])
+        return key, None if i % 29 == 0 else START + timedelta(minutes=random.randint(0, 60))
+
+    left = [(i, *place(i)) for i in range(n)]
+    right = [(*place(i), None if i % 13 == 0 else float(i % 17), random.choice("xyz")) for i in range(n)]
+    return left, right
+
+
+def brute_force(left, right, strictly=False, minutes=None):
+    found = []
+    for i, key, at in left:
+        best = None
+        for k, since, price, tag in right:
+            if key is None or at is None or k != key or since is None:
+                continue
+            if since < at if strictly else since <= at:
+                rank = (since, price is not None, price or 0, tag)
+                best = max(best, (rank, price, tag)) if best else (rank, price, tag)
+        if best and minutes is not None and best[0][0] + timedelta(minutes=minutes) < at:
+            best = None
+        found.append((i, key, at, *(best[1:] if best else (None, None))))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("size", [RANGE_ROWS, 40])
+@pytest.mark.parametrize("strictly, minutes", [(False, None), (True, None), (False, 5)])
+def test_equals_brute_force(spark, size, strictly, minutes):
+    left, right = sides()
+    within = f"{minutes} minutes" if minutes else None
+    found = asof_join(
+        spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ["k"], "at", "since",
+        ["price", "tag"], within, strictly, size,
+    )
+    assert found.columns == ["id", "k", "at", "price", "tag"]
+    assert sorted(map(tuple, found.collect())) == brute_force(left, right, strictly, minutes)
+
+
+def test_nothing_on_either_side(spark):
+    left, right = sides(n=20)
+    some, none = spark.createDataFrame(left, LEFT), spark.createDataFrame([], LEFT)
+    prices = spark.createDataFrame(right, RIGHT)
+    assert asof_join(none, prices, ["k"], "at", "since", ["price"]).count() == 0
+    found = asof_join(some, prices.limit(0), ["k"], "at", "since", ["price"])
+    assert found.count() == 20 and found.filter("price IS NOT NULL").count() == 0
+
+
+def test_repeated_rows_stay_and_clashing_names_are_refused(spark):
+    left = [(1, "a", START), (1, "a", START)]
+    prices = spark.createDataFrame([("a", START, 2.0, "x")], RIGHT)
+    some = spark.createDataFrame(left, LEFT)
+    assert asof_join(some, prices, ["k"], "at", "since", ["price"]).count() == 2
+    with pytest.raises(ValueError, match="id"):
+        asof_join(some, prices.withColumnRenamed("tag", "id"), ["k"], "at", "since", ["id"])
+
+
+def test_nothing_is_compared_pair_by_pair(spark):
+    left, right = sides(n=50)
+    found = asof_join(
+        spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ["k"], "at", "since", ["price"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortMergeJoin" not in plan

@@ -1,0 +1,32 @@
+"""Every query of the catalogue on tables without rows."""
+
+from __future__ import annotations
+
+import pytest
+
+from trilayer.plans.catalogue import QUERIES
+from trilayer.sources.raw import table
+from trilayer.workspace import new_dir
+
+DATA = "/root/testdata/sf0.001"
+TABLES = "region nation customer supplier part orders lineitem events documents".split()
+#: Queries that tell of a whole table in one row per rule, copy or level.
+SUMMARIES = {
+    "silver_rejects", "layer_counts", "reconcile_layers", "reconcile_differences", "rule_metrics",
+    "merge_metrics", "version_before_merge", "file_profile", "skipping_report",
+}
+
+
+@pytest.fixture(scope="module")
+def empty_folder(spark):
+    path = new_dir(spark, "empty_tables")
+    for name in TABLES:
+        table(spark, DATA, name).limit(0).write.parquet(f"{path}/{name}.parquet")
+    return path
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_rows(spark, empty_folder, name):
+    found = QUERIES[name](spark, empty_folder)
+    rows = found.collect()
+    assert bool(rows) == (name in SUMMARIES)

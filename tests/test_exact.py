@@ -40,3 +40,45 @@ def test_nan_reaches_gold_as_nan(spark):
     assert math.isnan(found["average_trip_distance_miles"])
     assert math.isnan(found["total_tip_amount"])
     assert found["total_fare_amount"] == 2.0
+
+
+INF = float("inf")
+
+
+def same(found, want):
+    return all(math.isnan(a) if math.isnan(b) else a == b for a, b in zip(found, want))
+
+
+def test_infinite_amounts_count_as_in_a_plain_sum(spark):
+    assert results(spark, [1.0, INF]) == (INF, INF, INF)
+    assert results(spark, [-INF, 2.0, None]) == (-INF, -INF, -INF)
+    assert same(results(spark, [INF, -INF, 1.0]), [NAN, NAN, NAN])
+    assert same(results(spark, [INF, NAN]), [NAN, NAN, NAN])
+    df = spark.createDataFrame([(INF,), (-INF,), (2.675,)], "v double").select(round2(F.col("v")))
+    assert [r[0] for r in df.collect()] == [INF, -INF, 2.68]
+    for values in ([INF, 1.0], [INF, -INF], [NAN], [1.0, 2.0], []):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        plain = df.agg(F.sum("v"), F.avg("v")).first()
+        found = df.agg(exact_sum("v"), exact_avg("v")).first()
+        assert found[:] == plain[:] if None in plain[:] else same(found, plain)
+
+
+def test_infinities_reach_gold(spark, folder):
+    """The same figures from the SQL twin of the averages and sums."""
+    import duckdb
+
+    from trilayer.plans import oracles
+
+    spark.sql(
+        "SELECT id, CASE id % 4 WHEN 0 THEN double('Infinity') WHEN 1 THEN 1.25D WHEN 2 THEN "
+        "double('-Infinity') ELSE double('NaN') END AS v, id % 7 AS k FROM range(0, 9)"
+    ).coalesce(1).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    found = rows.groupBy("k").agg(rounded_sum("v").alias("s"), round2(exact_avg("v")).alias("a"))
+    sql = (
+        f"SELECT k, {oracles._rounded_sum('v')} AS s, {oracles._round2(oracles._average('v'))} AS a "
+        f"FROM '{folder}/*.parquet' GROUP BY k"
+    )
+    want = {r[0]: r[1:] for r in duckdb.connect().execute(sql).fetchall()}
+    for row in found.collect():
+        assert same(row[1:], want[row["k"]])

@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from trilayer.operators import history, versions
+
+VALUES = ["v", "w"]
+LOG = "k string, n int, v int, w string, version long, commit_ts timestamp_ntz, op string, operation string"
+
+
+def random_log(spark, commits=6, keys=40, hot=False):
+    """Inserts, updates, deletes and returns of keys, one of them null."""
+    random.seed(commits + keys)
+    alive, rows = set(), []
+    for version in range(commits):
+        for i in range(keys):
+            if random.random() < 0.5 and not (hot and i == 3):
+                continue
+            key = (None if i == 0 else f"k{i}", i % 3)
+            op = "INSERT" if key not in alive else random.choice(["UPDATE", "UPDATE", "DELETE"])
+            alive ^= {key} if op != "UPDATE" else set()
+            rows.append((*key, None if i % 7 == 0 else version, f"w{version}", version, None, op, "X"))
+    log = spark.createDataFrame(rows, LOG)
+    return log.selectExpr(
+        "k", "n", "v", "w", "version", "timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,int(version)) AS commit_ts",
+        "op", "operation",
+    )
+
+
+def fold(log, version):
+    return sorted(map(tuple, versions.state_as_of(log, ["k", "n"], VALUES, version=version).collect()), key=str)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select("k", "n", *VALUES).collect()), key=str)
+
+
+@pytest.mark.parametrize("size", [1_000_000, 5])
+def test_every_version_equals_the_fold(spark, size):
+    log = random_log(spark)
+    found = history.intervals(log, ["k", "n"], VALUES, range_rows=size)
+    for version in range(6):
+        assert rows_of(history.as_of(found, version)) == fold(log, version)
+        at = f"2024-01-01 0{version}:30:00"
+        assert rows_of(history.as_of(found, timestamp=at)) == fold(log, version)
+    assert history.as_of(found, timestamp="2023-12-31 00:00:00").count() == 0
+    with pytest.raises(ValueError):
+        history.as_of(found)
+
+
+def test_commits_close_and_open_only_what_changed(spark, folder):
+    log = random_log(spark)
+    keys = ["k", "n"]
+    schema = history.write_history(
+        history.intervals(log.filter("version < 2"), keys, VALUES), folder, keys, parts=8)
+    for version in range(2, 6):
+        before = history.read_history(spark, folder, schema)
+        ended = {tuple(r) for r in before.filter(f"until <= {version}").collect()}
+        changes = log.filter(f"version = {version}")
+        for _ in range(2):  # a commit that is repeated changes nothing
+            history.commit(
+                spark, folder, schema, keys, VALUES, changes, version, f"2024-01-01 0{version}:00:00", 8)
+        now = history.read_history(spark, folder, schema)
+        assert ended <= {tuple(r) for r in now.collect()}
+        for old in range(version + 1):
+            assert rows_of(history.as_of(now, old)) == fold(log, old)
+            assert rows_of(history.as_of(now, timestamp=f"2024-01-01 0{old}:10:00")) == fold(log, old)
+
+
+def test_files_of_untouched_parts_stay(spark, folder):
+    rows = [(f"k{i}", 1, i, "w", 0, None, "INSERT", "X") for i in range(100)]
+    log = spark.createDataFrame(rows, LOG).selectExpr(
+        "k", "n", "v", "w", "version", "timestamp_ntz'2024-01-01' AS commit_ts", "op", "operation")
+    schema = history.write_history(history.intervals(log, ["k", "n"], VALUES), folder, ["k", "n"])
+    files = set(history.read_history(spark, folder, schema).inputFiles())
+    change = log.filter("k = 'k7'").selectExpr("k", "n", "-1 AS v", "w", "'UPDATE' AS op")
+    history.commit(spark, folder, schema, ["k", "n"], VALUES, change, 1, "2024-01-01 01:00:00")
+    now = history.read_history(spark, folder, schema)
+    assert len(files - set(now.inputFiles())) == 1
+    gone = log.filter("k = 'k8'").selectExpr("k", "n", "v", "w", "'DELETE' AS op")
+    history.commit(spark, folder, schema, ["k", "n"], VALUES, gone, 2, "2024-01-01 02:00:00")
+    now = history.read_history(spark, folder, schema)
+    assert history.as_of(now, 2).count() == 99 and history.as_of(now, 1).count() == 100
+    assert history.as_of(now, 1).filter("v = -1").count() == 1
+
+
+def test_partitions_that_ended_are_not_read(spark, folder):
+    log = random_log(spark)
+    schema = history.write_history(history.intervals(log, ["k", "n"], VALUES), folder, ["k", "n"])
+    found = history.as_of(history.read_history(spark, folder, schema), 4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "until" in filters and "> 4" in filters
+
+
+def test_no_changes(spark, folder):
+    log = random_log(spark).limit(0)
+    schema = history.write_history(history.intervals(log, ["k", "n"], VALUES), folder, ["k", "n"])
+    assert history.as_of(history.read_history(spark, folder, schema), 0).count() == 0

@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+
+from trilayer.operators import ranged
+
+NAN, INF = float("nan"), float("inf")
+
+
+def timeline(spark, n=400, hot=0.9):
+    random.seed(4)
+    rows = []
+    for i in range(n):
+        key = "hot" if random.random() < hot else random.choice(["a", "b", None])
+        at = None if i % 37 == 0 else random.randint(0, 40)
+        rows.append((key, at, i, None if i % 11 == 0 else round(random.uniform(-5, 5), 3)))
+    return rows, spark.createDataFrame(rows, "k string, at int, id int, v double").repartition(5)
+
+
+def by_key(rows):
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[0], []).append(row)
+    return {k: sorted(g, key=lambda r: (r[1] is not None, r[1] or 0, r[2])) for k, g in groups.items()}
+
+
+@pytest.mark.parametrize("size", [ranged.RANGE_ROWS, 25])
+def test_running_totals_with_and_without_ranges(spark, size):
+    rows, df = timeline(spark)
+    totals = {"n": ("count", "v"), "total": ("sum", "v"), "low": ("min", "v"), "high": ("max", "v")}
+    found = ranged.running(df, ["k"], ["at", "id"], totals, size)
+    assert found.columns == [*df.columns, *totals]
+    got = {r["id"]: (r["n"], r["total"], r["low"], r["high"]) for r in found.collect()}
+    assert len(got) == len(rows)
+    for group in by_key(rows).values():
+        seen = []
+        for row in group:
+            seen += [row[3]] if row[3] is not None else []
+            n, total, low, high = got[row[2]]
+            assert n == len(seen)
+            assert total == (round(math.fsum(seen), 9) if seen else None)
+            assert (low, high) == ((min(seen), max(seen)) if seen else (None, None))
+
+
+@pytest.mark.parametrize("size", [ranged.RANGE_ROWS, 3])
+def test_running_sums_of_odd_numbers(spark, size):
+    values = [1.0, 2.5, INF, 1.0, None, -INF, 3.0]
+    df = spark.createDataFrame([("k", i, v) for i, v in enumerate(values)], "k string, i int, v double")
+    found = ranged.running(df, ["k"], ["i"], {"t": ("sum", "v")}, size).orderBy("i").collect()
+    assert [r["t"] for r in found[:5]] == [1.0, 3.5, INF, INF, INF]
+    assert all(math.isnan(r["t"]) for r in found[5:])
+
+
+def test_a_hot_key_is_cut_into_bounded_ranges(spark):
+    """One key holds all rows, most of them at one time; each range stays near its size."""
+    df = spark.range(20_000, numPartitions=6).selectExpr(
+        "1 AS k", "int(id > 15000) AS at", "id", "double(id % 7) AS v")
+    placed = ranged.in_ranges(df, ["k"], ["at", "id"], 1000)
+    sizes = [r["count"] for r in placed.groupBy(ranged.RANGE).count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) > 10 and max(sizes) < 4000
+    found = ranged.running(df, ["k"], ["at", "id"], {"n": ("count", "v")}, 1000)
+    assert found.selectExpr("count(DISTINCT n)", "min(n)", "max(n)").first()[:] == (20_000, 1, 20_000)
+
+
+@pytest.mark.parametrize("size", [ranged.RANGE_ROWS, 20])
+def test_last_state_and_next_row(spark, size):
+    rows, df = timeline(spark)
+    last = ranged.last_state(df, ["k"], ["at", "id"], "v", "last", size)
+    after = ranged.next_row(df, ["k"], ["at", "id"], "v", "after", size)
+    last = {r["id"]: r["last"] for r in last.collect()}
+    after = {r["id"]: r["after"] for r in after.collect()}
+    for group in by_key(rows).values():
+        state = None
+        for row, following in zip(group, [*group[1:], None]):
+            state = row[3] if row[3] is not None else state
+            assert last[row[2]] == state
+            assert after[row[2]] == (following[3] if following else None)
+
+
+def test_unknown_total_and_no_rows(spark):
+    df = spark.createDataFrame([], "k string, at int, v double")
+    assert ranged.running(df, ["k"], ["at"], {"t": ("sum", "v")}).count() == 0
+    assert ranged.next_row(df, ["k"], ["at"], "v", "n").count() == 0
+    with pytest.raises(ValueError):
+        ranged.running(df, ["k"], ["at"], {"t": ("mean", "v")})

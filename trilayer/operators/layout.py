@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
+from math import ceil, isfinite
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trilayer.session import conf
 from trilayer.sources.raw import list_files, read_raw
@@ -46,8 +47,10 @@ def compact(
     partition_by: Sequence[str] = (),
     where: str | None = None,
     file_bytes: int = FILE_BYTES,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Rewrite a table into files of about ``file_bytes``.
+    """Rewrite a table into files of about ``file_bytes``. ``schema`` is the table's; one
+    without files needs it.
 
     ``where``, a condition on partition columns, picks the partitions to rewrite; the
     others are carried over in as many files as their tasks write.
@@ -56,7 +59,7 @@ def compact(
     ``file_bytes`` and writes one. A partitioned one is rebalanced by its partition
     columns, with a large partition spread over several tasks.
     """
-    rows = read_raw(spark, source)
+    rows = read_raw(spark, source, schema=schema)
     if where and not partition_by:
         raise ValueError("only a partitioned table can be compacted in part")
     if partition_by:
@@ -67,7 +70,7 @@ def compact(
         if where:
             others = rows.filter(~F.coalesce(F.expr(where), F.lit(False)))
             write_layer(others, destination, "append", partition_by=partition_by)
-        return read_raw(spark, destination)
+        return read_raw(spark, destination, schema=rows.schema)
     scan = {
         "spark.sql.files.maxPartitionBytes": str(file_bytes),
         "spark.sql.files.openCostInBytes": "0",
@@ -75,7 +78,7 @@ def compact(
     }
     with conf(spark, scan):
         write_layer(rows, destination)
-    return read_raw(spark, destination)
+    return read_raw(spark, destination, schema=rows.schema)
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
@@ -106,7 +109,9 @@ def add_zvalue(
     ).approxQuantile(
         list(numbers), [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)
     )
-    bounds = [[float("-inf"), *sorted(set(cut)), float("inf")] for cut in cuts]
+    # an empty or all-null column has no cut; one bound makes two buckets of it
+    finite = [sorted({value for value in cut if isfinite(value)}) or [0.0] for cut in cuts]
+    bounds = [[float("-inf"), *cut, float("inf")] for cut in finite or [[0.0]] * len(columns)]
     df = df.withColumns(numbers)
     bucketed = Bucketizer(
         splitsArray=bounds,

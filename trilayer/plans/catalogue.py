@@ -6,11 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trilayer.functions import privacy
-from trilayer.functions.exact import rounded_sum
+from trilayer.functions.exact import is_finite, rounded_sum
 from trilayer.functions.times import add_time_partitions, without_zone
-from trilayer.operators import cleanse, declared, gold, joins, layout, merge, versions
+from trilayer.operators import (
+    asof,
+    cleanse,
+    declared,
+    gold,
+    history,
+    joins,
+    layout,
+    merge,
+    overlap,
+    ranged,
+    sketches,
+    versions,
+)
 from trilayer.operators.quality import apply_rules, observe_rules
 from trilayer.operators.quality import rule_metrics as metrics_of
 from trilayer.operators.reconcile import copy_verified, reconcile
@@ -19,6 +33,7 @@ from trilayer.plans.layers import (
     bronze_table,
     build_bronze,
     gold_daily_table,
+    named_layer,
     silver_table,
 )
 from trilayer.sources.raw import (
@@ -36,6 +51,7 @@ from trilayer.sources.writers import (
     read_evolved,
     write_layer,
 )
+from trilayer.streaming import drift
 from trilayer.streaming import trips as streams
 from trilayer.streaming.runner import read_complete, run_stream
 from trilayer.workspace import new_dir, written
@@ -67,13 +83,9 @@ def query(function: Query) -> Query:
 def bronze_ingest(spark, folder):
     """Raw trips with time partitions, written partitioned and read back."""
     path = new_dir(spark, "bronze_ingest")
-    write_layer(
-        build_bronze(spark, folder),
-        path,
-        partition_by=["pickup_year", "pickup_month"],
-        rebalance=True,
-    )
-    return read_raw(spark, path).drop("ingestion_timestamp", "source_file")
+    bronze = build_bronze(spark, folder)
+    write_layer(bronze, path, partition_by=["pickup_year", "pickup_month"], rebalance=True)
+    return read_raw(spark, path, schema=bronze.schema).drop("ingestion_timestamp", "source_file")
 
 
 @query
@@ -184,9 +196,12 @@ def pruned_avg(spark, folder):
     return spark.sql(
         """
         SELECT pickup_location_id,
-               CASE WHEN max(isnan(tip_amount)) THEN double('NaN')
+               CASE WHEN count_if(isnan(tip_amount) OR abs(tip_amount) = double('Infinity')) > 0
+                    THEN avg(tip_amount)
                     ELSE try_divide(
-                      CAST(sum(CAST(nanvl(tip_amount, NULL) AS DECIMAL(28, 10))) AS DOUBLE),
+                      CAST(sum(CAST(CASE WHEN NOT isnan(tip_amount)
+                                          AND abs(tip_amount) < double('Infinity')
+                                         THEN tip_amount END AS DECIMAL(28, 10))) AS DOUBLE),
                       count(tip_amount)) END AS avg_tip
         FROM {silver} WHERE pickup_year = 2024 AND pickup_month = 1
         GROUP BY pickup_location_id ORDER BY pickup_location_id
@@ -201,7 +216,7 @@ def silver_by_day(spark, folder):
     by_day = silver_table(spark, folder).withColumn(
         "pickup_day", F.dayofmonth("tpep_pickup_datetime"))
     write_layer(by_day, path, partition_by=["pickup_day"], rebalance=True)
-    return read_raw(spark, path)
+    return read_raw(spark, path, schema=by_day.schema)
 
 
 @query
@@ -252,8 +267,112 @@ def earliest_trips(spark, folder):
     return gold.first_rows(chosen, 10, "tpep_pickup_datetime", "event_id")
 
 
+@query
+def silver_by_name(spark, folder):
+    """Trips per vendor and month from the silver table, read by its name in the catalog."""
+    name = named_layer(spark, folder, "silver", "Valid trips")
+    counts = gold.rows_per(spark.table(name), "pickup_year", "pickup_month", "vendor_id")
+    return counts.withColumnRenamed("count", "trips")
+
+
+@query
+def running_totals(spark, folder):
+    """Each trip with its zone's trips, takings and highest fare so far."""
+    silver = silver_table(spark, folder).select(
+        "event_id", "pickup_location_id", "tpep_pickup_datetime", "total_amount", "fare_amount"
+    )
+    totals = {
+        "trips_so_far": ("count", "event_id"), "taken_so_far": ("sum", "total_amount"),
+        "highest_fare": ("max", "fare_amount"), "lowest_fare": ("min", "fare_amount"),
+    }
+    order = ["tpep_pickup_datetime", "event_id"]
+    return ranged.running(silver, ["pickup_location_id"], order, totals)
+
+
+@query
+def gold_sketches(spark, folder):
+    """Trips, distinct zones, median and 95th percentile of takings per day, month and in
+    all, the longer periods merged from the days' sketches; and whether the estimates are
+    within their stated errors of the true figures."""
+    silver = silver_table(spark, folder)
+    days = written(
+        sketches.daily_sketches(silver, ["pickup_location_id"], ["total_amount"]), "sketches")
+    months = sketches.merged(days, F.date_trunc("month", "trip_date"))
+    never = F.lit(None).cast("timestamp")
+    periods = {
+        "day": (days.withColumnRenamed("trip_date", "period"), gold.day()),
+        "month": (months, F.date_trunc("month", "tpep_pickup_datetime")),
+        "all": (sketches.merged(months.withColumnRenamed("period", "trip_date"), never), never),
+    }
+    found = [
+        _sketch_errors(silver, kept, period, level == "all").select(F.lit(level).alias("level"), "*")
+        for level, (kept, period) in periods.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def _sketch_errors(silver, kept, period, whole):
+    """Estimates of each period and whether they are within their errors."""
+    told = kept.select(
+        "period", "trips", sketches.distinct_estimate("pickup_location_id").alias("zones_told"),
+        sketches.quantile_estimate("total_amount", 0.5).alias("p50"),
+        sketches.quantile_estimate("total_amount", 0.95).alias("p95"),
+    )
+    amount = F.when(is_finite(F.col("total_amount")), F.col("total_amount"))
+    rows = silver.select(period.alias("_period"), "pickup_location_id", amount.alias("amount"))
+    if whole:  # one row, which needs no join
+        told = written(told, "sketch-estimates")
+        joined = rows.withColumns({name: told.select(name).scalar() for name in told.columns})
+    else:
+        joined = rows.join(joins.broadcast_if_small(told), F.col("_period") == F.col("period"))
+
+    def ranks(name, rank):
+        below = F.count_if(F.col("amount") < F.col(name)) / F.count("amount")
+        upto = F.count_if(F.col("amount") <= F.col(name)) / F.count("amount")
+        return (below <= rank + sketches.RANK_ERROR) & (upto >= rank - sketches.RANK_ERROR)
+
+    zones = F.count_distinct("pickup_location_id")
+    return joined.groupBy("period", "trips", "zones_told").agg(
+        zones.alias("zones"), ranks("p50", 0.5).alias("median_close"),
+        ranks("p95", 0.95).alias("p95_close"),
+    ).select(
+        "period", "trips", "zones",
+        (F.abs(F.col("zones_told") - F.col("zones")) <= F.ceil(
+            F.col("zones") * sketches.DISTINCT_ERROR)).alias("zones_close"),
+        "median_close", "p95_close",
+    )
+
+
 # Joins
 
+
+@query
+def asof_join(spark, folder):
+    """Each event with the price and key of its user's newest order at that time; order
+    dates are folded into the month of the events."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "ts")
+    second = F.pmod(F.unix_date(F.to_date("o_orderdate")) * 3671 + F.col("o_orderkey") * 61, F.lit(2_592_000))
+    orders = table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("user_id"), "o_totalprice", "o_orderkey",
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=second)).alias("ordered_at"),
+    )
+    return asof.asof_join(
+        events, orders, ["user_id"], "ts", "ordered_at", ["o_totalprice", "o_orderkey"])
+
+
+@query
+def overlap_join(spark, folder):
+    """Pairs of trips to one zone that were under way at the same time."""
+    start, end = "tpep_pickup_datetime", "tpep_dropoff_datetime"
+    trips = silver_table(spark, folder).select("dropoff_location_id", "event_id", start, end)
+    others = trips.withColumnsRenamed(
+        {name: f"other_{name}" for name in ("event_id", start, end)})
+    pairs = overlap.overlap_join(
+        trips, others, (start, end), (f"other_{start}", f"other_{end}"), ["dropoff_location_id"])
+    return pairs.filter("event_id < other_event_id").select(
+        "dropoff_location_id", "event_id", "other_event_id")
+
+
 TRIP_AND_DAY = [
     "event_id",
     "tpep_pickup_datetime",
@@ -485,6 +604,21 @@ def schema_evolution(spark, folder):
     )
 
 
+@query
+def as_of_interval(spark, folder):
+    """The state at a version from a history of intervals that a later commit has been
+    brought into; one filter, which skips what had ended by then."""
+    log = written(_log(spark, folder), "order_log")
+    keys, path = ["o_orderkey"], new_dir(spark, "history")
+    found = history.intervals(log.filter("version < 2"), keys, examples.ORDER_VALUES)
+    schema = history.write_history(found, path, keys)
+    history.commit(
+        spark, path, schema, keys, examples.ORDER_VALUES, log.filter("version = 2"), 2,
+        "2024-01-01 02:00:00",
+    )
+    return history.as_of(history.read_history(spark, path, schema), version=1)
+
+
 # File layout
 
 
@@ -563,7 +697,8 @@ def compact_partitions(spark, folder):
     lines = table(spark, folder, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
     source, done = new_dir(spark, "by_year"), new_dir(spark, "by_year_compacted")
     write_layer(lines.repartition(4), source, partition_by=["ship_year"])
-    found = layout.compact(spark, source, done, ["ship_year"], where="ship_year = 1995")
+    found = layout.compact(
+        spark, source, done, ["ship_year"], where="ship_year = 1995", schema=lines.schema)
     return found.groupBy("ship_year").agg(
         F.count("*").alias("lines"), rounded_sum("l_quantity").alias("quantity"))
 
@@ -601,7 +736,8 @@ def stream_bronze(spark, folder):
 
 def _second_stream(spark, run):
     schema = read_raw(spark, f"{run}/bronze").schema
-    return streams.window_counts(stream_files(spark, f"{run}/bronze", schema))
+    bronze = stream_files(spark, f"{run}/bronze", schema, max_files_per_trigger=FILES_PER_BATCH)
+    return streams.window_counts(bronze)
 
 
 def _closed_windows(spark, folder):
@@ -657,10 +793,8 @@ def stream_rules(spark, folder):
     """Rows that a stream under row rules lets through."""
     run = _streamed_bronze(spark, folder)
     schema = read_raw(spark, f"{run}/bronze").schema
-    checked = apply_rules(
-        observe_rules(stream_files(spark, f"{run}/bronze", schema), STREAM_RULES),
-        STREAM_RULES,
-    )
+    bronze = stream_files(spark, f"{run}/bronze", schema, max_files_per_trigger=FILES_PER_BATCH)
+    checked = apply_rules(observe_rules(bronze, STREAM_RULES), STREAM_RULES)
     run_stream(
         checked.select("event_id", "tpep_pickup_datetime", "trip_distance", "fare_amount"),
         checkpoint=f"{run}/rules_checkpoint",
@@ -670,18 +804,25 @@ def stream_rules(spark, folder):
     return read_raw(spark, f"{run}/silver")
 
 
-def _landed_trips(spark, folder, files=4):
-    """Trips with their drop-off time, landed as files in the order of pickup."""
+# Trips of one landed file, and files at least, so that a stream has several batches.
+LANDED_ROWS = 1_000_000
+LANDED_FILES = 4
+
+
+def _landed_trips(spark, folder, rows_per_file=LANDED_ROWS, files=LANDED_FILES):
+    """Trips with their drop-off time, landed one file after the other in the order of
+    pickup, trips without one first. Files hold equal numbers of trips, however these lie
+    in time."""
     path = new_dir(spark, "landed")
     trips = written(raw_trips(spark, folder), "landing")
-    span = trips.agg(F.min("tpep_pickup_datetime"), F.max("tpep_pickup_datetime")).first()
-    step = (span[1] - span[0]) / files
+    files = max(files, -(-trips.count() // rows_per_file))
+    staged = new_dir(spark, "landing_order")
+    ordered = trips.repartitionByRange(files, "tpep_pickup_datetime", "event_id")
+    write_layer(ordered.withColumn("_file", F.spark_partition_id()), staged, partition_by=["_file"])
+    parts = read_raw(spark, staged, schema=T.StructType([*trips.schema, T.StructField("_file", T.IntegerType())]))
     for number in range(files):
-        part = trips.filter(F.col("tpep_pickup_datetime") >= F.lit(span[0] + number * step))
-        if number < files - 1:
-            part = part.filter(F.col("tpep_pickup_datetime") < F.lit(span[0] + (number + 1) * step))
-        write_layer(part.coalesce(1), path, "append")
-    return path
+        write_layer(parts.filter(F.col("_file") == number).drop("_file"), path, "append")
+    return path, trips.schema
 
 
 @query
@@ -689,11 +830,10 @@ def stream_by_table(spark, folder):
     """Windows of all micro-batches: files of trips are streamed one at a time into a named
     table, which a second stream reads by its name. Both event times are cast."""
     run = new_dir(spark, "by_table")
-    landed = _landed_trips(spark, folder)
+    landed, schema = _landed_trips(spark, folder)
     name = f"stream_bronze_{run.rpartition('-')[2]}"
     run_stream(
-        streams.bronze_stream(
-            stream_files(spark, landed, read_raw(spark, landed).schema, max_files_per_trigger=1)),
+        streams.bronze_stream(stream_files(spark, landed, schema, max_files_per_trigger=1)),
         checkpoint=f"{run}/bronze_checkpoint", path=f"{run}/bronze", table=name,
     )
     longer = stream_table(spark, name, 1).filter("tpep_dropoff_datetime > tpep_pickup_datetime")
@@ -709,14 +849,14 @@ def stream_by_table(spark, folder):
 def declared_stream(spark, folder):
     """The declared datasets as a chain of streams: silver under its rules, then gold as a
     whole with every micro-batch; files are taken one at a time."""
-    run, landed = new_dir(spark, "declared"), _landed_trips(spark, folder)
-    bronze = stream_files(spark, landed, read_raw(spark, landed).schema, max_files_per_trigger=1)
+    run = new_dir(spark, "declared")
+    landed, schema = _landed_trips(spark, folder)
+    checked = declared.declared_silver(stream_files(spark, landed, schema, max_files_per_trigger=1))
     run_stream(
-        declared.declared_silver(bronze), checkpoint=f"{run}/silver_checkpoint",
-        path=f"{run}/silver", name="declared_silver",
+        checked, checkpoint=f"{run}/silver_checkpoint", path=f"{run}/silver",
+        name="declared_silver",
     )
-    schema = read_raw(spark, f"{run}/silver").schema
-    silver = stream_files(spark, f"{run}/silver", schema, max_files_per_trigger=1)
+    silver = stream_files(spark, f"{run}/silver", checked.schema, max_files_per_trigger=1)
     run_stream(
         declared.declared_gold(silver), checkpoint=f"{run}/gold_checkpoint",
         path=f"{run}/gold", name="declared_gold", mode="complete",
@@ -724,6 +864,50 @@ def declared_stream(spark, folder):
     return read_complete(spark, f"{run}/gold")
 
 
+def _drifting_events(spark, folder):
+    """Events that land in three steps: as they are, then with a channel, then with the
+    user as text that is mostly, not always, a number."""
+    source = new_dir(spark, "drifting")
+    events = written(table(spark, folder, "events").drop("props"), "drifting-events")
+    channel = F.concat(F.lit("c"), F.col("event_id") % 4)
+    user = F.col("user_id").cast("string")
+    named = F.when(F.col("event_type") == "view", F.concat(F.lit("u"), user)).otherwise(user)
+    steps = [
+        events,
+        events.withColumn("channel", channel),
+        events.withColumn("channel", channel).withColumn("user_id", named),
+    ]
+    for number, step in enumerate(steps):
+        write_layer(step.filter(F.col("event_id") % 3 == number), source, "append")
+    return source
+
+
+def _drifted(spark, folder, evolve):
+    run, source = new_dir(spark, "drift"), _drifting_events(spark, folder)
+    schema = table(spark, folder, "events").drop("props").schema
+    drift.ingest_drifting(
+        spark, source, f"{run}/bronze", f"{run}/checkpoint", evolve, schema,
+        max_files_per_trigger=FILES_PER_BATCH,
+    )
+    rows = drift.read_drifted(spark, f"{run}/bronze", f"{run}/checkpoint")
+    return rows.withColumn("rescued_user", F.try_element_at("_rescued", F.lit("user_id")))
+
+
+@query
+def stream_drift(spark, folder):
+    """A stream under a fixed schema; an unknown field and users that are no number are
+    rescued."""
+    return _drifted(spark, folder, False).withColumn(
+        "rescued_channel", F.try_element_at("_rescued", F.lit("channel"))
+    ).drop("_rescued")
+
+
+@query
+def stream_evolved(spark, folder):
+    """The same stream with a schema that grows by the new field."""
+    return _drifted(spark, folder, True).drop("_rescued")
+
+
 @query
 def first_windows(spark, folder):
     """The ten earliest closed windows."""

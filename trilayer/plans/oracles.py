@@ -11,16 +11,33 @@ PHONE = (
 )
 
 
+def _or_special(name: str, result: str) -> str:
+    """``result``, or the sum of the NaN and infinite amounts if there are any."""
+    odd = f"FILTER (WHERE NOT isfinite(CAST({name} AS DOUBLE)))"
+    return (
+        f"CASE WHEN count(*) {odd} > 0 THEN sum(CAST({name} AS DOUBLE)) {odd} ELSE {result} END"
+    )
+
+
 def _amount(name: str) -> str:
-    return f"sum(CAST({name} AS DECIMAL(28,10)))"
+    return (
+        f"sum(CAST(CASE WHEN isfinite(CAST({name} AS DOUBLE)) THEN {name} END AS DECIMAL(28,10)))"
+    )
+
+
+def _rounded_sum(name: str) -> str:
+    return _or_special(name, f"CAST(round({_amount(name)}, 2) AS DOUBLE)")
 
 
 def _average(name: str) -> str:
-    return f"CAST({_amount(name)} AS DOUBLE) / nullif(count({name}), 0)"
+    return _or_special(name, f"CAST({_amount(name)} AS DOUBLE) / nullif(count({name}), 0)")
 
 
 def _round2(value: str) -> str:
-    return f"CAST(round(CAST({value} AS DECIMAL(28,10)), 2) AS DOUBLE)"
+    return (
+        f"CASE WHEN isfinite(CAST({value} AS DOUBLE)) THEN "
+        f"CAST(round(CAST({value} AS DECIMAL(28,10)), 2) AS DOUBLE) ELSE {value} END"
+    )
 
 
 _TRIPS = """
@@ -91,8 +108,8 @@ _DAILY = f"""{_SILVER},
 daily AS (
   SELECT {_DAY_TS} AS trip_date, count(*) AS total_trips,
          {_round2(_average("trip_distance"))} AS average_trip_distance_miles,
-         {_round2(_amount("fare_amount"))} AS total_fare_amount,
-         {_round2(_amount("tip_amount"))} AS total_tip_amount,
+         {_rounded_sum("fare_amount")} AS total_fare_amount,
+         {_rounded_sum("tip_amount")} AS total_tip_amount,
          {_round2(_average("trip_duration_minutes"))} AS average_trip_duration_minutes
   FROM silver GROUP BY 1
 )"""
@@ -217,8 +234,8 @@ FROM numbered WHERE n = 1 AND op <> 'DELETE'"""
 
 _LINE_TOTALS = f"""
 SELECT l_returnflag, l_linestatus, count(*) AS lines,
-       {_round2(_amount("l_quantity"))} AS quantity,
-       {_round2(_amount("l_extendedprice"))} AS price,
+       {_rounded_sum("l_quantity")} AS quantity,
+       {_rounded_sum("l_extendedprice")} AS price,
        min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
 FROM lineitem GROUP BY 1, 2"""
 
@@ -286,12 +303,12 @@ ORDER BY pickup_year, pickup_month, total_trips DESC, pickup_location_id""",
     "declared_daily_summary": f"""WITH {_DECLARED}
 SELECT {_DAY_TS} AS trip_date, count(*) AS total_trips,
        {_round2(_average("trip_distance"))} AS average_trip_distance,
-       {_round2(_amount("total_amount"))} AS total_revenue
+       {_rounded_sum("total_amount")} AS total_revenue
 FROM checked GROUP BY 1""",
     "declared_stream": f"""WITH {_DECLARED}
 SELECT {_DAY_TS} AS trip_date, count(*) AS total_trips,
        {_round2(_average("trip_distance"))} AS average_trip_distance,
-       {_round2(_amount("total_amount"))} AS total_revenue
+       {_rounded_sum("total_amount")} AS total_revenue
 FROM checked GROUP BY 1""",
     "rule_metrics": f"WITH {_DECLARED} "
     + " UNION ALL ".join(
@@ -322,7 +339,7 @@ SELECT count(*) AS rows, count(*) FILTER (WHERE l_partkey BETWEEN 0 AND 50) AS m
        true AS files_add_up, true AS reads_enough, true AS skips_some FROM lineitem""",
     "compact_partitions": f"""
 SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, count(*) AS lines,
-       {_round2(_amount("l_quantity"))} AS quantity FROM lineitem GROUP BY 1""",
+       {_rounded_sum("l_quantity")} AS quantity FROM lineitem GROUP BY 1""",
     "merge_repeated_keys": f"""{_merged_orders(with_delete=False)}
 UNION ALL
 SELECT -1 - o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1, o_orderdate, o_orderpriority
@@ -427,7 +444,59 @@ WITH grown AS (
   SELECT o_totalprice, 'Good' FROM orders WHERE o_orderpriority = '1-URGENT'
 )
 SELECT data_source_quality, count(*) AS orders,
-       {_round2(_amount("o_totalprice"))} AS total_price FROM grown GROUP BY 1""",
+       {_rounded_sum("o_totalprice")} AS total_price FROM grown GROUP BY 1""",
+    "as_of_interval": _state(1),
+    "silver_by_name": f"""WITH {_SILVER}
+SELECT pickup_year, pickup_month, vendor_id, count(*) AS trips FROM silver GROUP BY ALL""",
+    "running_totals": f"""WITH {_SILVER}
+SELECT event_id, pickup_location_id, tpep_pickup_datetime, total_amount, fare_amount,
+       count(*) OVER so_far AS trips_so_far,
+       CAST(sum(CAST(total_amount AS DECIMAL(28,10))) OVER so_far AS DOUBLE) AS taken_so_far,
+       max(fare_amount) OVER so_far AS highest_fare, min(fare_amount) OVER so_far AS lowest_fare
+FROM silver
+WINDOW so_far AS (PARTITION BY pickup_location_id ORDER BY tpep_pickup_datetime, event_id
+                  ROWS UNBOUNDED PRECEDING)""",
+    "gold_sketches": f"""WITH {_SILVER},
+periods AS (
+  SELECT 'day' AS level, {_DAY_TS} AS period, pickup_location_id FROM silver
+  UNION ALL
+  SELECT 'month', CAST(date_trunc('month', tpep_pickup_datetime) AS TIMESTAMP), pickup_location_id
+  FROM silver
+  UNION ALL
+  SELECT 'all', NULL, pickup_location_id FROM silver
+)
+SELECT level, period, count(*) AS trips, count(DISTINCT pickup_location_id) AS zones,
+       true AS zones_close, true AS median_close, true AS p95_close
+FROM periods GROUP BY level, period""",
+    "asof_join": """
+WITH timed AS (
+  SELECT o_custkey, o_totalprice, o_orderkey, TIMESTAMP '2024-01-01' + to_seconds(
+    (date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 3671 + o_orderkey * 61)
+    % 2592000) AS ordered_at
+  FROM orders
+)
+SELECT event_id, user_id, ts, o_totalprice, o_orderkey
+FROM events LEFT JOIN timed ON user_id = o_custkey AND ordered_at <= ts
+QUALIFY row_number() OVER (
+  PARTITION BY event_id ORDER BY ordered_at DESC, o_totalprice DESC, o_orderkey DESC) = 1""",
+    "overlap_join": f"""WITH {_SILVER}
+SELECT a.dropoff_location_id, a.event_id, b.event_id AS other_event_id
+FROM silver a JOIN silver b ON a.dropoff_location_id = b.dropoff_location_id
+ AND a.event_id < b.event_id
+ AND a.tpep_pickup_datetime <= b.tpep_dropoff_datetime
+ AND b.tpep_pickup_datetime <= a.tpep_dropoff_datetime""",
+    "stream_drift": """
+SELECT event_id, ts, event_type, value,
+       CASE WHEN event_id % 3 < 2 OR event_type <> 'view' THEN user_id END AS user_id,
+       CASE WHEN event_id % 3 = 2 AND event_type = 'view' THEN 'u' || user_id END AS rescued_user,
+       CASE WHEN event_id % 3 > 0 THEN 'c' || event_id % 4 END AS rescued_channel
+FROM events""",
+    "stream_evolved": """
+SELECT event_id, ts, event_type, value,
+       CASE WHEN event_id % 3 < 2 OR event_type <> 'view' THEN user_id END AS user_id,
+       CASE WHEN event_id % 3 = 2 AND event_type = 'view' THEN 'u' || user_id END AS rescued_user,
+       CASE WHEN event_id % 3 > 0 THEN 'c' || event_id % 4 END AS channel
+FROM events""",
     "compact_rows": _LINE_TOTALS,
     "zorder_rows": _LINE_TOTALS,
     "stream_bronze": f"""WITH {_TRIPS}

@@ -134,14 +134,29 @@ def use_database(spark: SparkSession, name: str) -> None:
 
 
 def register_external(
-    spark: SparkSession, name: str, path: str, comment: str | None = None
+    spark: SparkSession,
+    name: str,
+    path: str,
+    comment: str | None = None,
+    schema: T.StructType | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Name the files at ``path`` as a table; dropping the table keeps the files."""
+    """Name the files at ``path`` as a table; dropping the table keeps the files.
+
+    Columns come from the files, or from ``schema`` with ``partition_by``, which a table
+    without files needs.
+    """
     if spark.catalog.tableExists(name):
         return
     quoted = (comment or "").replace("\\", "\\\\").replace("'", "\\'")
     text = f" COMMENT '{quoted}'" if comment else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING PARQUET{text} LOCATION '{path}'")
+    columns = parts = ""
+    if schema is not None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        columns = f" ({columns})"
+        if partition_by:
+            parts = " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name}{columns} USING PARQUET{parts}{text} LOCATION '{path}'")
     is_partitioned = any(column.isPartition for column in spark.catalog.listColumns(name))
     if is_partitioned:
         spark.catalog.recoverPartitions(name)

@@ -14,8 +14,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
-# Paths of layers written by a session, by (application, ...); release() forgets them.
-layer_paths: dict[tuple, str] = {}
+# Path and schema of layers written by a session, by (application, ...); release() forgets
+# them.
+layer_paths: dict[tuple, tuple] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
