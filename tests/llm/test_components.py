@@ -34,13 +34,16 @@ def brute_force(edges):
         [(i, (i * 7919) % 60 - 20) for i in range(60)],
     ],
 )
-def test_equals_brute_force(spark, edges):
-    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+@pytest.mark.parametrize("few", [1_000_000, 3, 0])
+def test_equals_brute_force(spark, edges, few):
+    """Also in rounds over all tasks, to the end or until few links are left."""
+    found = components(spark.createDataFrame(edges, "a long, b long"), few).collect()
     assert sorted(map(tuple, found)) == brute_force(edges)
 
 
 def test_random_graphs(spark):
     draw = random.Random(1)
     edges = [(draw.randrange(400), draw.randrange(400)) for _ in range(190)]
-    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
-    assert sorted(map(tuple, found)) == brute_force(edges)
+    for few in (1_000_000, 20):
+        found = components(spark.createDataFrame(edges, "a long, b long"), few).collect()
+        assert sorted(map(tuple, found)) == brute_force(edges)

@@ -125,3 +125,27 @@ def test_headers_wrapped_over_lines(spark):
     found = {r[0]: (r[2], r[4]) for r in run(spark, rows)}
     assert [found[i] for i in range(3)] == [(name, "header") for name in WRAPPED]
     assert {found[10 + i] for i in range(20)} == {(None, "none")}
+
+
+def test_notice_of_one_word_a_line(spark):
+    """The MIT header wrapped over many lines, with empty ones between."""
+    notice = next(body for name, body in licenses.HEADERS if name == "MIT")
+    lines = "\n\n# ".join(notice.split())
+    rows = [(1, "p/a.c", "# main\n# " + lines + "\nint main"), (2, "p/b.c", "int x")]
+    rows += [(10 + i, f"p/x{i}.c", f"int x{i}\nof the terms\nand more") for i in range(20)]
+    found = {r[0]: (r[2], r[4]) for r in run(spark, rows)}
+    assert len(notice.split()) > 30
+    assert found[1] == ("MIT", "header") and found[2] == (None, "none")
+
+
+def test_repeated_and_missing_ids_keep_their_rows(spark, folder):
+    from trilayer.llm.queries import op9_licenses
+
+    rows = [(7, MIT, "s"), (7, GPL, "s"), (None, MIT, "s"), (None, GPL, "s"), (None, None, "s"), (7, MIT, "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(
+        f"{folder}/documents.parquet")
+    found = op9_licenses(spark, folder)
+    assert found.columns[0] == "doc_id"
+    got = sorted(((r["doc_id"], r["license"]) for r in found.collect()), key=str)
+    assert [g[0] for g in got].count(None) == 3 and len(got) == 6
+    assert sorted(map(str, (g[1] for g in got if g[0] == 7))) == sorted(["MIT", "MIT", TEMPLATES[5][0]])

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import duckdb
@@ -62,10 +63,12 @@ def test_whole_table_equals_brute_force(spark):
     assert sum(not r[3] for r in found) > 20
 
 
-@pytest.mark.parametrize("weight", [near_dup.BLOCK_WEIGHT, 30_000])
-def test_chains_over_many_blocks(spark, monkeypatch, weight):
+@pytest.mark.parametrize("size", [near_dup.BLOCK_SETS, 7])
+def test_chains_over_many_blocks(spark, monkeypatch, size):
     """Each text differs from the one before in one word, so only neighbours are linked."""
-    monkeypatch.setattr(near_dup, "BLOCK_WEIGHT", weight)
+    monkeypatch.setattr(near_dup, "BLOCK_SETS", size)
+    monkeypatch.setattr(near_dup, "FOLLOWERS", size)
+    monkeypatch.setattr(near_dup, "PACK_LINKS", size)
     chain, text = [], [f"w{i}" for i in range(80)]
     for i in range(60):
         text = [*text[: (i * 7) % 80], f"x{i}", *text[(i * 7) % 80 + 1 :]]
@@ -93,3 +96,42 @@ def test_nulls_short_texts_and_repeats(spark):
 def test_tables_pair_all_half_keys():
     assert near_dup.HALVES**2 == 100
     assert len(near_dup._HASHES) == 2 * near_dup.HALVES * near_dup.WIDTH
+
+
+def edited(rng, base, share):
+    """A copy of the words with this share of them replaced."""
+    copy = list(base)
+    for at in rng.sample(range(len(copy)), int(share * len(copy))):
+        copy[at] = f"e{rng.random()}"
+    return copy
+
+
+def test_recall_of_pairs_just_above_the_limit(spark):
+    """Pairs of similarity 0.85 to 0.90, each with no other text like them."""
+    rng, rows, want = random.Random(5), [], set()
+    while len(want) < 1500:
+        base = [f"v{rng.randrange(10**6)}" for _ in range(200)]
+        copy = edited(rng, base, rng.choice([0.005, 0.01, 0.015, 0.02]))
+        a, b = shingles(" ".join(base)), shingles(" ".join(copy))
+        if 0.85 <= len(a & b) / len(a | b) <= 0.90:
+            want.add(len(rows))
+            rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(copy))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = near_dup.near_duplicates(docs).collect()
+    linked = {r["component_id"] for r in found if r["component_id"] != r["doc_id"]}
+    assert linked <= want
+    assert len(linked) >= 0.99 * len(want)
+
+
+def test_texts_of_one_template_are_not_linked(spark):
+    """Texts that share much, though not enough, stay apart; a true copy is found."""
+    rng = random.Random(6)
+    frame = [f"t{i}" for i in range(120)]
+    rows = [(i, " ".join([*frame, *(f"p{rng.random()}" for _ in range(75))])) for i in range(600)]
+    rows += [(1000 + i, " ".join(edited(rng, rows[i][1].split(), 0.01))) for i in range(0, 600, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    nodes = near_dup.sketches(docs).filter("n > 0")
+    links = near_dup.candidate_links(nodes, 16)
+    assert links.select("a", "b").distinct().count() < 2 * len(rows)
+    found = sorted((tuple(r) for r in near_dup.near_duplicates(docs).collect()), key=str)
+    assert found == brute_force(rows)

@@ -72,9 +72,8 @@ HEADERS = (
 #: Words of notices that do not begin or end a window by themselves.
 FUNCTION_WORDS = ("a", "and", "any", "as", "at", "by", "for", "if", "in", "is", "it", "may", "not",
                   "of", "on", "or", "that", "the", "this", "to", "under", "was", "with", "you")
-#: Lines of a window at most.
-WINDOW = 12
-#: Templates of more words are full texts.
+#: Templates of more words are full texts, which whole licence files are compared with;
+#: headers are compared with the others.
 NOTICE_WORDS = 100
 THRESHOLD = 0.7
 #: Kinds of units; of equal scores the first counts.
@@ -202,20 +201,36 @@ def scan(files: DataFrame, id_column: str, path: str, text: str,
 
 def _windows(files: DataFrame, keys: list[str], longest: int, asked, edge) -> DataFrame:
     """Lines, and windows of lines that are shorter than ``longest`` words without their
-    last line, with a word that is ``asked`` for; both ends of a window are an ``edge``."""
+    last line, with a word that is ``asked`` for; both ends of a window are an ``edge``.
+
+    Each line has a word at least, so a window has ``longest`` + 1 lines at most.
+    """
     every = F.filter(F.transform(F.split("text", "\n"), terms), lambda words: F.size(words) > 0)
     split = files.select(*keys, every.alias("lines"))
-    near = F.filter(
-        F.transform("lines", lambda _, at: F.slice("lines", at + 1, F.lit(WINDOW))),
-        lambda rows: edge(rows[0]) & F.exists(rows, asked))
-    starts = split.select(*keys, F.explode(near).alias("near"))
+
+    def within(rows):
+        """Lines that begin within ``longest`` words."""
+        start = F.struct(F.lit(0).alias("words"), F.lit(0).alias("lines"))
+        return F.aggregate(
+            rows, start,
+            lambda sum_, row: F.when(sum_["words"] < longest, F.struct(
+                (sum_["words"] + F.size(row)).alias("words"), (sum_["lines"] + 1).alias("lines"),
+            )).otherwise(sum_),
+            lambda sum_: sum_["lines"],
+        )
+
+    near = F.transform(
+        F.filter(
+            F.transform("lines", lambda _, at: F.slice("lines", at + 1, F.lit(longest + 1))),
+            lambda rows: edge(rows[0])),
+        lambda rows: F.slice(rows, F.lit(1), F.greatest(within(rows), F.lit(1))))
+    starts = split.select(*keys, F.explode(F.filter(near, lambda rows: F.exists(rows, asked))).alias("near"))
     spans = F.transform(F.sequence(F.lit(1), F.size("near")), lambda n: F.struct(
         F.when(n == 1, LINE).otherwise(BLOCK).alias("kind"),
-        F.size(F.flatten(F.slice("near", F.lit(1), n - 1))).alias("before"),
         edge(F.element_at("near", n)).alias("ends"),
         F.flatten(F.slice("near", F.lit(1), n)).alias("words")))
     found = starts.select(*keys, F.inline(spans))
-    fits = (F.col("kind") == LINE) | (F.col("before") < longest) & F.col("ends")
+    fits = (F.col("kind") == LINE) | F.col("ends")
     return found.filter(fits & asked(F.col("words"))).select(*keys, "kind", "words")
 
 

@@ -102,7 +102,7 @@ FROM marked
 
 OP3 = r"""
 WITH captures AS (
-  SELECT page_id, url, 1704067200 + (page_id * 7919) % 31622400 AS fetched_at,
+  SELECT row_number() OVER () AS capture, page_id, url, 1704067200 + (page_id * 7919) % 31622400 AS fetched_at,
     lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
     list_filter(string_split(
       regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'),
@@ -133,7 +133,7 @@ WITH captures AS (
          lead(moment, 1, 9000000000) OVER (PARTITION BY list, pattern ORDER BY moment) AS until
   FROM (SELECT list, pattern, moment, bool_or(active) AS active FROM states GROUP BY ALL)
 ), matched AS (
-  SELECT page_id, list || ' ' || pattern AS entry
+  SELECT capture, list || ' ' || pattern AS entry
   FROM captures JOIN spans ON active AND since <= fetched_at AND fetched_at < until AND (
     pattern = 'host:' || host
     OR (starts_with(pattern, 'domain:')
@@ -143,7 +143,7 @@ WITH captures AS (
 )
 SELECT page_id, fetched_at, count(entry) > 0 AS blocked, count(entry) AS n_active,
        coalesce(string_agg(entry, ', ' ORDER BY entry), '') AS active
-FROM captures LEFT JOIN matched USING (page_id) GROUP BY page_id, fetched_at
+FROM captures LEFT JOIN matched USING (capture) GROUP BY capture, page_id, fetched_at
 """
 
 OP11 = """

@@ -117,9 +117,11 @@ def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files of their source: up to two directories deep by id, each tenth
-    being a licence file."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    number = F.coalesce("doc_id", F.lit(0))
+    being a licence file. Every row is a file of its own, with a path of its own if it has
+    no id."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "text", F.monotonically_increasing_id().alias("row"))
+    number = F.coalesce("doc_id", -1 - F.col("row"))
     name = F.when(number % 10 == 0, "LICENSE").otherwise(
         F.concat(number.cast("string"), F.lit(".txt")))
     first = F.concat(F.lit("/a"), F.floor(number / 30) % 5)
@@ -129,7 +131,9 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.floor(number / 10) % 3 > 0, first).otherwise(""),
         F.when(F.floor(number / 10) % 3 > 1, second).otherwise(""), F.lit("/"), name,
     )
-    return licenses.scan(docs.withColumn("path", path), "doc_id", "path", "text")
+    files = docs.select(F.struct("row", "doc_id").alias("file"), path.alias("path"), "text")
+    found = licenses.scan(files, "file", "path", "text")
+    return found.select(F.col("file.doc_id").alias("doc_id"), *found.columns[1:])
 
 
 def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,13 +50,15 @@ def patterns(url: Column, labels: int, segments: int) -> Column:
                   ).otherwise(F.array().cast("array<string>"))
 
 
-def intervals(entries: DataFrame, last: int, bucket: int = BUCKET) -> DataFrame:
+def intervals(entries: DataFrame, asked: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """``entries`` (list, pattern, action, at) as the times (since, until) in which a pattern
-    is on a list, per time bucket up to that of ``last``; until is exclusive.
+    is on a list, cut at the borders of time buckets; until is exclusive.
 
-    Actions other than `add` and `remove` and rows with a null are left out; repeated rows
-    and additions of what is on the list change nothing. Windows run over one bucket of a
-    pattern, and over the buckets of a pattern that have entries.
+    A state is carried on only to the buckets for which ``asked`` (pattern, bucket; distinct)
+    asks its pattern, however far off these are. Actions other than `add` and `remove` and
+    rows with a null are left out; repeated rows and additions of what is on the list change
+    nothing. Windows run over one bucket of a pattern, and over the buckets of a pattern that
+    have entries.
     """
     known = entries.select("list", "pattern", "action", F.col("at").cast("long").alias("at"))
     known = known.dropna().filter(F.col("action").isin("add", "remove"))
@@ -71,12 +73,9 @@ def intervals(entries: DataFrame, last: int, bucket: int = BUCKET) -> DataFrame:
         F.min("at").alias("first"), F.max_by("on", "at").alias("on"))
     by_bucket = Window.partitionBy("list", "pattern").orderBy("bucket")
     following = states.withColumn("next", F.lead("bucket").over(by_bucket)).withColumn(
-        "next_first", F.lead("first").over(by_bucket)).filter("on")
-    final = F.coalesce("next", F.lit(last // bucket))
-    carried = following.withColumn("final", final).filter("final > bucket").select(
-        "list", "pattern", F.explode(F.sequence(F.col("bucket") + 1, F.col("final"))).alias("bucket"),
-        "next", "next_first",
-    ).select(
+        "next_first", F.lead("first").over(by_bucket)).filter("on").withColumnRenamed("bucket", "from")
+    later = (F.col("bucket") > F.col("from")) & F.coalesce(F.col("bucket") <= F.col("next"), F.lit(True))
+    carried = following.join(asked, "pattern").filter(later).select(
         "list", "pattern", "bucket", (F.col("bucket") * bucket).alias("since"),
         F.when(F.col("bucket") == F.col("next"), F.col("next_first")).otherwise(end).alias("until"),
     )
@@ -85,12 +84,17 @@ def intervals(entries: DataFrame, last: int, bucket: int = BUCKET) -> DataFrame:
 
 def evaluate(captures: DataFrame, entries: DataFrame, id_column: str = "page_id",
              url: str = "url", at: str = "fetched_at", bucket: int = BUCKET) -> DataFrame:
-    """Per distinct (id, url, time) of ``captures``: copies (rows that have them), blocked,
-    n_active and active (the sorted `list pattern` entries in force then). Null urls or
-    times, and urls without a host, are blocked by nothing."""
-    rows = captures.groupBy(
-        F.col(id_column), F.col(url).alias("url"), F.col(at).cast("long").alias("fetched_at")
-    ).agg(F.count("*").alias("copies"))
+    """Per row of ``captures``: the id, url, fetched_at, blocked, n_active and active (the
+    sorted `list pattern` entries in force then). Repeated rows stay rows of their own. Null
+    urls or times, and urls without a host, are blocked by nothing; times may be of any
+    size. Other columns are ignored."""
+    rows = written(
+        captures.select(
+            F.col(id_column), F.col(url).alias("url"), F.col(at).cast("long").alias("fetched_at"),
+            F.monotonically_increasing_id().alias("capture"),
+        ),
+        "list-captures",
+    )
     entries = written(entries.select("list", "pattern", "action", "at"), "list-entries")
     body = F.substring_index("pattern", ":", -1)
     kind = F.substring_index("pattern", ":", 1)
@@ -98,12 +102,14 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_column: str = "page_id"
         F.max(F.when(kind == "domain", F.size(F.split(body, r"\.")))),
         F.max(F.when(kind == "prefix", F.size(F.split(body, "/")) - 1)),
     ).first()
-    last = rows.agg(F.max("fetched_at")).first()[0] or 0
-    valid = broadcast_if_small(written(intervals(entries, last, bucket), "list-intervals"))
     wanted = F.coalesce(patterns(F.col("url"), deepest[0] or 0, deepest[1] or 0),
                         F.array().cast("array<string>"))
     asked = rows.withColumn("asked", F.explode_outer(wanted)).withColumn(
         "in_bucket", F.floor(F.col("fetched_at") / bucket))
+    listed = broadcast_if_small(entries.select("pattern").distinct())
+    pairs = asked.select(F.col("asked").alias("pattern"), F.col("in_bucket").alias("bucket")).join(
+        listed, "pattern", "left_semi").dropna().distinct()
+    valid = broadcast_if_small(written(intervals(entries, pairs, bucket), "list-intervals"))
     found = asked.join(
         valid,
         (F.col("asked") == F.col("pattern")) & (F.col("in_bucket") == F.col("bucket"))
@@ -113,8 +119,8 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_column: str = "page_id"
     active = F.collect_set(F.when(F.col("list").isNotNull(),
                                   F.concat_ws(" ", "list", "pattern"))).alias("active")
     return (
-        found.groupBy(id_column, "url", "fetched_at", "copies").agg(active)
-        .select(id_column, "url", "fetched_at", "copies",
+        found.groupBy("capture", id_column, "url", "fetched_at").agg(active)
+        .select(id_column, "url", "fetched_at",
                 (F.size("active") > 0).alias("blocked"),
                 F.size("active").cast("long").alias("n_active"),
                 F.array_sort("active").alias("active"))
