@@ -9,7 +9,7 @@ from trilayer.llm.oracles import ORACLES
 from trilayer.llm.queries import QUERIES
 
 DATA = "/root/testdata/sf0.01"
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings")
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -38,6 +38,37 @@ def test_stages_of_the_whole_table(spark):
     assert all(0 <= target - taken < 1 for target, taken in by_source.values())
 
 
+def test_stages_without_models_equal_brute_force(spark, folder):
+    """Near-duplicates, decontamination and mixing in a row, against the brute-force versions
+    of their operators: the same ids and what is taken of them."""
+    from test_decontaminate import brute_force as contaminated
+    from test_mixing import brute_force as mixed
+    from test_near_dup import brute_force as components
+
+    engine = duckdb.connect()
+    sql = "SELECT doc_id, text, source FROM '/root/testdata/sf0.001/documents.parquet'"
+    rows = engine.execute(sql).fetchall()
+    rows += [(1000 + i, " ".join(rows[i][1].split()[:-1]), rows[i][2]) for i in range(0, 200, 9) if rows[i][1]]
+    items = engine.execute("SELECT item_id, text FROM '/root/testdata/sf0.001/benchmark.parquet'").fetchall()
+    items += [(900, " ".join(rows[3][1].split()[:14])), (901, "of it")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    docs = corpus_pipeline.written(corpus_pipeline.one_of_each(spark, docs, folder), "test-near")
+    kept = {r[0] for r in components([r[:2] for r in rows]) if r[3]}
+    assert {r[0] for r in docs.select("doc_id").collect()} == kept and len(kept) < len(rows)
+    rows = [r for r in rows if r[0] in kept]
+
+    docs = corpus_pipeline.written(corpus_pipeline.decontaminated(spark, docs, folder), "test-clean")
+    kept = {r[0] for r in contaminated([r[:2] for r in rows], items) if not r[5]}
+    assert {r[0] for r in docs.select("doc_id").collect()} == kept and len(kept) < len(rows)
+    rows = [r for r in rows if r[0] in kept]
+
+    found = corpus_pipeline.mixed(spark, docs, folder).select("doc_id", "size", "source_size", "target", "taken")
+    want = [r for r in mixed([(d, s, t) for d, t, s in rows]) if r[4] > 0]
+    assert sorted(map(tuple, found.collect()), key=str) == want
+
+
 def test_near_duplicates_by_row_where_ids_are_not_unique(spark):
     text = " ".join(f"word{i}" for i in range(60))
     rows = [(1, text, "en", "s", 0), (1, text, "en", "s", 0), (None, text + " more", "en", "s", 0),
@@ -79,7 +110,7 @@ def test_run(spark):
 
 def test_every_operator_is_registered_once():
     names = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert names == list(range(1, 11))
+    assert names == list(range(1, 14))
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from trilayer.llm.components import components
+from trilayer.llm.components import components, labels
 from trilayer.llm.words import mix, runs, slices, windows, words
 from trilayer.operators.joins import broadcast_if_small
 from trilayer.workspace import written
@@ -285,7 +285,8 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 def _confirm(table: pa.Table) -> pa.Table:
     """The similarity of each left node of the table with the right ones of its group.
 
-    Only pairs of two classes count. ``level`` is 2 from PERCENT on, 1 from LOOSE on.
+    Only pairs of two classes count. ``level`` is 2 from PERCENT on, 1 from LOOSE on. With
+    several left nodes only as many links of level 2 come out as connect what is similar.
     """
     group, is_left = np.asarray(table.column("group")), np.asarray(table.column("is_left"))
     nodes, classes = np.asarray(table.column("node")), np.asarray(table.column("class"))
@@ -308,8 +309,14 @@ def _confirm(table: pa.Table) -> pa.Table:
         union = sizes[: cut - low, None] + sizes[None, cut - low :] - common
         level = (100 * common >= PERCENT * union) * 1 + (100 * common >= LOOSE * union)
         level[classes[low:cut, None] == classes[None, cut:high]] = 0
-        i, j = np.nonzero(level)
-        found.append((nodes[low + i], nodes[cut + j], level[i, j]))
+        if cut - low == 1:
+            i, j = np.nonzero(level)
+            found.append((nodes[low + i], nodes[cut + j], level[i, j]))
+        else:
+            i, j = np.nonzero(level == 2)
+            linked, roots = labels(nodes[low + i], nodes[cut + j])
+            new = linked != roots
+            found.append((linked[new], roots[new], np.full(int(new.sum()), 2)))
     a, b, level = (np.concatenate(part) for part in zip(*found))
     return pa.table({"a": a, "b": b, "level": level.astype(np.int64)})
 
@@ -333,10 +340,11 @@ def _confirmed(links: DataFrame, sets: DataFrame) -> DataFrame:
     return _compared(sides.withColumn("class", F.col("node")), sets, packs)
 
 
-def _compared(sides: DataFrame, sets: DataFrame, packs: int) -> DataFrame:
-    """``sides`` (node, group, is_left, class) with their sets, compared group by group."""
-    full = sets.join(broadcast_if_small(sides), "node").withColumn(
-        "pack", F.pmod("group", F.lit(packs)))
+def _compared(sides: DataFrame, sets: DataFrame, packs: int | None) -> DataFrame:
+    """``sides`` (node, group, is_left, class) with their sets, compared group by group;
+    small groups are handed out in so many packs."""
+    pack = F.pmod("group", F.lit(packs)) if packs else F.col("group")
+    full = sets.join(broadcast_if_small(sides), "node").withColumn("pack", pack)
     return written(
         full.select("pack", "group", "is_left", "node", "class", "ids")
         .groupBy("pack").applyInArrow(_confirm, _LINKS),
@@ -386,7 +394,7 @@ def _rest_against_all(
             "node", F.xxhash64("group", "block", "part").alias("group"), "is_left", "class"),
         "near-block-sides",
     )
-    return _compared(sides, sets, max(1, -(-sides.count() // PACK_LINKS)))
+    return _compared(sides, sets, None)
 
 
 def _classes(docs: DataFrame, nodes: DataFrame, id_column: str, text: str) -> DataFrame:
