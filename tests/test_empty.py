@@ -13,7 +13,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents"
 #: Queries that tell of a whole table in one row per rule, copy or level.
 SUMMARIES = {
     "silver_rejects", "layer_counts", "reconcile_layers", "reconcile_differences", "rule_metrics",
-    "merge_metrics", "version_before_merge", "file_profile", "skipping_report",
+    "merge_metrics", "version_before_merge", "file_profile", "skipping_report", "pii_mondrian",
 }
 
 

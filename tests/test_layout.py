@@ -128,3 +128,48 @@ def test_skipping_report_of_open_ranges(spark, fragments):
     report = layout.skipping_report(spark, fragments, {"id": (0, None)}).first()
     assert report["files_read"] == 20
     assert rows(read_raw(spark, fragments).agg(F.count("*"))) == [(4000,)]
+
+
+def test_first_fit_fills_bins_to_the_limit():
+    found = layout.first_fit([("a", 6), ("b", 5), ("c", 4), ("d", 3), ("e", 2), ("f", 40)], 10)
+    assert found == {"f": 0, "a": 1, "b": 2, "c": 1, "d": 2, "e": 2}
+    assert layout.first_fit([], 10) == {} and layout.first_fit([("a", 0)], 10) == {"a": 0}
+    sizes = [(f"n{i}", i * 7919 % 97 + 1) for i in range(300)]
+    found, plain = layout.first_fit(sizes, 100), []
+    for name, size in sorted(sizes, key=lambda item: (-item[1], item[0])):
+        at = next((i for i, room in enumerate(plain) if room >= size), len(plain))
+        plain += [100] if at == len(plain) else []
+        plain[at] -= size
+        assert found[name] == at
+
+
+def test_only_small_files_are_packed(spark, folder):
+    source, packed = f"{folder}/table", f"{folder}/packed"
+    spark.range(0, 50_000).withColumn("part", F.lit(1)).coalesce(1).write.partitionBy("part").parquet(source)
+    for part in (1, 2):
+        rows = spark.range(100_000 * part, 100_000 * part + 400).withColumn("part", F.lit(part))
+        rows.repartition(20).write.mode("append").partitionBy("part").parquet(source)
+    before = {r["path"]: r["modificationTime"] for r in layout.list_files(spark, source).collect()}
+    whole = spark.read.parquet(source)
+    found, files = layout.compact_small(
+        spark, source, packed, whole.schema, ["part"], file_bytes=100_000, small_bytes=50_000)
+    after = {r["path"]: r["modificationTime"] for r in layout.list_files(spark, source).collect()}
+    assert before == after
+    listed = files.collect()
+    assert [r["packed"] for r in listed].count(False) == 1
+    assert len(listed) <= 5 and len(before) == 41
+    assert found.columns == whole.columns
+    assert found.groupBy("part").agg(F.count("*"), F.sum("id")).orderBy("part").collect() == (
+        whole.groupBy("part").agg(F.count("*"), F.sum("id")).orderBy("part").collect())
+
+
+def test_nothing_small_and_nothing_large(spark, folder):
+    spark.range(1000).coalesce(1).write.parquet(f"{folder}/one")
+    schema = spark.range(1).schema
+    found, files = layout.compact_small(spark, f"{folder}/one", f"{folder}/p1", schema, file_bytes=1000)
+    assert found.count() == 1000 and [r["packed"] for r in files.collect()] == [False]
+    found, files = layout.compact_small(spark, f"{folder}/one", f"{folder}/p2", schema)
+    assert found.count() == 1000 and [r["packed"] for r in files.collect()] == [True]
+    spark.range(0).write.parquet(f"{folder}/none")
+    found, _ = layout.compact_small(spark, f"{folder}/none", f"{folder}/p3", schema)
+    assert found.count() == 0

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trilayer.operators.joins import broadcast_if_small
 from trilayer.session import conf
-from trilayer.sources.raw import list_files, read_raw
+from trilayer.sources.raw import list_files, plain_path, read_raw
 from trilayer.sources.writers import write_layer
 
 FILE_BYTES = 1 << 30
@@ -81,6 +82,70 @@ def compact(
     return read_raw(spark, destination, schema=rows.schema)
 
 
+def first_fit(sizes: Sequence[tuple[str, int]], limit: int) -> dict[str, int]:
+    """A bin for each named size, the sizes in a bin adding up to ``limit`` at most, by
+    first-fit decreasing; a larger size has a bin of its own."""
+    width = 1 << max(0, len(sizes) - 1).bit_length()
+    room = [limit] * (2 * width)  # of each bin, and above them the most room of two nodes
+    found = {}
+    for name, size in sorted(sizes, key=lambda item: (-item[1], item[0])):
+        size = min(size, limit)
+        node = 1
+        while node < width:
+            node = 2 * node if room[2 * node] >= size else 2 * node + 1
+        found[name] = node - width
+        room[node] -= size
+        while node > 1:
+            node //= 2
+            room[node] = max(room[2 * node], room[2 * node + 1])
+    return found
+
+
+def compact_small(
+    spark: SparkSession,
+    source: str,
+    destination: str,
+    schema: T.StructType,
+    partition_by: Sequence[str] = (),
+    file_bytes: int = FILE_BYTES,
+    small_bytes: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Pack the small files of a table into files of up to ``file_bytes`` at
+    ``destination``; files of at least ``small_bytes`` (half of that) stay where they are.
+
+    Returns the whole table, and its files as (file, packed). Nothing at ``source`` is
+    changed or deleted, so readers of the old files go on until the caller turns to the new
+    list. Files are packed within their directory by first-fit decreasing; only the rows of
+    packed files are shuffled, each bin to a task of its own.
+    """
+    small_bytes = small_bytes or file_bytes // 2
+    listed = list_files(spark, source).select("path", "length")
+    large = [r["path"] for r in listed.filter(F.col("length") >= small_bytes).collect()]
+    folders: dict[str, list] = {}
+    for row in listed.filter(F.col("length") < small_bytes).collect():  # names and sizes only
+        folders.setdefault(row["path"].rpartition("/")[0], []).append(tuple(row))
+    bins, count = [], 0
+    for _, files in sorted(folders.items()):
+        found = first_fit(files, file_bytes)
+        bins += [(name, count + number) for name, number in found.items()]
+        count += len(set(found.values()))
+    reader = spark.read.schema(schema).option("basePath", source)
+    whole = reader.parquet(*large) if large else spark.createDataFrame([], schema)
+    if bins:
+        of_file = spark.createDataFrame(bins, "_file string, _bin int")
+        rows = reader.parquet(*[name for name, _ in bins])
+        rows = rows.withColumn("_file", plain_path(F.col("_metadata.file_path")))
+        known = of_file.withColumn("_file", plain_path(F.col("_file")))
+        packed = rows.join(broadcast_if_small(known), "_file").repartitionById(count, "_bin")
+        write_layer(packed.select(*rows.drop("_file").columns), destination, partition_by=partition_by)
+        whole = whole.unionByName(read_raw(spark, destination, schema=rows.drop("_file").schema))
+    manifest = spark.createDataFrame([(name, False) for name in large], "file string, packed boolean")
+    if bins:
+        new = list_files(spark, destination).select(F.col("path").alias("file"), F.lit(True).alias("packed"))
+        manifest = manifest.unionByName(new)
+    return whole, manifest
+
+
 def _as_number(df: DataFrame, name: str) -> Column:
     kind = dict(df.dtypes)[name]
     column = F.col(name)

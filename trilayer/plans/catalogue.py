@@ -12,10 +12,13 @@ from trilayer.functions import privacy
 from trilayer.functions.exact import is_finite, rounded_sum
 from trilayer.functions.times import add_time_partitions, without_zone
 from trilayer.operators import (
+    anonymity,
     asof,
     cleanse,
     declared,
+    file_index,
     gold,
+    hash_tree,
     history,
     joins,
     layout,
@@ -51,7 +54,7 @@ from trilayer.sources.writers import (
     read_evolved,
     write_layer,
 )
-from trilayer.streaming import drift
+from trilayer.streaming import drift, sessions
 from trilayer.streaming import trips as streams
 from trilayer.streaming.runner import read_complete, run_stream
 from trilayer.workspace import new_dir, written
@@ -155,6 +158,20 @@ def reconcile_differences(spark, folder):
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+@query
+def reconcile_rows(spark, folder):
+    """Orders against a copy with changed, missing, additional and repeated rows: which
+    keys differ, and how."""
+    orders = table(spark, folder, "orders")
+    copy = orders.filter("o_orderkey % 100 <> 1").withColumn(
+        "o_totalprice", F.when(F.col("o_orderkey") % 100 == 2, F.col("o_totalprice") + 1).otherwise(
+            F.col("o_totalprice")))
+    more = orders.filter("o_orderkey % 100 = 3").withColumn("o_orderkey", -F.col("o_orderkey"))
+    again = orders.filter("o_orderkey % 100 = 4")
+    copy = copy.unionByName(more).unionByName(again)
+    return hash_tree.row_differences(orders, copy, ["o_orderkey"])
+
+
 @query
 def gold_daily_summary(spark, folder):
     """Raw events to trips to silver to gold in one plan."""
@@ -659,6 +676,32 @@ def zorder_rows(spark, folder):
     return _line_totals(read_raw(spark, _zordered(spark, folder)))
 
 
+@query
+def compact_small(spark, folder):
+    """Totals of a table of one large file and many small ones, after only the small ones
+    were packed into larger files."""
+    lines, path = table(spark, folder, "lineitem"), new_dir(spark, "mixed-sizes")
+    write_layer(lines.filter("l_linenumber < 4").coalesce(1), path)
+    write_layer(lines.filter("l_linenumber >= 4").repartition(40), path, "append")
+    largest = layout.list_files(spark, path).agg(F.max("length")).first()[0] or 1
+    found, _ = layout.compact_small(
+        spark, path, new_dir(spark, "packed"), lines.schema, file_bytes=largest)
+    return _line_totals(found)
+
+
+@query
+def indexed_read(spark, folder):
+    """Totals of a few parts' lines, from the files that an index of lowest and highest
+    values and Bloom filters chooses; the index was made in two steps."""
+    source = f"{folder}/lineitem.parquet"
+    path, schema = _zordered(spark, folder), read_raw(spark, source).schema
+    first = file_index.index_files(spark, path, ["l_partkey"], ["l_orderkey"], schema=schema)
+    write_layer(read_raw(spark, source).filter("l_partkey = 7"), path, "append")
+    index = file_index.index_files(
+        spark, path, ["l_partkey"], ["l_orderkey"], known=first, schema=schema)
+    return _line_totals(file_index.indexed_read(spark, path, schema, index, {"l_partkey": (0, 50)}))
+
+
 @query
 def file_profile(spark, folder):
     """A table written in eight files: rows of all files, and whether sizes agree with
@@ -809,20 +852,27 @@ LANDED_ROWS = 1_000_000
 LANDED_FILES = 4
 
 
-def _landed_trips(spark, folder, rows_per_file=LANDED_ROWS, files=LANDED_FILES):
-    """Trips with their drop-off time, landed one file after the other in the order of
-    pickup, trips without one first. Files hold equal numbers of trips, however these lie
-    in time."""
-    path = new_dir(spark, "landed")
-    trips = written(raw_trips(spark, folder), "landing")
-    files = max(files, -(-trips.count() // rows_per_file))
-    staged = new_dir(spark, "landing_order")
-    ordered = trips.repartitionByRange(files, "tpep_pickup_datetime", "event_id")
+def _landed(spark, rows, time, twice=None, rows_per_file=LANDED_ROWS, files=LANDED_FILES):
+    """Events or trips landed one file after the other in the order of time, those without
+    a time first. Files hold equal numbers of rows, however these lie in time; rows that
+    meet the condition ``twice`` come twice in their file. Also returns their schema."""
+    path, staged = new_dir(spark, "landed"), new_dir(spark, "landing_order")
+    rows = written(rows, "landing")
+    files = max(files, -(-rows.count() // rows_per_file))
+    ordered = rows.repartitionByRange(files, time, "event_id")
     write_layer(ordered.withColumn("_file", F.spark_partition_id()), staged, partition_by=["_file"])
-    parts = read_raw(spark, staged, schema=T.StructType([*trips.schema, T.StructField("_file", T.IntegerType())]))
+    whole = T.StructType([*rows.schema, T.StructField("_file", T.IntegerType())])
+    parts = read_raw(spark, staged, schema=whole)
     for number in range(files):
-        write_layer(parts.filter(F.col("_file") == number).drop("_file"), path, "append")
-    return path, trips.schema
+        part = parts.filter(F.col("_file") == number).drop("_file")
+        if twice:
+            part = part.unionByName(part.filter(twice)).coalesce(1)
+        write_layer(part, path, "append")
+    return path, rows.schema
+
+
+def _landed_trips(spark, folder):
+    return _landed(spark, raw_trips(spark, folder), "tpep_pickup_datetime")
 
 
 @query
@@ -864,6 +914,37 @@ def declared_stream(spark, folder):
     return read_complete(spark, f"{run}/gold")
 
 
+def _landed_events(spark, folder, twice=None):
+    events = table(spark, folder, "events").drop("props")
+    return _landed(spark, events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", twice)
+
+
+@query
+def stream_join(spark, folder):
+    """Views and the purchases of the same user within half an hour, from two streams over
+    several micro-batches."""
+    run, (landed, schema) = new_dir(spark, "stream-join"), _landed_events(spark, folder)
+    events = stream_files(spark, landed, schema, max_files_per_trigger=1)
+    views = events.filter("event_type = 'view'").select("user_id", "event_id", "ts")
+    bought = events.filter("event_type = 'purchase'").select(
+        "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"), "value")
+    joined = sessions.interval_join(
+        views, bought, ["user_id"], "ts", "purchase_ts", "30 minutes", "20 minutes", "20 minutes")
+    run_stream(joined, checkpoint=f"{run}/checkpoint", path=f"{run}/pairs", name="views_purchases")
+    return read_raw(spark, f"{run}/pairs", schema=joined.schema)
+
+
+@query
+def stream_sessions(spark, folder):
+    """Closed sessions of each user with breaks of an hour, from a stream that brings some
+    events twice."""
+    run, (landed, schema) = new_dir(spark, "sessions"), _landed_events(spark, folder, "event_id % 10 = 0")
+    events = stream_files(spark, landed, schema, max_files_per_trigger=1)
+    found = sessions.sessions(events, "user_id", "ts", "1 hour", ["event_id"], "20 minutes")
+    run_stream(found, checkpoint=f"{run}/checkpoint", path=f"{run}/sessions", name="user_sessions")
+    return read_raw(spark, f"{run}/sessions", schema=found.schema)
+
+
 def _drifting_events(spark, folder):
     """Events that land in three steps: as they are, then with a channel, then with the
     user as text that is mostly, not always, a number."""
@@ -989,3 +1070,23 @@ def pii_generalise(spark, folder):
         privacy.generalise(F.col("c_acctbal"), 500).cast("double").alias("balance_from"),
     )
     return privacy.suppress_rare(banded, ["c_mktsegment"], "balance_from", 12)
+
+
+@query
+def pii_mondrian(spark, folder):
+    """Customers in groups of at least twelve that share ranges of nation and balance: what
+    must hold of them."""
+    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    found = written(
+        anonymity.mondrian(customers, ["c_nationkey", "c_acctbal"], 12), "mondrian")
+    inside = F.lit(True)
+    for name in ("c_nationkey", "c_acctbal"):
+        inside = inside & F.col(name).between(F.col(f"{name}_from"), F.col(f"{name}_to"))
+    groups = found.withColumn("inside", inside).groupBy("group").agg(
+        F.count("*").alias("n"), F.min("inside").alias("inside"),
+        F.count_distinct("c_nationkey_from", "c_nationkey_to", "c_acctbal_from", "c_acctbal_to").alias("ranges"))
+    return groups.agg(
+        F.sum("n").alias("customers"), (F.min("n") >= 12).alias("all_large_enough"),
+        F.min("inside").alias("ranges_hold"), (F.max("ranges") == 1).alias("ranges_shared"),
+        (F.max("n") < 48).alias("none_far_too_large"),
+    )

@@ -127,20 +127,20 @@ def trip_changes(silver: DataFrame) -> DataFrame:
                 "tpep_pickup_datetime": F.expr(f"{base} - {start}"),
                 "tpep_dropoff_datetime": F.expr(f"{base} - {end}"),
                 "event_id": -2 * F.col("event_id") - number,
-                "passenger_count": F.lit(3),
+                "passenger_count": F.lit(2),
                 "dropoff_location_id": F.lit(dropoff),
                 "tip_amount": F.lit(tip),
-                "fare_amount": F.lit(60.0),
-                "total_amount": F.lit(75.0),
-                "trip_distance": F.lit(18.2),
+                "fare_amount": F.lit(41.5),
+                "total_amount": F.lit(52.25),
+                "trip_distance": F.lit(9.6),
                 "data_source_quality": F.lit("New"),
                 "merge_operation": F.lit("INSERT"),
             }
         )
         return add_time_partitions(enrich(times))
 
-    first = later("interval 2 hours", "interval 1 hour 30 minutes", 202, 8.88, 1)
-    second = later("interval 3 hours", "interval 2 hour 15 minutes", 303, 4.44, 2)
+    first = later("interval 2 hours", "interval 1 hour 30 minutes", 141, 8.88, 1)
+    second = later("interval 3 hours", "interval 2 hour 15 minutes", 236, 4.44, 2)
     return updates.unionByName(first, allowMissingColumns=True).unionByName(
         second, allowMissingColumns=True
     )

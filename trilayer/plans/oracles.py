@@ -177,11 +177,11 @@ FROM changes WHERE op = 'INSERT'"""
 _SHIFTED = f"""{_SILVER},
 model AS (SELECT * FROM silver WHERE tip_amount > 75),
 later AS (
-  SELECT *, 1 AS number, 202 AS new_dropoff, 8.88 AS new_tip,
+  SELECT *, 1 AS number, 141 AS new_dropoff, 8.88 AS new_tip,
          tpep_pickup_datetime + INTERVAL 365 DAY - INTERVAL 120 MINUTE AS p,
          tpep_pickup_datetime + INTERVAL 365 DAY - INTERVAL 90 MINUTE AS d FROM model
   UNION ALL
-  SELECT *, 2, 303, 4.44,
+  SELECT *, 2, 236, 4.44,
          tpep_pickup_datetime + INTERVAL 365 DAY - INTERVAL 180 MINUTE,
          tpep_pickup_datetime + INTERVAL 365 DAY - INTERVAL 135 MINUTE FROM model
 ),
@@ -193,12 +193,12 @@ trip_changes AS (
   UNION ALL BY NAME
   SELECT * EXCLUDE (number, new_dropoff, new_tip, p, d, s) REPLACE (
            p AS tpep_pickup_datetime, d AS tpep_dropoff_datetime,
-           -2 * event_id - number AS event_id, 3 AS passenger_count,
+           -2 * event_id - number AS event_id, 2 AS passenger_count,
            new_dropoff AS dropoff_location_id, CAST(new_tip AS DOUBLE) AS tip_amount,
-           CAST(60.0 AS DOUBLE) AS fare_amount, CAST(75.0 AS DOUBLE) AS total_amount,
-           CAST(18.2 AS DOUBLE) AS trip_distance, s AS trip_duration_seconds,
+           CAST(41.5 AS DOUBLE) AS fare_amount, CAST(52.25 AS DOUBLE) AS total_amount,
+           CAST(9.6 AS DOUBLE) AS trip_distance, s AS trip_duration_seconds,
            {_round2("s / 60.0")} AS trip_duration_minutes,
-           {_round2("CAST(18.2 AS DOUBLE) / (CAST(s AS DOUBLE) / 3600)")} AS average_speed_mph,
+           {_round2("CAST(9.6 AS DOUBLE) / (CAST(s AS DOUBLE) / 3600)")} AS average_speed_mph,
            CAST(year(p) AS INTEGER) AS pickup_year,
            CAST(month(p) AS INTEGER) AS pickup_month),
          'INSERT' AS merge_operation, 'New' AS data_source_quality
@@ -485,6 +485,40 @@ FROM silver a JOIN silver b ON a.dropoff_location_id = b.dropoff_location_id
  AND a.event_id < b.event_id
  AND a.tpep_pickup_datetime <= b.tpep_dropoff_datetime
  AND b.tpep_pickup_datetime <= a.tpep_dropoff_datetime""",
+    "compact_small": _LINE_TOTALS,
+    "pii_mondrian": """
+SELECT count(*) AS customers, true AS all_large_enough, true AS ranges_hold,
+       true AS ranges_shared, true AS none_far_too_large FROM customer""",
+    "indexed_read": _LINE_TOTALS.replace(
+        "FROM lineitem",
+        "FROM (SELECT * FROM lineitem WHERE l_partkey BETWEEN 0 AND 50 "
+        "UNION ALL SELECT * FROM lineitem WHERE l_partkey = 7)",
+    ),
+    "reconcile_rows": """
+SELECT o_orderkey, CAST(1 AS BIGINT) AS left_rows,
+       CAST(CASE o_orderkey % 100 WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 2 END AS BIGINT) AS right_rows,
+       CASE o_orderkey % 100 WHEN 1 THEN 'missing' WHEN 2 THEN 'changed' ELSE 'repeated' END AS kind
+FROM orders WHERE o_orderkey % 100 IN (1, 2, 4)
+UNION ALL
+SELECT -o_orderkey, 0, 1, 'extra' FROM orders WHERE o_orderkey % 100 = 3""",
+    "stream_join": """
+SELECT v.user_id, v.event_id, v.ts, p.event_id AS purchase_id, p.ts AS purchase_ts, p.value
+FROM events v JOIN events p ON v.user_id = p.user_id AND v.event_type = 'view'
+ AND p.event_type = 'purchase' AND p.ts >= v.ts AND p.ts <= v.ts + INTERVAL 30 MINUTE""",
+    "stream_sessions": """
+WITH marked AS (
+  SELECT *, CASE WHEN ts < lag(ts) OVER u + INTERVAL 1 HOUR THEN 0 ELSE 1 END AS begins
+  FROM events WINDOW u AS (PARTITION BY user_id ORDER BY ts, event_id)
+),
+numbered AS (
+  SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+           AS number FROM marked
+)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_end,
+       count(*) AS events
+FROM numbered GROUP BY user_id, number
+HAVING max(ts) + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) FROM events)
+                                    - INTERVAL 20 MINUTE""",
     "stream_drift": """
 SELECT event_id, ts, event_type, value,
        CASE WHEN event_id % 3 < 2 OR event_type <> 'view' THEN user_id END AS user_id,

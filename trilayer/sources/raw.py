@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +87,11 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def plain_path(path: Column) -> Column:
+    """A file's path as listings write it; scans write local paths in another way."""
+    return F.regexp_replace(F.regexp_replace(path, "^file:/+", "/"), "%20", " ")
+
+
 def stream_files(
     spark: SparkSession,
     path: str,
