@@ -32,6 +32,7 @@ def models(spark):
 def brute_force(codes, counts, order):
     """Interpolated Kneser-Ney from its definition, on tuples of symbols."""
     bits, mask = language.BITS, language.SYMBOLS - 1
+    codes = [int(c) & (1 << 64) - 1 for c in codes]
 
     def tuple_of(code):
         return tuple(code >> bits * k & mask for k in range(order - 1, -1, -1))
@@ -62,18 +63,19 @@ def brute_force(codes, counts, order):
 
 def test_model_equals_its_definition_and_sums_to_one():
     draw = np.random.Generator(np.random.PCG64(5))
-    symbols = draw.integers(0, 5, 400)
-    code = sum(symbols[k : 397 + k].astype(np.int64) << 6 * (3 - k) for k in range(4))
+    bits, symbols = language.BITS, draw.integers(0, 5, 400) * 16000
+    code = sum(symbols[k : 397 + k].astype(np.int64) << bits * (3 - k) for k in range(4))
+    assert code.min() < 0
     codes, counts = np.unique(code, return_counts=True)
     model = KneserNey(codes, counts)
     p, tuple_of = brute_force(codes.tolist(), counts.tolist(), 4)
-    asked = np.concatenate([codes, draw.integers(0, 1 << 24, 200)]).astype(np.int64)
+    asked = np.concatenate([codes, draw.integers(-1 << 63, 1 << 63, 200)]).astype(np.int64)
     logs = model.log_probability(asked, 4)
     for c, log in zip(asked.tolist(), logs):
-        assert log == pytest.approx(math.log(p(tuple_of(c))), abs=1e-4)
-    for history in (codes[0] >> 6, 12345):
-        every = model.log_probability((int(history) << 6) + np.arange(64), 4)
-        assert np.exp(every).sum() == pytest.approx(1, abs=1e-5)
+        assert log == pytest.approx(math.log(p(tuple_of(c & (1 << 64) - 1))), abs=1e-4)
+    for history in (codes[0] >> bits, 12345):
+        every = model.log_probability((int(history) << bits) + np.arange(1 << bits), 4)
+        assert np.exp(every).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_sorted_hash_arrays(models):
@@ -118,12 +120,17 @@ def test_long_texts_are_scored_whole(models, monkeypatch):
 
 
 def test_padding_and_runs_of_boundaries_do_not_count(models):
-    table = models.symbol_of()
+    table = language.symbol_of()
     pad = "\n" * 3
-    _, _, counts = grams([pad + "the  cat\n"], table)
+    _, _, counts = grams([pad + "the  cat\n"])
     assert counts.tolist() == [False] * 3 + [True] * 4 + [False] + [True] * 4
     assert table[points("T")[0]] == table[points("t")[0]] > 0
     assert isinstance(models, Models)
+    assert [table[points(c)[0]] for c in "tжЖ漢7 \n"] == [ord("t"), ord("ж"), ord("ж"), ord("漢"), 0, 0, 0]
+    far = [chr(0x10400), chr(0x10428), chr(0x20000), chr(0x20001)]
+    found = [int(table[ord(c)]) for c in far]
+    assert found[0] == found[1] and len(set(found)) == 3 and 0 not in found
+    assert not any(chr(symbol).isalpha() for symbol in found)
 
 
 #: Letters of scripts; the first two alone have more than 62.
@@ -182,23 +189,32 @@ def test_copies_count_once_in_the_sample(spark):
     assert sorted(r["number"] for r in found) == list(range(1, 41))
 
 
-def test_wide_symbols_equal_narrow_ones():
-    draw = np.random.Generator(np.random.PCG64(6))
-    symbols = draw.integers(0, 5, 400)
-
-    def codes(of, bits):
-        return sum(of[k : 397 + k].astype(np.int64) << bits * (3 - k) for k in range(4))
-
-    models = []
-    for of, bits in ((symbols, 6), (symbols * 16000, 16)):
-        kinds, counts = np.unique(codes(of, bits), return_counts=True)
-        models.append((KneserNey(kinds, counts, bits), codes(of, bits)))
-    assert models[1][1].min() < 0
-    (narrow, a), (wide, b) = models
-    assert len(narrow.grams[3][0]) == len(wide.grams[3][0])
-    for low, high in zip(narrow.contexts, wide.contexts):
-        assert np.allclose(np.sort(low[1]), np.sort(high[1]))
-    assert np.allclose(narrow.log_probability(a, 4), wide.log_probability(b, 4), atol=0.2)
+def test_other_languages_letters_change_no_score(spark):
+    rows = [(i, t, lang, "") for lang in WORDS for i, t in enumerate(rows_of(lang, 30, 1))]
+    greek = [(i, t, "y" if i else "x", "") for i, t in enumerate(script_texts("greek", 12, 1))]
+    asked = spark.createDataFrame([(0, t, "x", "") for t in rows_of("x", 5, 2)], DOCS)
+    found = []
+    for more in ([(i, t, "z", "") for i, t, _, _ in greek], [], [(0, SCRIPTS["thai"], "z", "")]):
+        by = identify(asked, learn(spark.createDataFrame(rows + more, DOCS))).collect()
+        found.append([r["entropy"] for r in by])
+    assert found[0] == pytest.approx(found[1], abs=1e-9)
+    assert found[0] == pytest.approx(found[2], abs=1e-9)
+
+
+def test_long_texts_bound_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "CHARACTERS", 1000)
+    docs = spark.createDataFrame([(0, t, "x", "") for t in rows_of("x", 100, 7)], DOCS)
+    rows = sorted(language.sample_rows(docs, 90).collect(), key=lambda r: r["number"])
+    assert language.LEAST <= len(rows) < 15
+    assert sum(len(r["text"]) for r in rows[:-1]) <= 1000 or len(rows) == language.LEAST
+    monkeypatch.setattr(language, "CHARACTERS", 1)
+    assert language.sample_rows(docs, 90).count() == language.LEAST
+
+
+def test_blocks_are_cut_by_size():
+    sizes = [(name, 100 << 20) for name in "abcde"] + [("f", 300 << 20)]
+    assert list(language._blocks(sizes)) == [["a", "b"], ["c", "d"], ["e"], ["f"]]
+    assert list(language._blocks([])) == []
 
 
 def test_whole_table(spark):

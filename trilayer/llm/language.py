@@ -1,8 +1,8 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-Characters become symbols: the letters of the sample one each (upper and lower case
-alike), letters it lacks one together, everything else a boundary. A symbol has ``BITS``
-bits if these hold the letters of all languages, or else ``WIDE_BITS``. Per language
+Characters become symbols of ``BITS`` bits, by a table that no sample changes: letters of
+the basic plane are their own lower-case code points, letters beyond it are hashed to the
+places of that plane without a letter, everything else is a boundary. Per language
 an order-``ORDER`` model with modified counts is learned: the highest order from counts,
 lower orders from the numbers of distinct left neighbours, each with its own absolute
 discount, interpolated down to the uniform distribution. A model is stored as sorted
@@ -14,14 +14,16 @@ the mean cross-entropy, its spread between documents and within them set how far
 of its length may lie above the mean.
 
 Every language named is learned, from a sample of at most ``PER_LANGUAGE`` of its
-distinct texts.
-Models are handed to tasks in blocks of ``LANGUAGES`` languages; each block is one pass
-over the texts, which keeps the better of its own best language and that of the blocks
-before. Scoring reads all rows and whole texts.
+distinct texts and, beyond the first ``LEAST`` of them, about ``CHARACTERS`` characters.
+Each model is built by a task of its own and written; the driver hands them on in blocks
+of at most ``LANGUAGES`` languages and about ``BLOCK_BYTES``. Each block is one pass over
+the texts, which keeps the better of its own best language and that of the blocks before.
+Scoring reads all rows and whole texts.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,15 +38,19 @@ from trilayer.operators.joins import broadcast_if_small
 from trilayer.workspace import written
 
 ORDER = 4
-BITS = 6
+#: Bits of a symbol; four of them fill 64.
+BITS = 16
 SYMBOLS = 1 << BITS
-#: Bits of a symbol where the sample has more letters; four of them fill 64 bits.
-WIDE_BITS = 16
 #: Log probabilities kept of codes already looked up.
 KEPT = 1 << 24
 PER_LANGUAGE = 400
-#: Languages of which a task holds the models at once.
+#: Characters of a language's sample, whose last text may pass them.
+CHARACTERS = 1 << 20
+#: Texts sampled of each language however long they are.
+LEAST = 8
+#: Languages of which a task holds the models at once, and their size.
 LANGUAGES = 50
+BLOCK_BYTES = 256 << 20
 #: One in so many sampled rows calibrates instead of training.
 CALIBRATE = 4
 #: Standard deviations that a text may lie above its language's mean.
@@ -56,15 +62,20 @@ UNKNOWN = "und"
 ADDED = ("lang_pred", "score", "entropy", "rejected")
 
 _PAD = "\n" * (ORDER - 1)
-_letters: list[np.ndarray] = []
+_symbols: list[np.ndarray] = []
 
 
-def letters() -> np.ndarray:
-    """Whether each code point is a letter."""
-    if not _letters:
-        points = range(0x110000)
-        _letters.append(np.fromiter((chr(p).isalpha() for p in points), bool, 0x110000))
-    return _letters[0]
+def symbol_of() -> np.ndarray:
+    """Symbol of each code point, 0 for all that are no letters."""
+    if not _symbols:
+        letters = np.array([p for p in range(0x110000) if chr(p).isalpha()])
+        lower = np.array([ord(chr(p).lower()[0]) for p in letters], np.uint64)
+        free = np.setdiff1d(np.arange(1, SYMBOLS), letters)
+        hashed = free[mix(lower) % np.uint64(len(free))]
+        table = np.zeros(0x110000, np.uint16)
+        table[letters] = np.where(lower < SYMBOLS, lower, hashed)
+        _symbols.append(table)
+    return _symbols[0]
 
 
 def points(text: str) -> np.ndarray:
@@ -89,14 +100,14 @@ def pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[str]]]:
         yield np.array(rows), parts
 
 
-def grams(parts: list[str], symbol_of: np.ndarray, bits: int = BITS):
+def grams(parts: list[str]):
     """Codes of the ORDER symbols ending at each position, and which part and whether
     the position counts: padding and all but the first of a run of boundaries do not."""
-    symbols = np.take(symbol_of, points("".join(parts)))
+    symbols = np.take(symbol_of(), points("".join(parts)))
     code = symbols.astype(np.int64)
     whole = code.copy()
     for k in range(1, ORDER):
-        whole[k:] |= code[:-k] << (bits * k)
+        whole[k:] |= code[:-k] << (BITS * k)
     sizes = np.array([len(p) for p in parts])
     first = np.cumsum(sizes) - sizes
     counts = symbols != 0
@@ -140,18 +151,17 @@ class KneserNey:
     """One language: per order sorted hashes with log probabilities, and contexts with
     log backoff weights."""
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, bits: int = BITS):
-        self.bits, symbols = bits, 1 << bits
+    def __init__(self, codes: np.ndarray, counts: np.ndarray):
         levels = [(codes, counts.astype(float))]
         for order in range(ORDER - 1, 0, -1):
             kinds, numbers = np.unique(self._last(levels[-1][0], order), return_counts=True)
             levels.append((kinds, numbers.astype(float)))
         self.grams, self.contexts = [], []
-        lower = np.full(symbols, -np.log(symbols))
+        lower = np.full(SYMBOLS, -np.log(SYMBOLS))
         for order, (kinds, numbers) in enumerate(reversed(levels), start=1):
             ones, twos = (numbers == 1).sum(), (numbers == 2).sum()
             discount = ones / (ones + 2 * twos) if ones and twos else 0.5
-            before = self._last(kinds >> bits, order - 1)
+            before = self._last(kinds >> BITS, order - 1)
             at = runs(before)
             totals = np.add.reduceat(numbers, at[:-1])
             spare = discount * np.diff(at) / totals
@@ -162,9 +172,10 @@ class KneserNey:
             self._store(self.grams, gram_hash(kinds, order), logs)
             self._store(self.contexts, gram_hash(before[at[:-1]], order), np.log(spare))
 
-    def _last(self, codes: np.ndarray, order: int) -> np.ndarray:
-        """Their last symbols; a shifted negative code (four wide symbols) has ones before."""
-        return codes & ((1 << self.bits * order) - 1)
+    @staticmethod
+    def _last(codes: np.ndarray, order: int) -> np.ndarray:
+        """Their last symbols; a shifted negative code has ones before."""
+        return codes & ((1 << BITS * order) - 1)
 
     @staticmethod
     def _store(into: list, keys: np.ndarray, values: np.ndarray) -> None:
@@ -174,7 +185,7 @@ class KneserNey:
     def log_probability(self, codes: np.ndarray, order: int) -> np.ndarray:
         """Of the last symbol given those before it."""
         if order == 0:
-            return np.full(len(codes), -self.bits * np.log(2))
+            return np.full(len(codes), -BITS * np.log(2))
         keys, values = self.grams[order - 1]
         index, known = _lookup(keys, gram_hash(codes, order))
         result = np.zeros(len(codes))
@@ -183,38 +194,25 @@ class KneserNey:
         if len(rest):
             below = self.log_probability(self._last(rest, order - 1), order - 1)
             keys, weights = self.contexts[order - 1]
-            index, seen = _lookup(keys, gram_hash(self._last(rest >> self.bits, order - 1), order))
+            index, seen = _lookup(keys, gram_hash(self._last(rest >> BITS, order - 1), order))
             below[seen] += weights[index[seen]]
             result[~known] = below
         return result
 
 
 class Models:
-    """A block of languages' models, their symbols, and the limits of rejection; ``more``
-    has the blocks of the languages that sort after them, as broadcasts."""
+    """A block of languages' models and the limits of rejection; ``more`` has the blocks of
+    the languages that sort after them, as broadcasts."""
 
-    def __init__(self, symbols: np.ndarray, models: dict[str, KneserNey], bits: int = BITS):
-        self.symbols, self.models, self.bits = symbols, models, bits
+    def __init__(self, models: dict[str, KneserNey]):
+        self.models = models
         self.names = sorted(models)
         self.limits: dict[str, tuple[float, float, float]] = {}
         self.more: list[Broadcast] = []
-        self._keys = self._rows = self._of = None
+        self._keys = self._rows = None
 
     def __getstate__(self):
-        return {**self.__dict__, "more": [], "_keys": None, "_rows": None, "_of": None}
-
-    def symbol_of(self) -> np.ndarray:
-        """Symbol of each code point; the last symbol is for letters not in the alphabet."""
-        if self._of is not None:
-            return self._of
-        table = np.where(letters(), (1 << self.bits) - 1, 0).astype(np.uint16)
-        for symbol, point in enumerate(self.symbols.tolist(), start=1):
-            table[point] = symbol
-            for other in (chr(point).upper(), chr(point).title()):
-                if len(other) == 1:
-                    table[ord(other)] = symbol
-        self._of = table
-        return table
+        return {**self.__dict__, "more": [], "_keys": None, "_rows": None}
 
     def _rows_of(self, codes: np.ndarray) -> np.ndarray:
         """Each code's log probabilities. Codes looked up are kept at the place of their
@@ -242,7 +240,7 @@ class Models:
         sums = np.zeros((len(texts), len(self.names)))
         sizes, found = np.zeros(len(texts)), np.zeros(len(texts))
         for rows, parts in pieces(texts):
-            codes, first, counts = grams(parts, self.symbol_of(), self.bits)
+            codes, first, counts = grams(parts)
             logs = self._rows_of(codes[counts])
             upto = np.concatenate(([0], np.cumsum(counts)))
             ends = np.append(first[1:], len(codes))
@@ -251,7 +249,7 @@ class Models:
             if some.any():
                 np.add.at(sums, rows[some], np.add.reduceat(logs, lows[some], axis=0))
             np.add.at(sizes, rows, highs - lows)
-            is_letter = np.concatenate(([0], np.cumsum(codes & ((1 << self.bits) - 1) > 0)))
+            is_letter = np.concatenate(([0], np.cumsum(codes & (SYMBOLS - 1) > 0)))
             lead = np.minimum(first + ORDER - 1, ends)
             np.add.at(found, rows, is_letter[ends] - is_letter[lead])
         return -sums / np.maximum(sizes, 1)[:, None], sizes, found
@@ -273,7 +271,8 @@ class Models:
 
 
 def sample_rows(docs: DataFrame, per_language: int) -> DataFrame:
-    """At most so many distinct texts per language, those of the smallest hash."""
+    """At most so many distinct texts per language, those of the smallest hash; beyond the
+    first ``LEAST`` only while those before have no more than ``CHARACTERS``."""
     docs = docs.filter("lang IS NOT NULL AND text IS NOT NULL").withColumn(
         "hash", F.xxhash64("text", F.lit("sample")))
     counts = docs.select("lang", "hash").distinct().groupBy("lang").agg(
@@ -284,8 +283,12 @@ def sample_rows(docs: DataFrame, per_language: int) -> DataFrame:
         F.col("place") * F.col("texts") < 2 * per_language + 20
     ).groupBy("lang", "hash").agg(F.first("place").alias("place"), F.first("text").alias("text"))
     order = Window.partitionBy("lang").orderBy("place", "text")
-    few = few.withColumn("number", F.row_number().over(order))
-    return few.filter(F.col("number") <= per_language).select("lang", "text", "number")
+    before = F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    few = few.withColumn("number", F.row_number().over(order)).withColumn("before", before)
+    return few.filter(
+        (F.col("number") <= per_language)
+        & ((F.col("number") <= LEAST) | (F.col("before") <= CHARACTERS))
+    ).select("lang", "text", "number")
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang",
@@ -294,37 +297,52 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang",
     out; without any there are no models, and every text is unknown."""
     rows = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     sample = written(sample_rows(rows, per_language), "language-sample")
-    train = sample.filter(F.col("number") % CALIBRATE != 0)
-
-    def characters(parts):
-        return np.unique(points("".join(parts).lower()), return_counts=True)
+    built = written(_built(sample.filter(F.col("number") % CALIBRATE != 0)), "language-models")
+    sizes = sorted((r["lang"], r["size"]) for r in built.select("lang", "size").collect())
+    first = None
+    for names in _blocks(sizes):
+        block = _block(sample, built, names)
+        if first is None:
+            first = block
+        else:
+            first.more.append(docs.sparkSession.sparkContext.broadcast(block))
+    return first or Models({})
 
-    seen = _counted(train, characters, "lang string, value long, n long", ["value"]).collect()
-    known = sorted(((-r["n"], r["value"]) for r in seen if chr(r["value"]).isalpha()))
-    bits = BITS if len(known) <= SYMBOLS - 2 else WIDE_BITS
-    symbols = np.array([value for _, value in known[: (1 << bits) - 2]], np.int64)
-    names = sorted(r["lang"] for r in train.select("lang").distinct().collect())
-    first = _block(sample, names[:LANGUAGES], symbols, bits)
-    for low in range(LANGUAGES, len(names), LANGUAGES):
-        block = _block(sample, names[low : low + LANGUAGES], symbols, bits)
-        first.more.append(docs.sparkSession.sparkContext.broadcast(block))
-    return first
 
-
-def _block(sample: DataFrame, names: list[str], symbols: np.ndarray, bits: int) -> Models:
-    models, own = Models(symbols, {}, bits), sample.filter(F.col("lang").isin(names))
+def _built(train: DataFrame) -> DataFrame:
+    """Rows (lang, size in bytes, model); a task holds the distinct n-grams of a language."""
 
     def codes(parts):
-        whole, _, counts = grams(parts, models.symbol_of(), bits)
+        whole, _, counts = grams(parts)
         return np.unique(whole[counts], return_counts=True)
 
-    train = own.filter(F.col("number") % CALIBRATE != 0)
+    def build(table: pa.Table) -> pa.Table:
+        values, n = (table.column(c).to_numpy() for c in ("value", "n"))
+        order = np.argsort(values)
+        model = pickle.dumps(KneserNey(values[order], n[order]))
+        return pa.table({"lang": table.column("lang")[:1], "size": pa.array([len(model)], pa.int64()),
+                         "model": pa.array([model], pa.binary())})
+
     counted = _counted(train, codes, "lang string, value long, n long", ["lang", "value"])
-    frame = counted.orderBy("lang", "value").toPandas()
-    for name, part in frame.groupby("lang"):
-        models.models[str(name)] = KneserNey(part["value"].to_numpy(np.int64),
-                                             part["n"].to_numpy(), bits)
-    models.names = sorted(models.models)
+    return counted.groupBy("lang").applyInArrow(build, "lang string, size long, model binary")
+
+
+def _blocks(sizes: list[tuple[str, int]]) -> Iterator[list[str]]:
+    names, total = [], 0
+    for name, size in sizes:
+        if names and (len(names) == LANGUAGES or total + size > BLOCK_BYTES):
+            yield names
+            names, total = [], 0
+        names.append(name)
+        total += size
+    if names:
+        yield names
+
+
+def _block(sample: DataFrame, built: DataFrame, names: list[str]) -> Models:
+    rows = built.filter(F.col("lang").isin(names)).select("lang", "model").collect()
+    models = Models({r["lang"]: pickle.loads(r["model"]) for r in rows})
+    own = sample.filter(F.col("lang").isin(names))
     held = own.filter(F.col("number") % CALIBRATE == 0)
     values = _entropy_of_own(held, models).toPandas()
     models.calibrate({
