@@ -49,11 +49,14 @@ WANTED = [(1, LONG), (2, "Short item"), (3, "solo"), (4, None), (5, ""), (None,
           (13, " ".join(f"w{i}" for i in range(12)) + " other words")]
 
 
-@pytest.mark.parametrize("block_words", [module.BLOCK_WORDS, 30])
-@pytest.mark.parametrize("piece", [module.PIECE, 4])
-def test_equals_brute_force(spark, monkeypatch, block_words, piece):
-    monkeypatch.setattr(module, "BLOCK_WORDS", block_words)
-    monkeypatch.setattr(module, "PIECE", piece)
+@pytest.mark.parametrize("few_bits", [False, True])
+@pytest.mark.parametrize("small", [False, True])
+def test_equals_brute_force(spark, monkeypatch, few_bits, small):
+    if few_bits:  # nearly every shingle passes such a filter
+        monkeypatch.setattr(module, "MAX_BITS", 64)
+        monkeypatch.setattr(module, "SEGMENT_BITS", 64)
+    if not small:
+        monkeypatch.setattr(module, "broadcast_if_small", lambda df: df)
     docs = spark.createDataFrame([(*r, "x") for r in CASES], DOCS)
     items = spark.createDataFrame(WANTED, ITEMS)
     found = decontaminate(docs, items)
@@ -72,3 +75,30 @@ def test_empty_tables(spark):
     assert decontaminate(docs.limit(0), items).count() == 0
     clean = decontaminate(docs, items.limit(0)).collect()
     assert len(clean) == len(CASES) and not any(r["contaminated"] for r in clean)
+
+
+def test_one_pass_whatever_the_benchmark(spark):
+    """Fifteen times the windows make no more jobs, and so no more reads of the documents."""
+    draw = np.random.Generator(np.random.PCG64(3))
+    items = [(i, " ".join(f"v{k}" for k in draw.integers(0, 40, 200))) for i in range(30)]
+    docs = [(i, " ".join(f"v{k}" for k in draw.integers(0, 40, 100))) for i in range(20)]
+    docs += [(100 + i, f"a b {' '.join(items[i][1].split()[50:61])} c") for i in range(10)]
+    jobs = spark.sparkContext.statusTracker()
+    counts = []
+    for some in (items[:2], items):
+        spark.sparkContext.setJobGroup(f"bench-{len(some)}", "decontaminate")
+        found = decontaminate(spark.createDataFrame([(*d, "x") for d in docs], DOCS),
+                              spark.createDataFrame(some, ITEMS)).collect()
+        counts.append(len(jobs.getJobIdsForGroup(f"bench-{len(some)}")))
+        assert sorted((tuple(r)[:6] for r in found), key=str) == brute_force(docs, some)
+    assert counts[0] == counts[1]
+
+
+def test_filter_holds_its_values(spark):
+    draw = np.random.Generator(np.random.PCG64(9))
+    values = draw.integers(-1 << 63, 1 << 63, 5000)
+    table = spark.createDataFrame([(int(v),) for v in values], "shingle long")
+    shared = module.filter_of(table, [3]).value
+    assert len(shared.passing(values.view(np.uint64))) == 5000
+    other = draw.integers(-1 << 63, 1 << 63, 100000).view(np.uint64)
+    assert len(shared.passing(other)) < 100

@@ -8,34 +8,43 @@ to the rarest of each window only. Where one meets, its place in the window give
 possible alignment; the document must reach that far to the left (position) and to the
 right (length). The words of what remains are compared one by one.
 
-Items are dealt in blocks of at most about ``BLOCK_WORDS`` words, so what a task is given
-has a bound; each block sees every document. Documents are never shuffled.
+Documents are read twice, whatever the benchmark's size: once to count shingles, once to
+look for prefixes. Windows, shingles and prefixes are tables built by tasks. A task is
+given a Bloom filter of at most ``MAX_BITS`` bits; what passes it is joined exactly, with
+the few words around it, so a fuller filter costs time but no result. Texts are never
+shuffled.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    IntegerType,
     LongType,
-    StringType,
     StructField,
     StructType,
 )
 
-from trilayer.llm.words import ALNUM_WORD, Words, mix, runs, slices, words
+from trilayer.llm.words import ALNUM_WORD, Words, mix, slices, words
+from trilayer.operators.joins import broadcast_if_small
 from trilayer.workspace import written
 
 WINDOW = 10
 SHINGLE = 3
-BLOCK_WORDS = 200_000
-#: Windows of one item that stay together; longer items are dealt in pieces.
-PIECE = 50_000
-_BITS = 20
+#: Bits of a filter for each value in it, at most in all, and tested for each value.
+BITS_EACH = 32
+MAX_BITS = 1 << 29
+TESTS = 4
+#: Bits of a filter that are put together by one group.
+SEGMENT_BITS = 1 << 15
+#: Places of a prefix in a window.
+PLACES = WINDOW - SHINGLE + 1
 
 
 def shingle_ids(ids: np.ndarray, width: int) -> np.ndarray:
@@ -48,187 +57,190 @@ def shingle_ids(ids: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
-def item_pieces(items: DataFrame, id_column: str, text: str) -> DataFrame:
-    """Rows (item, words): the item id as text and the ids of the words of its pieces,
-    each piece holding ``PIECE`` windows. Items without words give none."""
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Each row of a matrix of 64-bit numbers as bytes."""
+    size = pa.binary(rows.shape[1] * 8)
+    data = pa.py_buffer(np.ascontiguousarray(rows))
+    return pa.FixedSizeBinaryArray.from_buffers(size, len(rows), [None, data]).cast(pa.binary())
+
+
+def item_windows(items: DataFrame, id_column: str, text: str) -> DataFrame:
+    """Rows (item, window, words, width, shingles): the item id as text, an id of the
+    window's words, their ids as bytes, and its shingles of ``width`` words in order.
+    Items without words give none."""
 
     def run(batches):
         for batch in slices(batches, "text"):
             found = words(batch.column("text"), ALNUM_WORD)
-            names, pieces = [], []
-            for i, name in enumerate(batch.column("item").to_pylist()):
-                own = found.ids[found.first[i] : found.first[i + 1]]
-                for low in range(0, max(len(own) - WINDOW + 1, min(1, len(own))), PIECE):
-                    names.append(name)
-                    pieces.append(own[low : low + PIECE + WINDOW - 1].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(pieces, pa.binary())],
-                names=["item", "words"],
-            )
+            names, counts = batch.column("item"), found.counts
+            left = found.first[1:][found.rows] - np.arange(len(found.ids))
+            for length in np.unique(np.minimum(counts, WINDOW)).tolist():
+                if length == 0:
+                    continue
+                own = counts[found.rows] >= WINDOW if length == WINDOW else (
+                    counts[found.rows] == length)
+                at = np.flatnonzero(own & (left >= length))
+                width = min(length, SHINGLE)
+                parts = found.ids[at[:, None] + np.arange(length)]
+                ids = shingle_ids(found.ids, width)
+                shingles = ids[at[:, None] + np.arange(length - width + 1)]
+                offsets = np.arange(len(at) + 1, dtype=np.int32) * shingles.shape[1]
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(found.rows[at])),
+                     pa.array(shingle_ids(found.ids, length)[at].view(np.int64)),
+                     _binary(parts), pa.array(np.full(len(at), width, np.int32)),
+                     pa.ListArray.from_arrays(pa.array(offsets),
+                                              pa.array(shingles.ravel().view(np.int64)))],
+                    names=["item", "window", "words", "width", "shingles"])
 
     named = items.select(
         F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("item"),
         F.col(text).alias("text"),
     )
-    return named.mapInArrow(run, "item string, words binary")
-
-
-class Block:
-    """The windows of some items, and the index of their rarest shingles."""
-
-    def __init__(self, pieces: list[tuple[str, bytes]]):
-        self.items = sorted({name for name, _ in pieces})
-        number = {name: i for i, name in enumerate(self.items)}
-        rows, lengths, owners = [], [], []
-        for name, raw in pieces:
-            own = np.frombuffer(raw, np.uint64)
-            length = min(WINDOW, len(own))
-            for low in range(len(own) - length + 1):
-                row = np.zeros(WINDOW, np.uint64)
-                row[:length] = own[low : low + length]
-                rows.append(row)
-                lengths.append(length)
-                owners.append(number[name])
-        self.words = np.array(rows, np.uint64).reshape(-1, WINDOW)
-        self.lengths = np.array(lengths, np.int64)
-        self.owners = np.array(owners, np.int64)
-        self.widths = np.minimum(self.lengths, SHINGLE)
-        places = WINDOW - SHINGLE + 1
-        self.shingles = np.zeros((len(rows), places), np.uint64)
-        self.used = np.zeros((len(rows), places), bool)
-        for width in np.unique(self.widths):
-            for place in range(places):
-                some = (self.widths == width) & (place + width <= self.lengths)
-                cut = self.words[some, place : place + width]
-                if some.any():
-                    ids = np.array([shingle_ids(row, int(width))[0] for row in cut], np.uint64)
-                    self.shingles[some, place] = ids
-                    self.used[some, place] = True
-        self.known = np.unique(self.shingles[self.used])
-
-    def order(self, counts: dict[int, int]) -> None:
-        """Choose each window's rarest shingle, the first of equals."""
-        often = np.array([counts.get(int(s), 0) for s in self.known.view(np.int64)], np.int64)
-        rank = np.full(self.shingles.shape, np.iinfo(np.int64).max)
-        rank[self.used] = often[np.searchsorted(self.known, self.shingles[self.used])]
-        self.place = rank.argmin(axis=1)
-        prefix = self.shingles[np.arange(len(rank)), self.place]
-        by_prefix = np.argsort(prefix, kind="stable")
-        self.windows = by_prefix
-        at = runs(prefix[by_prefix])
-        self.prefixes, self.at = prefix[by_prefix][at[:-1]], at
-
-    @staticmethod
-    def meet(found: Words, sorted_ids: np.ndarray, widths: np.ndarray):
-        """Positions of document shingles in ``sorted_ids``, and the index there. A bit
-        table lets most positions go at once."""
-        bits = np.zeros(1 << _BITS, bool)
-        bits[sorted_ids >> np.uint64(64 - _BITS)] = True
+    return named.mapInArrow(
+        run, "item string, window long, words binary, width int, shingles array<long>")
+
+
+def _places(ids: np.ndarray, test: int, bits: int) -> np.ndarray:
+    """Bits that stand for the ids in one test; ``bits`` is a power of two."""
+    own = ids if test == 0 else mix(ids + np.uint64(test * 0x9E3779B97F4A7C15 % (1 << 64)))
+    return (own >> np.uint64(65 - bits.bit_length())).astype(np.int64)
+
+
+class Filter:
+    """A Bloom filter of shingles, and the widths that they have."""
+
+    def __init__(self, bits: np.ndarray, widths: list[int]):
+        self.bits, self.widths = bits, widths
+
+    def passing(self, ids: np.ndarray) -> np.ndarray:
+        """Indexes of the ids that may be in it."""
+        at = np.arange(len(ids))
+        for test in range(TESTS):
+            place = _places(ids[at], test, len(self.bits) * 8)
+            at = at[self.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0]
+        return at
+
+    def shingles(self, found: Words):
+        """Per width its positions that may be in it, and the ids of these."""
         left = found.first[1:][found.rows] - np.arange(len(found.ids))
-        positions, indexes = [], []
-        for width in np.unique(widths).tolist():
+        for width in self.widths:
             ids = shingle_ids(found.ids, width)
-            at = np.flatnonzero(bits[ids >> np.uint64(64 - _BITS)] & (left >= width))
-            index = np.searchsorted(sorted_ids, ids[at])
-            index[index == len(sorted_ids)] = 0
-            same = sorted_ids[index] == ids[at]
-            positions.append(at[same])
-            indexes.append(index[same])
-        return np.concatenate(positions), np.concatenate(indexes)
-
-    def occurrences(self, found: Words) -> tuple[np.ndarray, np.ndarray]:
-        """First word and window of every exact occurrence."""
-        if not len(self.words) or not len(found.ids):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        position, index = self.meet(found, self.prefixes, self.widths)
-        many = self.at[index + 1] - self.at[index]
-        position = np.repeat(position, many)
-        step = np.arange(len(position)) - np.repeat(np.cumsum(many) - many, many)
-        window = self.windows[np.repeat(self.at[index], many) + step]
-        rows = found.rows[position]
-        start = position - self.place[window]
-        ok = (start >= found.first[rows]) & (
-            start + self.lengths[window] <= found.first[rows + 1]
-        )
-        start, window = start[ok], window[ok]
-        same = np.ones(len(start), bool)
-        for k in range(WINDOW):
-            inside = self.lengths[window] > k
-            at = np.minimum(start + k, len(found.ids) - 1)
-            same &= ~inside | (found.ids[at] == self.words[window, k])
-        return start[same], window[same]
-
-
-def _rarity(docs: DataFrame, shared) -> dict[int, int]:
-    """How often each shingle of the block occurs in all documents."""
+            at = np.flatnonzero(left >= width)
+            at = at[self.passing(ids[at])]
+            yield width, at, ids[at]
+
+
+def filter_of(values: DataFrame, widths: list[int]) -> Broadcast:
+    """Filter of a table of shingles. Tasks put its segments together; the driver gets the
+    bits, ``MAX_BITS`` at most."""
+    count, bits = values.count(), SEGMENT_BITS
+    while bits < min(count * BITS_EACH, MAX_BITS):
+        bits *= 2
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            place = np.unique(np.concatenate([_places(ids, k, bits) for k in range(TESTS)]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(place // SEGMENT_BITS), pa.array(place % SEGMENT_BITS)],
+                names=["segment", "place"])
+
+    def build(table: pa.Table) -> pa.Table:
+        own = np.zeros(SEGMENT_BITS, bool)
+        own[table.column("place").to_numpy()] = True
+        packed = np.packbits(own, bitorder="little").tobytes()
+        return pa.table({"segment": table.column("segment")[:1],
+                         "bits": pa.array([packed], pa.binary())})
+
+    placed = values.mapInArrow(run, "segment long, place long").distinct()
+    built = placed.groupBy("segment").applyInArrow(build, "segment long, bits binary")
+    whole = np.zeros((bits // SEGMENT_BITS, SEGMENT_BITS // 8), np.uint8)
+    for row in built.toLocalIterator():
+        whole[row["segment"]] = np.frombuffer(row["bits"], np.uint8)
+    return values.sparkSession.sparkContext.broadcast(Filter(whole.ravel(), widths))
+
+
+def _occurrences(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """How often each shingle that passes the filter occurs in all documents."""
 
     def run(batches):
         for batch in slices(batches, "text"):
-            block = shared.value
             found = words(batch.column("text"), ALNUM_WORD)
-            _, index = Block.meet(found, block.known, block.widths)
-            some, counts = np.unique(index, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block.known[some].view(np.int64)), pa.array(counts)],
-                names=["shingle", "n"],
-            )
+            for _, _, ids in shared.value.shingles(found):
+                some, counts = np.unique(ids, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some.view(np.int64)), pa.array(counts, pa.int64())],
+                    names=["shingle", "n"])
 
     counted = docs.select("text").mapInArrow(run, "shingle long, n long")
-    return {r[0]: r[1] for r in counted.groupBy("shingle").agg(F.sum("n")).collect()}
+    return counted.groupBy("shingle").agg(F.sum("n").alias("n"))
 
 
-def _pass(docs: DataFrame, shared, last: bool) -> DataFrame:
-    """Adds the block's finds to hits (word positions) and items."""
-    schema = StructType([
-        docs.schema["id"], StructField("n_words", LongType()), StructField("hits", BinaryType()),
-        StructField("items", ArrayType(StringType())),
-        *([] if last else [docs.schema["text"]]),
-    ])
+def _meets(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """Rows (row, id, n_words, meets): per document the shingles that pass the filter, each
+    with its position, the words around it that a window with it can have, and how many of
+    these come before."""
+    meet = StructType([StructField("position", LongType()), StructField("shingle", LongType()),
+                       StructField("lead", IntegerType()), StructField("around", BinaryType())])
+    schema = docs.select("row", "id").schema.add("n_words", "long").add("meets", ArrayType(meet))
+    kind = pa.struct([("position", pa.int64()), ("shingle", pa.int64()), ("lead", pa.int32()),
+                      ("around", pa.binary())])
 
     def run(batches):
         for batch in slices(batches, "text"):
-            block = shared.value
             found = words(batch.column("text"), ALNUM_WORD)
-            start, window = block.occurrences(found)
-            edge = np.zeros(len(found.ids) + 1, np.int64)
-            np.add.at(edge, start, 1)
-            np.add.at(edge, start + block.lengths[window], -1)
-            hit = np.cumsum(edge)[:-1] > 0
-            rows = np.searchsorted(found.first, start, "right") - 1
-            pairs = np.unique(rows * max(1, len(block.items)) + block.owners[window])
-            items = [list(x) for x in batch.column("items").to_pylist()]
-            for pair in pairs.tolist():
-                items[pair // len(block.items)].append(block.items[pair % len(block.items)])
+            meets: list[list] = [[] for _ in range(batch.num_rows)]
+            rows = found.rows
+            for width, at, ids in shared.value.shingles(found):
+                reach = WINDOW if width == SHINGLE else width
+                back = PLACES - 1 if width == SHINGLE else 0
+                own = rows[at]
+                low = np.maximum(at - back, found.first[own])
+                high = np.minimum(at + reach, found.first[own + 1])
+                for row, place, shingle, a, b in zip(
+                    own.tolist(), at.tolist(), ids.view(np.int64).tolist(), low.tolist(),
+                    high.tolist(),
+                ):
+                    meets[row].append({
+                        "position": place - int(found.first[row]), "shingle": shingle,
+                        "lead": place - a, "around": found.ids[a:b].tobytes()})
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("id"), pa.array(found.counts, pa.int64()),
+                 pa.array(meets, pa.list_(kind))], names=schema.names)
+
+    return docs.select("row", "id", "text").mapInArrow(run, schema)
+
+
+def _hit_words(spans: DataFrame) -> DataFrame:
+    """Rows (row, hits): positions of the words inside any of a document's windows."""
+
+    def run(batches):
+        for batch in batches:
             hits = []
-            for i, old in enumerate(batch.column("hits").to_pylist()):
-                own = np.flatnonzero(hit[found.first[i] : found.first[i + 1]]).astype(np.int64)
-                if old:
-                    own = np.union1d(own, np.frombuffer(old, np.int64))
-                hits.append(own.tobytes())
-            columns = [batch.column("id"), pa.array(found.counts, pa.int64()),
-                       pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))]
-            names = ["id", "n_words", "hits", "items"]
-            if not last:
-                columns.append(batch.column("text"))
-                names.append("text")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    found = docs.select("id", "text", "hits", "items")
-    return found.mapInArrow(run, schema)
-
-
-def _digest(found: DataFrame, id_column: str) -> DataFrame:
-    items = F.array_sort(F.array_distinct("items"))
-    return found.select(
-        F.col("id").alias(id_column),
-        "n_words",
-        F.floor(F.octet_length("hits") / 8).cast("long").alias("n_hit"),
-        F.size(items).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
-        (F.octet_length("hits") > 0).alias("contaminated"),
-        items.alias("items"),
-        F.col("hits").alias("hit_words"),
-    )
+            for pairs in batch.column("spans").to_pylist():
+                start = np.array([p["start"] for p in pairs], np.int64)
+                length = np.array([p["length"] for p in pairs], np.int64)
+                edge = np.zeros(int((start + length).max()) + 1, np.int64)
+                np.add.at(edge, start, 1)
+                np.add.at(edge, start + length, -1)
+                hits.append(np.flatnonzero(np.cumsum(edge) > 0).astype(np.int64).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(hits, pa.binary())], names=["row", "hits"])
+
+    return spans.mapInArrow(run, "row long, hits binary")
+
+
+def _prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Per window its shingle that documents hold least often, the first of equals, with
+    its place. Windows of which a shingle is in no document are in none."""
+    shingles = windows.select("window", F.posexplode("shingles").alias("place", "shingle"))
+    ranked = shingles.join(broadcast_if_small(counts), "shingle", "left")
+    order = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "place", "shingle")
+    chosen = ranked.groupBy("window").agg(F.min(order).alias("best")).filter("best.n > 0")
+    return windows.join(chosen, "window").select(
+        "window", "words", F.col("best.place").alias("place"),
+        F.col("best.shingle").alias("shingle"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
@@ -239,21 +251,43 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
 
     Null and empty texts have no words and are clean; items without words match nothing;
     a null item id is an empty one; repeated items count once. Without items all are clean.
+    Repeated ids are rows of their own. A long text's hits are put together by one task.
     """
-    pieces = written(item_pieces(benchmark, item_column, item_text), "bench-pieces")
-    total = pieces.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    blocks = max(1, -(-total // 8 // BLOCK_WORDS))
-    dealt = pieces.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(blocks)))
-    docs = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"),
-                       F.lit(b"").alias("hits"), F.array().cast("array<string>").alias("items"))
-    context = docs.sparkSession.sparkContext
-    for number in range(blocks):
-        own = dealt.filter(F.col("block") == number).select("item", "words").collect()
-        block = Block(sorted((r[0], bytes(r[1])) for r in own))
-        shared = context.broadcast(block)
-        block.order(_rarity(docs, shared) if len(block.known) else {})
-        last = number == blocks - 1
-        docs = _pass(docs, context.broadcast(block), last)
-        if not last:
-            docs = written(docs, "bench-pass")
-    return _digest(docs, id_column)
+    listed = written(item_windows(benchmark, item_column, item_text), "bench-windows")
+    windows = written(listed.groupBy("window").agg(
+        *(F.first(c).alias(c) for c in ("words", "width", "shingles"))), "bench-distinct")
+    widths = sorted(r["width"] for r in windows.select("width").distinct().collect())
+    docs = docs.select(F.monotonically_increasing_id().alias("row"),
+                       F.col(id_column).alias("id"), F.col(text).alias("text"))
+
+    known = windows.select(F.explode("shingles").alias("shingle")).distinct()
+    counts = written(_occurrences(docs, filter_of(known, widths)), "bench-counts")
+    prefixes = written(_prefixes(windows, counts), "bench-prefixes")
+    shared = filter_of(prefixes.select("shingle").distinct(), widths)
+    rows = written(_meets(docs, shared), "bench-meets")
+
+    aligned = rows.select("row", F.explode("meets").alias("meet")).select("row", "meet.*").join(
+        broadcast_if_small(prefixes), "shingle")
+    same = F.expr("substring(around, (lead - place) * 8 + 1, octet_length(words)) = words")
+    hits = written(aligned.filter((F.col("lead") >= F.col("place")) & same).select(
+        "row", "window", (F.col("position") - F.col("place")).alias("start"),
+        F.floor(F.octet_length("words") / 8).cast("long").alias("length")), "bench-hits")
+    spans = hits.groupBy("row").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
+    owners = listed.select("window", "item").distinct()
+    items = hits.select("row", "window").distinct().join(broadcast_if_small(owners), "window")
+    items = items.groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    found = written(_hit_words(spans).join(items, "row"), "bench-found")
+
+    found = rows.drop("meets").join(broadcast_if_small(found), "row", "left")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    hits = F.coalesce("hits", F.lit(b""))
+    return found.select(
+        F.col("id").alias(id_column),
+        "n_words",
+        F.floor(F.octet_length(hits) / 8).cast("long").alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.octet_length(hits) > 0).alias("contaminated"),
+        items.alias("items"),
+        hits.alias("hit_words"),
+    )
