@@ -43,24 +43,30 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return _kept(docs, lambda rows: quality_fm.classify(rows, machine), "predicted = 1")
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the smallest id, or any row where
-    ids are null or repeated."""
+def _without(docs: DataFrame, find) -> DataFrame:
+    """``docs`` but for the rows whose key is in ``find(docs, key)``. The key is the id, or a
+    number of the row where ids are null or repeated."""
     columns, key = docs.columns, "doc_id"
     rows, ids = docs.agg(F.count("*"), F.count_distinct("doc_id")).first()
     if rows != ids:
-        key = "near_dup_row"
+        key = "pipeline_row"
         docs = written(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-rows")
-    found = near_dup.near_duplicates(docs, key)
-    others = written(found.filter(~F.col("kept")).select(key), "pipeline-others")
+    others = written(find(docs, key).select(key), "pipeline-others")
     return docs.join(broadcast_if_small(others), key, "left_anti").select(columns)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the smallest id, or any row where
+    ids are null or repeated."""
+    return _without(
+        docs, lambda rows, key: near_dup.near_duplicates(rows, key).filter(~F.col("kept")))
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    whole = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    found = decontaminate.decontaminate(whole, table(spark, sf_dir, "benchmark"), "row")
-    return found.filter(~F.col("contaminated")).select("row.*").select(docs.columns)
+    items = table(spark, sf_dir, "benchmark")
+    return _without(docs, lambda rows, key: decontaminate.decontaminate(
+        rows, items, key).filter("contaminated"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
