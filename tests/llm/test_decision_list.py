@@ -82,6 +82,14 @@ def test_ordered_conditional_expression(spark):
     assert dl.describe(rules) == ["a >= 5 AND b < 2", "a >= 1"]
 
 
+def test_input_columns_named_like_its_own(spark):
+    docs = spark.createDataFrame([(1, "a b c a b c", 7, 8, 9)],
+                                 ["doc_id", "dl_text", "dl_words", "DL_pairs", "n_words"])
+    found = dl.statistics(docs, "dl_text").first()
+    assert tuple(found[c] for c in dl.COUNTS) == counts("a b c a b c")[:5]
+    assert (found["dl_text"], found["dl_words"], found["DL_pairs"]) == ("a b c a b c", 7, 8)
+
+
 @pytest.mark.parametrize("label", [True, False])
 def test_nothing_to_tell_apart(spark, label):
     rows = rows_with_rules(spark, 60).withColumn("good", F.lit(label))

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from trilayer.llm.mixing import mix, targets
 from trilayer.llm.oracles import OP10
@@ -87,6 +88,20 @@ def test_nulls_repeats_and_empty_texts(spark):
     assert found.columns.count("taken") == 1 and "mix_key" in found.columns
 
 
+def test_input_columns_named_like_its_own(spark):
+    rows = [(i, f"s{i % 3}", "w " * (i % 9)) for i in range(60)]
+    names = ["mix_source", "MIX_cut_key", "mix_passes", "input_mix_source", "mix_cut_gives"]
+    docs = spark.createDataFrame([(*r, *range(5)) for r in rows],
+                                 ["doc_id", "source", "text", *names])
+    found = mix(docs).select("doc_id", "size", "source_size", "target", "taken", *names).collect()
+    want = brute_force(rows)
+    assert sorted(r[:3] + (r["taken"],) for r in found) == sorted(w[:3] + w[4:] for w in want)
+    assert all(tuple(r[n] for n in names) == (0, 1, 2, 3, 4) for r in found)
+    by_own = docs.select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_from"), "text")
+    own = mix(by_own, "mix_id", "mix_from").select("mix_id", "size", "source_size", "taken")
+    assert sorted(map(tuple, own.collect())) == sorted(w[:3] + w[4:] for w in want)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], DOCS)
     assert mix(docs).count() == 0

@@ -23,6 +23,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trilayer.llm.names import set_aside
 from trilayer.operators.joins import broadcast_if_small
 from trilayer.workspace import written
 
@@ -72,7 +73,10 @@ def _covered(pairs: Column) -> Column:
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with COUNTS, FEATURES and base_failed; input columns of these names are
-    replaced. Null and empty texts have zero counts. Shares of nothing are 0."""
+    replaced, those whose names begin with ``dl_`` are returned as they are. Null and empty
+    texts have zero counts. Shares of nothing are 0."""
+    docs, aside = set_aside(docs, "dl_")
+    text = aside.get(text, text)
     kept = [c for c in docs.columns if c not in {*COUNTS, *FEATURES, "base_failed"}]
     body = F.coalesce(F.col(text), F.lit(""))
     first = docs.select(
@@ -126,7 +130,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         share("dl_exclaim", "n_words").alias("exclamation_share"),
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
         .alias("base_failed"),
-    )
+    ).withColumnsRenamed({new: old for old, new in aside.items()})
 
 
 @dataclass(frozen=True)

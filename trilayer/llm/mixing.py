@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trilayer.llm.names import set_aside
 from trilayer.workspace import written
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,7 +45,8 @@ def targets(
     ``share`` of all sizes is dealt by weight; a source is given at most ``most`` times
     its size, and the others get the excess by weight. Sources are taken in the order of
     (limit / weight); those before the first whose share stays within its limit are full.
-    One row per source.
+    One row per source. These rows, and no others, pass through one task in sorted order, so
+    sources may be sites (some millions of short rows), but not pages.
     """
     cycle = F.array(*[F.lit(int(w)) for w in weights])
     by_name = Window.orderBy(F.col("mix_source").asc_nulls_last())
@@ -138,8 +140,10 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source",
         text: str = "text", size: str | None = None, **settings) -> DataFrame:
     """``docs`` with the columns size, source_size, target and taken (words the mix takes
     of the document, repeats counted); input columns of these names are replaced. Only one row per source
-    joins the documents."""
-    docs = docs.drop("source_size", "target", "taken")
+    joins the documents. Input columns whose names begin with ``mix_`` are returned as they
+    are."""
+    docs, aside = set_aside(docs.drop("source_size", "target", "taken"), "mix_")
+    id_column, source, text, size = (aside.get(c, c) for c in (id_column, source, text, size))
     if size is None:
         sized = docs.withColumn("size", word_count(text))
         narrow = written(sized.select(F.col(id_column), F.col(source), "size"), "mix-sizes")
@@ -161,4 +165,5 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source",
         sized.join(at, F.col(source).eqNullSafe(F.col("mix_source")))
         .withColumn("taken", taken)
         .drop("mix_source", "mix_passes", "mix_cut_key", "mix_cut_id", "mix_cut_size", "mix_cut_gives")
+        .withColumnsRenamed({new: old for old, new in aside.items()})
     )

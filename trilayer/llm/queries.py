@@ -14,15 +14,18 @@ from trilayer.workspace import written
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its set size, the smallest id of its group and whether it stays."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its size, its source's size and target, and the words the mix takes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words inside benchmark windows and the items they are from."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.decontaminate(docs, items)
     return found.select(
@@ -31,6 +34,8 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out; a null id has
+    no hash and is learned from."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     models = language.learn(docs.filter(~held_out))
@@ -39,6 +44,8 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels that are not held out; a null id
+    has no hash and no label."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -48,6 +55,8 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and the verdict of the rules learned from labelled
+    documents that pass the base filter."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     measured = decision_list.statistics(docs).drop("text")
     measured = written(measured, "rules-statistics")
@@ -60,6 +69,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a model of those that are not held out; a null
+    id has no hash and is learned from."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
     found, _ = katz.score(docs.withColumn("train", ~held_out))
@@ -70,6 +81,7 @@ def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as the record read back from the archives written of all pages."""
     return warc.archive_and_read(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
@@ -106,6 +118,8 @@ def list_entries(captures: DataFrame) -> DataFrame:
 
 
 def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, as a capture at a time derived from its id, with the list entries active
+    then; a null id has no time and meets none."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     fetched = F.lit(1_704_067_200) + F.col("page_id") * 7919 % 31_622_400
     captures = pages.withColumn("fetched_at", fetched)
