@@ -31,11 +31,13 @@ counts only. Ids of different n-grams are equal with a chance of about 2**-64.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -344,6 +346,19 @@ class Model:
         self.discounts, self.documents = discounts, documents
 
 
+@contextmanager
+def _exchanges_freed(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark deletes what a query has shuffled as soon as it is done. Each exchange
+    of an order ends in a written table, so the files of earlier orders serve nobody."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
           train: str = "train", order: int = ORDER) -> tuple[DataFrame, Model]:
     """Per row of ``docs``: the id, n_tokens, n_known, train_tokens, base_score and score,
@@ -361,21 +376,22 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     counts, backoff = new_dir(spark, "katz-counts"), new_dir(spark, "katz-backoff")
     discounts: list[Discount] = []
     answers: list[DataFrame] = []
-    for n in range(1, order + 1):
-        table = _counted(chunks, n, bits)
-        table.write.parquet(f"{counts}/order={n}", compression="none")
-        table = spark.read.schema(_COUNTED).parquet(f"{counts}/order={n}")
-        seen = table.filter("chunk < 0").agg(
-            *[F.sum(F.col("of_counts")[r]) for r in range(K + 1)], F.sum("tokens"),
-            F.sum("types")).first()
-        *of_counts, total, types = (v or 0 for v in seen)
-        discounts.append(Discount(of_counts, total, types))
-        answers.append(table.select("chunk", "part", "totals", "mine"))
-        if n > 1:
-            table = _weighed(chunks, answers, n, bits, discounts, documents)
-            table.write.parquet(f"{backoff}/order={n}", compression="none")
-            table = spark.read.schema(f"{_ANSWER}, keys binary").parquet(f"{backoff}/order={n}")
+    with _exchanges_freed(spark):
+        for n in range(1, order + 1):
+            table = _counted(chunks, n, bits)
+            table.write.parquet(f"{counts}/order={n}", compression="none")
+            table = spark.read.schema(_COUNTED).parquet(f"{counts}/order={n}")
+            seen = table.filter("chunk < 0").agg(
+                *[F.sum(F.col("of_counts")[r]) for r in range(K + 1)], F.sum("tokens"),
+                F.sum("types")).first()
+            *of_counts, total, types = (v or 0 for v in seen)
+            discounts.append(Discount(of_counts, total, types))
             answers.append(table.select("chunk", "part", "totals", "mine"))
+            if n > 1:
+                table = _weighed(chunks, answers, n, bits, discounts, documents)
+                table.write.parquet(f"{backoff}/order={n}", compression="none")
+                table = spark.read.schema(f"{_ANSWER}, keys binary").parquet(f"{backoff}/order={n}")
+                answers.append(table.select("chunk", "part", "totals", "mine"))
     model = Model(counts, backoff, discounts, documents)
     return _evaluated(chunks, answers, order, model, docs.schema[id_column].dataType,
                       id_column), model
