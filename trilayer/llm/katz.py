@@ -52,7 +52,7 @@ from pyspark.sql.types import (
 from trilayer.llm.words import mix, runs, slices, words
 from trilayer.workspace import new_dir
 
-ORDER = 3
+ORDER = 2
 K = 5
 LEAST = 1e-3
 CHUNK_BYTES = 8 << 20
