@@ -4,7 +4,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from trilayer.sources.raw import read_raw
+from trilayer.sources import writers
+from trilayer.sources.raw import list_files, read_raw
 from trilayer.sources.writers import (
     SchemaMismatch,
     append_checked,
@@ -40,6 +41,19 @@ def test_partitioned_write_and_dynamic_overwrite(spark, folder):
     assert rows(read_raw(spark, folder).groupBy("part").count()) == [(0, 10), (1, 3)]
 
 
+def test_rebalanced_tasks_stay_small(spark, folder, monkeypatch):
+    monkeypatch.setattr(writers, "TASK_BYTES", 100_000)
+    df = spark.range(0, 100_000, 1, 8).select("id", F.rand(1).alias("r"), F.lit(1).alias("part"))
+    write_layer(df, folder, partition_by=["part"], rebalance=True, file_bytes=1 << 30)
+    assert list_files(spark, folder).count() > 4
+    assert read_raw(spark, folder).agg(F.sum("id")).first()[0] == sum(range(100_000))
+    # more directories in a task than it keeps open
+    df = spark.range(0, 1000, 1, 2).withColumn("part", F.col("id") % (3 * writers.OPEN_FILES))
+    write_layer(df, folder, partition_by=["part"], rebalance=True)
+    found = read_raw(spark, folder).groupBy("part").agg(F.count("*"), F.sum("id"))
+    assert rows(found) == rows(df.groupBy("part").agg(F.count("*"), F.sum("id")))
+
+
 def test_schema_diff(spark):
     table = batch(spark, 1).schema
     assert not schema_diff(table, batch(spark, 2).select("name", "k").schema)

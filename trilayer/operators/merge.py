@@ -156,10 +156,13 @@ def merge_actions(
         return changed
     # Distinct before any shuffle join, so that a key that fills much of the target is
     # one row per task; a small source first narrows them down to the keys it names.
+    # Keys in a row shrink to a byte or two when shuffled, so that millions of them would
+    # be put into one task; a hash that does not shrink goes with each.
     hit = target.select(*on)
     if _measure(inserted, on)[0]:
         hit = hit.join(F.broadcast(inserted.select(*on)), list(on), "left_semi")
-    hit = hit.distinct()
+    hit = hit.groupBy(*on).agg(F.min(F.xxhash64(*on)).alias("_hash"))
+    hit = hit.filter(F.col("_hash").isNotNull()).drop("_hash")
     candidates = (
         inserted.join(hit, list(on), "left_anti")
         .select(*source.columns)
