@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from trilayer.operators import joins, merge
 from trilayer.operators.merge import (
@@ -226,3 +227,17 @@ def test_merging_twice_changes_nothing_more(spark, target, source):
     same = [row for row in rows(once) if (row[0], row[1]) not in changed]
     assert [row for row in rows(twice) if (row[0], row[1]) not in changed] == same
     assert len(rows(twice)) == len(rows(once))
+
+
+def test_keys_that_shrink_are_dealt_out_by_number(spark, folder, monkeypatch):
+    target, source = f"{folder}/t", f"{folder}/s"
+    spark.range(5000).select(F.col("id").alias("a"), F.lit(1.0).alias("v")).write.parquet(target)
+    changes = spark.range(4000, 9000).select(F.col("id").alias("a"), F.lit(2.0).alias("v"))
+    changes.unionByName(spark.sql("SELECT CAST(null AS BIGINT) a, 3.0D v")).write.parquet(source)
+    monkeypatch.setattr("trilayer.operators.merge.within_limits", lambda *measured: False)
+    merged = merge_upsert(
+        spark.read.parquet(target), spark.read.parquet(source), ["a"],
+        [when_matched_update({"v": "s.v"}), when_not_matched_insert()],
+    )
+    assert "min(xxhash64(a" in plan_facts(merged).text
+    assert rows(merged.groupBy("v").count()) == [(1.0, 4000), (2.0, 5000), (3.0, 1)]
