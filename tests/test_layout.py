@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from trilayer.operators import layout
 from trilayer.operators.reconcile import reconcile
+from trilayer.plans import catalogue
 from trilayer.session import conf, sized_for
 from trilayer.sources.raw import list_files, read_raw
 from trilayer.sources.writers import write_layer
@@ -173,3 +174,33 @@ def test_nothing_small_and_nothing_large(spark, folder):
     spark.range(0).write.parquet(f"{folder}/none")
     found, _ = layout.compact_small(spark, f"{folder}/none", f"{folder}/p3", schema)
     assert found.count() == 0
+
+
+def test_large_tables_are_laid_out_by_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(catalogue, "PIECE_ROWS", 1000)
+    written = []
+    keep = catalogue.write_layer
+
+    def write(df, path, *how, **more):
+        keep(df, path, *how, **more)
+        written.append(layout.list_files(spark, path).count())
+
+    monkeypatch.setattr(catalogue, "write_layer", write)
+    found = rows(catalogue.QUERIES["compact_small"](spark, "/root/testdata/sf0.001"))
+    lines = catalogue.table(spark, "/root/testdata/sf0.001", "lineitem")
+    assert rows(catalogue._line_totals(lines)) == found
+    assert written[0] == catalogue._pieces(lines, 1) == -(-lines.count() // 1000)
+    catalogue.QUERIES["compact_partitions"](spark, "/root/testdata/sf0.001")
+    assert written[-1] > 4 * lines.select(F.year("l_shipdate")).distinct().count()
+
+
+def test_files_of_a_scan_all_have_rows(spark, folder):
+    spark.range(0, 100, 1, 10).write.parquet(f"{folder}/full")
+    with conf(spark, {"spark.sql.files.maxPartitionBytes": "1", "spark.sql.files.openCostInBytes": "0"}):
+        spark.range(0, 100, 1, 1).write.parquet(f"{folder}/sparse")
+        for name in ("full", "sparse"):
+            scan = spark.read.parquet(f"{folder}/{name}")
+            path = f"{folder}/{name}-eight"
+            catalogue._in_files(scan, 8).write.parquet(path)
+            assert layout.list_files(spark, path).count() == 8
+            assert rows(spark.read.parquet(path)) == rows(scan)
