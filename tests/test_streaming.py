@@ -9,6 +9,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from trilayer.operators.quality import Rule, apply_rules, observe_rules
+from trilayer.plans import catalogue
+from trilayer.session import conf
 from trilayer.sources.raw import read_raw, stream_files, stream_table
 from trilayer.streaming import trips as streams
 from trilayer.streaming.runner import finish, read_complete, run_stream, start_stream
@@ -198,3 +200,15 @@ def test_rules_on_a_stream(spark, landing):
     assert read_raw(spark, f"{landing.out}2").count() == 3
     with pytest.raises(Exception, match="rule zone failed"):
         run([Rule("zone", "pickup_location_id > 0", "fail")], 3)
+
+
+@pytest.mark.parametrize("name", ["stream_by_table", "declared_stream", "stream_join"])
+def test_state_of_landed_streams_goes_by_the_rows_of_a_file(spark, monkeypatch, name):
+    seen = []
+    monkeypatch.setattr(
+        catalogue, "run_stream",
+        lambda *given, **how: seen.append(run_stream(*given, **how)) or seen[-1])
+    with conf(spark, {"spark.sql.shuffle.partitions": "40"}):
+        assert not catalogue.QUERIES[name](spark, "/root/testdata/sf0.001").isEmpty()
+    states = [part for query in seen for part in query.lastProgress["stateOperators"]]
+    assert {part["numShufflePartitions"] for part in states} == {10}
