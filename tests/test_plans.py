@@ -7,6 +7,7 @@ from trilayer.operators import cleanse, gold
 from trilayer.plans import layers
 from trilayer.plans.catalogue import QUERIES, silver_by_day
 from trilayer.plans.facts import cached, plan_facts
+from trilayer.session import SHUFFLE_BYTES, conf
 from trilayer.sources.trips import raw_trips
 
 DATA = "/root/testdata/sf0.001"
@@ -66,3 +67,14 @@ def test_cached_result_is_released(spark):
         assert kept.count() == 10
         assert plan_facts(kept.agg(F.sum("v"))).has("InMemoryTableScan")
     assert not df.storageLevel.useMemory
+
+
+def test_tasks_of_a_session_made_elsewhere_are_bounded(spark):
+    name, size = SHUFFLE_BYTES
+    with conf(spark, {name: size}):
+        spark.conf.unset(name)
+        QUERIES["merge_metrics"](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(name) == size
+        spark.conf.set(name, "5m")
+        QUERIES["merge_metrics"](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(name) == "5m"
